@@ -137,8 +137,9 @@ def batches_by_size_or_age(
         .applyInPandas(follow, entry_schema)
         .withColumnRenamed("_step", "_chunk")
     )
+    # A sort-merge join keeps the large side from being broadcast and its order serves the grouping.
     return (
-        chunked.join(chunk_entries, [*keys, "_chunk"])
+        chunked.join(chunk_entries.hint("merge"), [*keys, "_chunk"])
         .groupBy(*keys, "_chunk")
         .applyInPandas(number_rows, result_schema)
     )

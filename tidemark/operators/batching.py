@@ -33,14 +33,14 @@ def batches_by_size(
     return numbered.withColumn("batch_no", F.expr(f"(message_no - 1) div {size}"))
 
 
-def first_on_ties(arrival: str) -> Column:
-    return -F.col(arrival)
+def highest_message(columns: list[str], arrival: str = "arrival") -> Column:
+    """Aggregate: the message with the highest sequence number; the first arrival wins ties (A2)."""
+    return F.max_by(F.struct(*columns), F.struct(F.col("sequence_number"), -F.col(arrival)))
 
 
 def highest_messages(df: DataFrame, by: list[str], columns: list[str], arrival: str = "arrival") -> DataFrame:
-    """Message with the highest sequence number per group; the first arrival wins ties (A2)."""
-    rank = F.struct(F.col("sequence_number"), first_on_ties(arrival))
-    return _chosen(df, by, F.max_by(F.struct(*columns), rank))
+    """Message with the highest sequence number per group (A2)."""
+    return _chosen(df, by, highest_message(columns, arrival))
 
 
 def last_arrivals(df: DataFrame, by: list[str], columns: list[str], arrival: str = "arrival") -> DataFrame:

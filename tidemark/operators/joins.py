@@ -30,8 +30,8 @@ def lookup_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    head = lookup.limit(broadcast_rows + 1).collect()
-    if len(head) <= broadcast_rows:
+    head = lookup.limit(broadcast_rows + 1).toArrow()
+    if head.num_rows <= broadcast_rows:
         local = lookup.sparkSession.createDataFrame(head, lookup.schema)
         return large.join(F.broadcast(local), on, how)
     return salted_join(large, lookup, on, how, spread)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_folder
+from tidemark.session import cut_lineage, shared_folder
 
 # A cell spans 2**CELL_BITS consecutive order values; order values are unique within a key,
 # so that is also the most rows a cell can hold.
@@ -29,7 +29,8 @@ def running_totals(
     cell = F.shiftright(F.col(order), cell_bits).alias("_cell")
     block = F.shiftright(F.col("_cell"), cell_bits).alias("_block")
 
-    cells = valued.groupBy(*keys, cell).agg(*[F.sum(n).alias(n) for n in names]).withColumn("_block", block)
+    # Kept, so that the input is read once for the counts and once for the rows.
+    cells = cut_lineage(valued.groupBy(*keys, cell).agg(*[F.sum(n).alias(n) for n in names]).withColumn("_block", block))
     blocks = cells.groupBy(*keys, "_block").agg(*[F.sum(n).alias(n) for n in names])
 
     by_block = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.envelope import parse_offset, to_target_rows, valid_messages
-from tidemark.operators.batching import batch_waterlevels
+from tidemark.operators.batching import highest_message
 from tidemark.operators.checkpoints import (
     ControlKey,
     control_rows,
@@ -129,8 +129,11 @@ class RouteSink:
         started = datetime.now(UTC).replace(tzinfo=None)
         messages = self.accepted(batch)
         # One narrow pass over the batch; one row per partition of the stream.
-        reached = batch_waterlevels(messages, ["partition_id"], "_position").join(
-            messages.groupBy("partition_id").agg(F.count("*").alias("messages")), "partition_id"
+        reached = (
+            messages.groupBy("partition_id")
+            .agg(highest_message(["sequence_number", "offset"], "_position").alias("_m"), F.count("*").alias("messages"))
+            .select("partition_id", "_m.*", "messages")
+            .withColumn("waterlevel", parse_offset(F.col("offset"), F.col("sequence_number")))
         )
         waterlevels = reached.collect()
         if not waterlevels:
