@@ -94,10 +94,10 @@ def test_restart_reads_only_what_is_new(spark, feed, lake):
 
 def test_crash_between_target_and_control_is_replayed(spark, feed, lake):
     class Crashing(RouteSink):
-        def write_control(self, waterlevels, batch_id):
+        def write_control(self, messages, batch_id):
             if batch_id == 1:
                 raise RuntimeError("lost the driver")
-            super().write_control(waterlevels, batch_id)
+            return super().write_control(messages, batch_id)
 
     with pytest.raises(StreamingQueryException, match="lost the driver"):
         run(feed, Crashing(ROUTE, lake))
@@ -177,8 +177,14 @@ def test_empty_batches_write_nothing(spark, tmp_path, lake):
 
 def test_copies_in_a_batch_land_once(spark, tmp_path, lake):
     feed = Feed(spark, tmp_path / "in").add([1, 2, 2, 3, 3, 3])
-    run(feed, RouteSink(ROUTE, lake))
+    run(feed, RouteSink(ROUTE, lake, drop_copies=True))
     assert landed(spark, lake) == [1, 2, 3]
+    assert audit(spark, lake).first().messages == 3
+
+
+def test_copies_are_kept_unless_asked(spark, tmp_path, lake):
+    run(Feed(spark, tmp_path / "in").add([1, 2, 2]), RouteSink(ROUTE, lake))
+    assert landed(spark, lake) == [1, 2, 2]
 
 
 @pytest.mark.parametrize("start, expected", [("earliest", [2, *range(5, 25)]), ("latest", [n for n in range(5, 25) if n % 3 < 2])])

@@ -1,13 +1,17 @@
-"""Join of a large frame with a lookup frame, whatever the size of the lookup."""
+"""Join of a large frame with a lookup frame, whatever the size of the lookup and however its keys are spread."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 # Lookup frames up to this many rows are broadcast; larger ones take the salted join.
 BROADCAST_ROWS = 100_000
-SALTS = 32
+# A key is hot when it holds more than one row in HOT_SHARE, so there are fewer hot keys than that.
+HOT_SHARE = 10_000
+SALTS = 64
 
 
 def lookup_join(
@@ -21,12 +25,10 @@ def lookup_join(
     """Equi-join ``large`` with ``lookup``.
 
     The lookup is read up to ``broadcast_rows + 1`` rows to learn its size. If it fits, those
-    rows are broadcast and the large side is not shuffled. If it does not, the large side is
-    split over ``SALTS`` buckets per key by a hash of ``spread`` and the lookup repeated once
-    per bucket, so a key that holds much of the large side still runs in many tasks.
+    rows are broadcast and the large side is not shuffled; if not, see ``salted_join``.
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``: row sets of the large side
-    for which repeating the lookup per bucket changes nothing.
+    for which repeating lookup rows per salt changes nothing.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -37,10 +39,32 @@ def lookup_join(
     return salted_join(large, lookup, on, how, spread)
 
 
+def hot_keys(large: DataFrame, on: list[str], share: int = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than one in ``share`` of the rows, from counts aggregated before the shuffle."""
+    rows = large.count()
+    counts = large.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") * share > rows)
+    return cut_lineage(counts.select(*on))
+
+
 def salted_join(
-    large: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", spread: str | None = None, salts: int = SALTS
+    large: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    how: str = "left",
+    spread: str | None = None,
+    salts: int = SALTS,
+    share: int = HOT_SHARE,
 ) -> DataFrame:
-    spread_columns = [spread] if spread else [c for c in large.columns if c not in on] or on
-    salted = large.withColumn("_salt", F.pmod(F.xxhash64(*spread_columns), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    """Shuffled join in which the rows of each hot key are spread over ``salts`` tasks.
+
+    Only lookup rows of hot keys are repeated. ``spread`` is a column whose hash tells the rows of
+    one key apart; all columns but the key by default.
+    """
+    hot = F.broadcast(hot_keys(large, on, share).withColumn("_hot", F.lit(True)))
+    rest = [spread] if spread else [c for c in large.columns if c not in on] or on
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")).otherwise(0)
+    every_salt = F.array(*[F.lit(i) for i in range(salts)])
+    repeats = F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0))))
+    salted = large.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
+    repeated = lookup.join(hot, on, "left").withColumn("_salt", repeats).drop("_hot")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import batching as B
 from tidemark.operators.age_batches import batches_by_size_or_age
+from tidemark.operators.joins import lookup_join
 from tidemark.operators.running import arrival_order
 from tidemark.plans import inputs as I
 
@@ -22,7 +23,7 @@ def batches_by_route_size(spark, sf_dir):
     """Every stream has the batch size of its target."""
     sources = I.sources(spark, sf_dir).select("route_no", F.col("name").alias("eventhub"))
     sizes = sources.join(I.targets(spark, sf_dir).select("route_no", "batch_size"), "route_no")
-    routed = I.valid_messages(spark, sf_dir).join(sizes, "eventhub")
+    routed = lookup_join(I.valid_messages(spark, sf_dir), sizes, ["eventhub"], "inner", "sequence_number")
     small = routed.withColumn("size", F.expr("batch_size div 20"))
     return B.batches_by_size(small, ["eventhub"], size="size").select("eventhub", "arrival", "size", "batch_no")
 

@@ -24,7 +24,8 @@ def _run(spark, sf_dir) -> Lake:
     schema = I.table(spark, sf_dir, "events").schema
 
     def open_stream(route):
-        events = file_stream(spark, sf_dir, schema, name_pattern="events.parquet")
+        # As a pattern, the path may be one file or a folder of files; a stream takes no plain file.
+        events = file_stream(spark, f"{sf_dir}/events.parque[t]", schema, max_files=1000)
         return events.filter(F.col("event_type") == route.hub).selectExpr(
             "concat(event_type, ' ', props) AS body",
             "cast(user_id % 4 AS string) AS partition_id",

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,6 +93,10 @@ def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFr
         raise
 
 
+def _now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
+
+
 class RouteSink:
     """Function for ``foreachBatch`` that lands one route's micro-batches.
 
@@ -100,7 +104,8 @@ class RouteSink:
     returning False is a failure. ``resume`` holds resume points for a start without a Spark
     checkpoint: messages up to them are left out (J5). ``on_failure`` is ``raise``, which leaves
     the batch uncommitted for replay, or ``dead_letter``, which keeps its messages in a table of
-    their own and goes on without a checkpoint (S5, X7).
+    their own and goes on without a checkpoint (S5, X7). ``drop_copies`` lands messages that occur
+    twice in a micro-batch once (X11), at the price of a shuffle of the batch.
     """
 
     def __init__(
@@ -110,7 +115,7 @@ class RouteSink:
         processor: Callable[[DataFrame, int], bool | None] | None = None,
         retry: RetryPolicy | None = None,
         on_failure: str = "raise",
-        drop_copies: bool = True,
+        drop_copies: bool = False,
         resume: DataFrame | None = None,
         start_position: str = "earliest",
     ):
@@ -126,72 +131,84 @@ class RouteSink:
         self.start_position = start_position
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        started = datetime.now(UTC).replace(tzinfo=None)
+        spark = batch.sparkSession
+        started = _now()
         messages = self.accepted(batch)
-        # One narrow pass over the batch; one row per partition of the stream.
-        reached = (
-            messages.groupBy("partition_id")
-            .agg(highest_message(["sequence_number", "offset"], "_position").alias("_m"), F.count("*").alias("messages"))
-            .select("partition_id", "_m.*", "messages")
-            .withColumn("waterlevel", parse_offset(F.col("offset"), F.col("sequence_number")))
-        )
-        waterlevels = reached.collect()
-        if not waterlevels:
+        if messages.isEmpty():
             return  # nothing to write, no checkpoint (F3)
-        local = batch.sparkSession.createDataFrame(waterlevels, reached.schema)
+        if self.drop_copies:
+            messages = messages.dropDuplicates(["partition_id", "sequence_number"])
         rows = to_target_rows(messages, F.lit(started))
 
         def process():
             if self.processor(rows, batch_id) is False:
                 raise RuntimeError("batch processor returned failure")
 
-        errors = []
+        errors: list[tuple] = []
 
         def note(attempt: int, error: Exception):
-            errors.append((datetime.now(UTC).replace(tzinfo=None), attempt, error))
+            errors.append((_now(), attempt, error))
 
-        facts = (self.route.mapping, batch_id, started)
-        counts = (sum(r["messages"] for r in waterlevels), len(waterlevels))
         try:
             _, attempts = self.retry.call(process, note)
         except Exception as error:
-            self.write_failures(batch.sparkSession, errors)
+            self.write_failures(spark, errors)
             if self.on_failure == "raise":
                 raise
-            dead = messages.drop("_position").withColumn("error", F.lit(str(error)))
-            dead.write.mode("overwrite").parquet(batch_folder(self.lake.dead_letters(self.route), self.route, batch_id))
-            self.write_audit(batch.sparkSession, (*facts, *counts, False, 0, len(errors), str(error)))
+            counts = self.write_dead_letters(messages, batch_id, str(error))
+            self.write_audit(spark, batch_id, started, counts, False, len(errors), str(error))
             return
-        self.write_failures(batch.sparkSession, errors)
-        self.write_control(local, batch_id)
-        self.write_audit(batch.sparkSession, (*facts, *counts, True, len(waterlevels), attempts, None))
+        self.write_failures(spark, errors)
+        counts = self.write_control(messages, batch_id)
+        self.write_audit(spark, batch_id, started, counts, True, attempts, None)
 
     def accepted(self, batch: DataFrame) -> DataFrame:
-        """Messages of the batch to land: valid, not seen before the start, one copy of each."""
+        """Messages of the batch to land: valid, and not seen before the start."""
         position = parse_offset(F.col("offset"), F.col("sequence_number"))
         messages = valid_messages(batch)
         if self.resume is not None:
             messages = unseen_messages(messages, self.resume, ["partition_id"], position, self.start_position)
-        if self.drop_copies:
-            messages = messages.dropDuplicates(["partition_id", "sequence_number"])
         return messages.withColumn("_position", position)
 
     def write_target(self, rows: DataFrame, batch_id: int) -> None:
         folder = batch_folder(self.lake.target(self.route), self.route, batch_id)
         rows.write.mode("overwrite").parquet(folder)
 
-    def write_control(self, waterlevels: DataFrame, batch_id: int) -> None:
+    def write_control(self, messages: DataFrame, batch_id: int) -> dict:
+        """Control rows of the batch in one write (S6, S15), and its size as seen by that pass.
+
+        A pass over three columns of the batch, aggregated to one row per partition.
+        """
         route = self.route
+        seen = Observation()
+        reached = (
+            messages.groupBy("partition_id")
+            .agg(highest_message(["sequence_number", "offset"], "_position").alias("_m"), F.count("*").alias("messages"))
+            .select("partition_id", "_m.*", "messages")
+            .withColumn("waterlevel", parse_offset(F.col("offset"), F.col("sequence_number")))
+            .observe(seen, F.sum("messages").alias("messages"), F.count("*").alias("partitions"))
+        )
         described = with_checkpoint_metadata(
-            waterlevels, F.lit(route.namespace), F.lit(route.hub), F.lit(route.consumer_group)
+            reached, F.lit(route.namespace), F.lit(route.hub), F.lit(route.consumer_group)
         )
         rows = required_columns(control_rows(described, route.control_key))
-        rows.coalesce(1).write.mode("overwrite").parquet(batch_folder(self.lake.control, route, batch_id))
-
-    def write_audit(self, spark: SparkSession, facts: tuple) -> None:
-        mapping, batch_id, started, messages, partitions, success, updated, attempts, error = facts
-        ended = datetime.now(UTC).replace(tzinfo=None)
-        row = (mapping, batch_id, started, ended, messages, partitions, success, updated, attempts, error)
+        rows.write.mode("overwrite").parquet(batch_folder(self.lake.control, route, batch_id))
+        return seen.get
+
+    def write_dead_letters(self, messages: DataFrame, batch_id: int, error: str) -> dict:
+        """The messages of a batch that could not be written, with the reason."""
+        folder = batch_folder(self.lake.dead_letters(self.route), self.route, batch_id)
+        messages.drop("_position").withColumn("error", F.lit(error)).write.mode("overwrite").parquet(folder)
+        written = messages.sparkSession.read.parquet(folder)
+        counts = written.agg(F.count("*").alias("messages"), F.count_distinct("partition_id").alias("partitions"))
+        return counts.first().asDict()
+
+    def write_audit(
+        self, spark: SparkSession, batch_id: int, started: datetime, counts: dict, success: bool, attempts: int, error: str | None
+    ) -> None:
+        messages, partitions = counts["messages"], counts["partitions"]
+        updated = partitions if success else 0
+        row = (self.route.mapping, batch_id, started, _now(), messages, partitions, success, updated, attempts, error)
         frame = spark.createDataFrame([row], schemas.BATCH_AUDIT).coalesce(1)
         frame.write.mode("overwrite").parquet(f"{self.lake.audit}/source_key={self.route.source_key}/batch={batch_id}")
 
