@@ -14,14 +14,23 @@ numbers its own rows. No task holds more than a chunk, whatever a key's share of
 
 from __future__ import annotations
 
+import sys
+from datetime import datetime, timedelta
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.audit import unix_micros
 from tidemark.operators.batching import BATCH_SECONDS, BATCH_SIZE, number_messages
 from tidemark.operators.running import CELL_BITS
+from tidemark.session import cut_lineage, written
+
+# The functions of this module travel to the executors by value, so these need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK_ROWS = 1 << 19
 # Chunk tables composed in one task; with this many groups again at the top, a key may hold
@@ -55,118 +64,117 @@ def batches_by_size_or_age(
     wait = int(round(max_wait_seconds * 1_000_000))
     first_open = None
     if start_time is not None:
-        first_open = int(pd.Timestamp(start_time).value // 1000)
+        first_open = (datetime.fromisoformat(start_time) - datetime(1970, 1, 1)) // timedelta(microseconds=1)
 
     # Only the ordering columns take part; wide payloads stay out of these shuffles.
     narrow = df.select(*keys, arrival, _micros(df, clock).alias("_t"))
     position = (F.col("message_no") - 1).alias("_pos")
-    numbered = number_messages(narrow, keys, arrival, cell_bits).select(*keys, arrival, "_t", position)
+    # Numbered once for both passes over the chunks; sorted positions and times compress well.
+    numbered = written(number_messages(narrow, keys, arrival, cell_bits).select(*keys, arrival, "_t", position), "numbered")
     own = F.expr(f"_pos div {chunk_rows}")
-    chunked = numbered.withColumn(
-        "_chunk",
-        F.explode(F.when(F.col("_pos") % chunk_rows >= chunk_rows - size, F.array(own, own + 1)).otherwise(F.array(own))),
-    )
+    in_tail = F.col("_pos") % chunk_rows >= chunk_rows - size
+    chunks = F.explode(F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own)))
+    chunked = numbered.withColumn("_chunk", chunks)
 
     key_fields = [df.schema[k] for k in keys]
-    longs = lambda *names: [T.StructField(n, T.LongType()) for n in names]
-    table_schema = T.StructType([*key_fields, *longs("_step", "_entry", "_exit", "_closes")])
-    entry_schema = T.StructType([*key_fields, *longs("_step", "_entry", "_before")])
-    result_schema = T.StructType([*key_fields, df.schema[arrival], *longs("message_no", "batch_no")])
-
-    def chunk_table(pdf: pd.DataFrame) -> pd.DataFrame:
-        chunk = int(pdf["_chunk"].iloc[0])
-        pos, t, _ = _ordered(pdf, chunk, first_open)
+    table_schema = T.StructType([*key_fields, *_longs("_step", "_entry", "_exit", "_closes")])
+    entry_schema = T.StructType([*key_fields, *_longs("_step", "_entry", "_before")])
+    result_schema = T.StructType([*key_fields, df.schema[arrival], *_longs("message_no", "batch_no")])
+
+    def chunk_table(rows: pa.Table) -> pa.Table:
+        """For every possible last close before the chunk: the last one in it, and how many on the way."""
+        chunk = _first(rows, "_chunk")
+        pos, t, _ = _ordered(rows, chunk, first_open)
         start = chunk * chunk_rows
-        if pos[-1] < start:  # nothing but the tail of the chunk before: the key ends there
-            return pd.DataFrame(columns=table_schema.names)
+        # With nothing but the tail of the chunk before, the key ends there.
+        entries = pos < start if pos[-1] >= start else np.zeros(len(pos), dtype=bool)
         last, closes = _chain_ends(_next_close(t, size, wait))
-        entries = pos < start
-        return _keyed(
-            pdf, keys, _step=chunk, _entry=pos[entries], _exit=pos[last[entries]], _closes=closes[entries]
-        )[table_schema.names]
+        n = int(entries.sum())
+        return _keyed(rows, keys, n, _step=np.full(n, chunk), _entry=pos[entries], _exit=pos[last[entries]], _closes=closes[entries])
 
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        steps = _steps(pdf)
+    def compose(rows: pa.Table) -> pa.Table:
+        """The tables of consecutive steps as the table of one larger step."""
+        steps = _steps(rows)
         entry = steps[0][1]
         at, closes = entry, np.zeros(len(entry), dtype=np.int64)
         for _, entries, exits, counts in steps:
             row = np.searchsorted(entries, at)
             at, closes = exits[row], closes + counts[row]
-        return _keyed(pdf, keys, _step=steps[0][0] // fan, _entry=entry, _exit=at, _closes=closes)[table_schema.names]
+        group = np.full(len(entry), steps[0][0] // fan)
+        return _keyed(rows, keys, len(entry), _step=group, _entry=entry, _exit=at, _closes=closes)
 
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Entries of all steps of a group, given the entry of its first step."""
-        at, before = int(pdf["_known"].iloc[0]), int(pdf["_before"].iloc[0])
+    def follow(rows: pa.Table) -> pa.Table:
+        """The true entry of every step of a group, given that of its first step."""
+        at, before = _first(rows, "_known"), _first(rows, "_before")
         found = []
-        for step, entries, exits, counts in _steps(pdf):
+        for step, entries, exits, counts in _steps(rows):
             found.append((step, at, before))
             row = int(np.searchsorted(entries, at))
             at, before = int(exits[row]), before + int(counts[row])
-        step, entry, closes = zip(*found, strict=True)
-        return _keyed(pdf, keys, _step=step, _entry=entry, _before=closes)[entry_schema.names]
+        step, entry, closes = (np.array(c, dtype=np.int64) for c in zip(*found, strict=True))
+        return _keyed(rows, keys, len(found), _step=step, _entry=entry, _before=closes)
 
-    def number_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        chunk = int(pdf["_chunk"].iloc[0])
-        pos, t, order = _ordered(pdf, chunk, first_open)
+    def number_rows(rows: pa.Table) -> pa.Table:
+        """Batch numbers of the chunk's own messages, given the last close before it."""
+        chunk = _first(rows, "_chunk")
+        pos, t, order = _ordered(rows, chunk, first_open)
         following = _next_close(t, size, wait)
-        mine = pos >= chunk * chunk_rows
         closing = np.zeros(len(pos) + 1, dtype=np.int64)
-        at = following[int(np.searchsorted(pos, int(pdf["_entry"].iloc[0])))]
+        at = following[int(np.searchsorted(pos, _first(rows, "_entry")))]
         while at < len(pos):
             closing[at + 1] = 1  # the row after a closing message is in the next batch
             at = following[at]
-        batch_no = int(pdf["_before"].iloc[0]) + np.cumsum(closing[:-1])
-        arrivals = pdf[arrival].to_numpy()[order]
-        shift = len(pos) - len(arrivals)  # one virtual message before the first chunk
-        return _keyed(
-            pdf,
-            keys,
-            **{arrival: arrivals[mine[shift:]], "message_no": pos[mine] + 1, "batch_no": batch_no[mine]},
-        )[result_schema.names]
-
-    tables = chunked.groupBy(*keys, "_chunk").applyInPandas(chunk_table, table_schema)
+        batch_no = _first(rows, "_before") + np.cumsum(closing[:-1])
+        mine = pos >= chunk * chunk_rows
+        arrivals = rows.column(arrival).take(pa.array(order[mine[len(pos) - len(order) :]]))
+        return _keyed(rows, keys, len(arrivals), **{arrival: arrivals}, message_no=pos[mine] + 1, batch_no=batch_no[mine])
+
+    tables = cut_lineage(chunked.drop(arrival).groupBy(*keys, "_chunk").applyInArrow(chunk_table, table_schema))
     group = F.expr(f"_step div {fan}").alias("_group")
-    groups = tables.groupBy(*keys, group).applyInPandas(compose, table_schema)
+    groups = tables.groupBy(*keys, group).applyInArrow(compose, table_schema)
     top = groups.withColumns({"_known": F.lit(-1).cast("bigint"), "_before": F.lit(0).cast("bigint")})
-    group_entries = _per_key(top, keys).applyInPandas(follow, entry_schema)
+    group_entries = top.groupBy(*(keys or [F.lit(0)])).applyInArrow(follow, entry_schema)
     known = group_entries.select(*keys, F.col("_step").alias("_group"), F.col("_entry").alias("_known"), "_before")
     chunk_entries = (
         tables.withColumn("_group", group)
         .join(known, [*keys, "_group"])
         .groupBy(*keys, "_group")
-        .applyInPandas(follow, entry_schema)
+        .applyInArrow(follow, entry_schema)
         .withColumnRenamed("_step", "_chunk")
     )
-    # A sort-merge join keeps the large side from being broadcast and its order serves the grouping.
+    # A sort-merge join keeps the large side from being broadcast, and its order serves the grouping.
     return (
         chunked.join(chunk_entries.hint("merge"), [*keys, "_chunk"])
         .groupBy(*keys, "_chunk")
-        .applyInPandas(number_rows, result_schema)
+        .applyInArrow(number_rows, result_schema)
     )
 
 
-def _micros(df: DataFrame, clock: str):
-    column = F.col(clock)
+def _longs(*names: str) -> list[T.StructField]:
+    return [T.StructField(n, T.LongType()) for n in names]
+
+
+def _micros(df: DataFrame, clock: str) -> Column:
     if isinstance(df.schema[clock].dataType, T.TimestampNTZType):
-        column = F.convert_timezone(F.lit("UTC"), F.current_timezone(), column).cast("timestamp")
-    return F.unix_micros(column)
+        return unix_micros(F.col(clock))
+    return F.unix_micros(clock)
 
 
-def _per_key(df: DataFrame, keys: list[str]):
-    return df.groupBy(*keys) if keys else df.groupBy(F.lit(0))
+def _first(rows: pa.Table, column: str) -> int:
+    return rows.column(column)[0].as_py()
 
 
-def _keyed(pdf: pd.DataFrame, keys: list[str], **columns) -> pd.DataFrame:
-    out = pd.DataFrame(columns) if any(np.ndim(c) for c in columns.values()) else pd.DataFrame([columns])
-    for key in keys:
-        out[key] = pdf[key].iloc[0]
-    return out
+def _keyed(rows: pa.Table, keys: list[str], n: int, **columns) -> pa.Table:
+    """Columns of ``n`` rows, after the key of the group they belong to."""
+    repeat = pa.array(np.zeros(n, dtype=np.int64))
+    return pa.table({**{k: rows.column(k).take(repeat) for k in keys}, **columns})
 
 
-def _ordered(pdf: pd.DataFrame, chunk: int, first_open: int | None):
-    order = np.argsort(pdf["_pos"].to_numpy())
-    pos = pdf["_pos"].to_numpy()[order]
-    t = pdf["_t"].to_numpy()[order]
+def _ordered(rows: pa.Table, chunk: int, first_open: int | None):
+    """Positions and times in order, with the order; the first chunk starts with a virtual message."""
+    pos = rows.column("_pos").to_numpy()
+    order = np.argsort(pos)
+    pos, t = pos[order], rows.column("_t").to_numpy()[order]
     if chunk == 0:
         pos = np.concatenate(([-1], pos))
         t = np.concatenate(([t[0] if first_open is None else first_open], t))
@@ -196,10 +204,11 @@ def _chain_ends(following: np.ndarray):
         last = further
 
 
-def _steps(pdf: pd.DataFrame):
+def _steps(rows: pa.Table):
     """The tables of a group in step order, each as arrays sorted by entry."""
-    ordered = pdf.sort_values(["_step", "_entry"])
-    step = ordered["_step"].to_numpy()
-    columns = [ordered[c].to_numpy() for c in ("_entry", "_exit", "_closes")]
+    step, entry, exits, closes = (rows.column(c).to_numpy() for c in ("_step", "_entry", "_exit", "_closes"))
+    order = np.lexsort((entry, step))
+    step = step[order]
     cuts = np.flatnonzero(np.diff(step)) + 1
-    return [(int(s[0]), *parts) for s, *parts in zip(np.split(step, cuts), *[np.split(c, cuts) for c in columns])]
+    parts = [np.split(column[order], cuts) for column in (entry, exits, closes)]
+    return [(int(s[0]), *part) for s, *part in zip(np.split(step, cuts), *parts, strict=True)]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage, shared_folder
+from tidemark.session import cut_lineage, written
 
 # A cell spans 2**CELL_BITS consecutive order values; order values are unique within a key,
 # so that is also the most rows a cell can hold.
@@ -59,7 +59,5 @@ def arrival_order(df: DataFrame, order: list[str], name: str = "arrival") -> Dat
     order. The result is a table in the shared folder, because a second evaluation would draw
     other partition bounds. ``order`` must be unique per row.
     """
-    path = shared_folder(df.sparkSession, "arrival")
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return written(ranged.withColumn(name, F.monotonically_increasing_id()), "arrival")

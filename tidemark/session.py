@@ -66,3 +66,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """A frame as a table in the shared folder: computed once, read back with column pruning."""
+    path = shared_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
