@@ -136,3 +136,23 @@ def test_legacy_status_defaults(spark, at):
     )
     found = C.legacy_status_rows(rows, F.lit(at(0))).first()
     assert (found.partition_id, found.waterlevel, found.eventhub) == ("0", 42, "topic1")
+
+
+def test_key_filters_reach_the_scan(spark, at, tmp_path):
+    control(spark, at, [(0, "0", 1)]).write.parquet(str(tmp_path / "c"))
+    points = C.resume_points(C.entries_of(spark.read.parquet(str(tmp_path / "c")), KEY))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = points._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "EqualTo(eventhub,topic1)" in scan and "IsNotNull(partition_id)" in scan
+    assert "metadata" not in scan and "ts_inserted" not in scan
+
+
+@pytest.mark.parametrize("start, mark", [("latest", "@latest"), ("earliest", "-1")])
+def test_start_positions(spark, at, start, mark):
+    partitions = spark.createDataFrame([("0",), ("1",)], "partition_id string")
+    found = C.start_positions(partitions, C.resume_points(control(spark, at, [(0, "0", 0)])), ["partition_id"], start)
+    assert {tuple(r) for r in found.collect()} == {("0", "0", True), ("1", mark, False)}

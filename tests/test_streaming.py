@@ -12,7 +12,7 @@ from tidemark.sources.streams import file_stream
 from tidemark.streaming.progress import LatestProgress, recent_progress, statuses
 from tidemark.streaming.retry import RetryPolicy, triaged_retry
 from tidemark.streaming.runner import deduplicated, drain, start_route, start_routes, wait_all
-from tidemark.streaming.sink import Lake, Route, RouteSink, read_table
+from tidemark.streaming.sink import Lake, Route, RouteSink, read_control, read_table
 
 ROUTE = Route("SOURCE_1", "TARGET_1", "ns", "topic1", "$Default", "lake", "ingest", "table1")
 QUICK = {"sleep": lambda seconds: None}
@@ -78,7 +78,7 @@ def test_stream_lands_rows_levels_and_audit(spark, feed, lake):
     assert [(r.messages, r.partitions, r.success, r.attempts) for r in rows] == [(10, 3, True, 1), (15, 3, True, 1)]
     total = A.stats_rollup(audit(spark, lake)).filter("mapping IS NULL").first()
     assert (total.messages_processed, total.batches_processed) == (25, 2)
-    metadata = C.typed_metadata(read_table(spark, lake.control, schemas.CONTROL)).filter("waterlevel = 48").first()
+    metadata = C.typed_metadata(read_control(spark, lake, ROUTE)).filter("waterlevel = 48").first()
     assert metadata.sequence_number == 24
 
 

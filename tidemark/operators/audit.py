@@ -94,8 +94,9 @@ def trace_filter(
     success: bool | None = None,
     slower_than_ms: float | None = None,
     mapping: str | None = None,
+    partition: str | None = None,
 ) -> DataFrame:
-    """Audit rows by outcome, duration and mapping."""
+    """Audit rows by outcome, duration, mapping and, for rows per partition, the partition."""
     rows = audit.withColumn("duration_ms", duration_ms(F.col("started"), F.col("ended")))
     if success is not None:
         rows = rows.filter(F.col("success") == success)
@@ -103,6 +104,8 @@ def trace_filter(
         rows = rows.filter(F.col("duration_ms") > slower_than_ms)
     if mapping is not None:
         rows = rows.filter(F.col("mapping") == mapping)
+    if partition is not None:
+        rows = rows.filter(F.col("partition_id") == partition)
     return rows
 
 

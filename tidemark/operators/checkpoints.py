@@ -11,6 +11,9 @@ from tidemark import schemas
 from tidemark.functions.envelope import checkpoint_metadata, metadata_field, with_columns_of
 from tidemark.operators.joins import lookup_join
 
+# Marks of the two ends of a stream.
+START_MARKS = {"earliest": "-1", "latest": "@latest"}
+
 
 @dataclass(frozen=True)
 class ControlKey:
@@ -102,6 +105,20 @@ def checkpoint_listing(points: DataFrame, namespace: Column, hub: Column, consum
     )
 
 
+def start_positions(partitions: DataFrame, points: DataFrame, on: list[str], start_position: str = "latest") -> DataFrame:
+    """Where each partition starts to read (S2): after its resume point, else at the given end.
+
+    ``starts_at`` is the offset to continue after, or the mark of an end of the stream.
+    """
+    mark = F.lit(START_MARKS[start_position])
+    known = lookup_join(partitions, points.select(*on, "waterlevel"), on, "left")
+    return known.select(
+        *partitions.columns,
+        F.coalesce(F.col("waterlevel").cast("string"), mark).alias("starts_at"),
+        F.col("waterlevel").isNotNull().alias("resumed"),
+    )
+
+
 def ordered_listing(control: DataFrame) -> DataFrame:
     """Partition and waterlevel of every control row in text order of the partition."""
     return control.select("partition_id", "waterlevel").orderBy("partition_id", "waterlevel")

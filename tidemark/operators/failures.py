@@ -29,6 +29,8 @@ PERMISSION_KEYWORDS = [
     "401",
     "403",
 ]
+# What a failed run as a whole is searched for.
+RUN_PERMISSION_KEYWORDS = ["authenticationerror", "not authorized", "permission", "unauthorized"]
 
 
 @dataclass(frozen=True)
@@ -67,18 +69,24 @@ RULES = [
 UNKNOWN = Rule("", False, "no rule matched; stopping for safety", confidence=0.0, suggested_wait_seconds=1)
 
 
-def error_kind(message: Column) -> Column:
-    """``credential``, ``permission`` or ``other``; credentials are tested first."""
-    text = F.lower(message)
+def says_any(message: Column, keywords: list[str]) -> Column:
+    return F.lower(message).rlike("|".join(keywords))
 
-    def any_of(words):
-        return text.rlike("|".join(words))
 
+def error_kind(message: Column) -> Column:
+    """``credential``, ``permission`` or ``other``; credentials are tested first."""
     return (
-        F.when(any_of(CREDENTIAL_KEYWORDS), "credential").when(any_of(PERMISSION_KEYWORDS), "permission").otherwise("other")
+        F.when(says_any(message, CREDENTIAL_KEYWORDS), "credential")
+        .when(says_any(message, PERMISSION_KEYWORDS), "permission")
+        .otherwise("other")
     )
 
 
+def lacks_permission(message: Column) -> Column:
+    """Whether a run ended for want of a permission, by the shorter keyword list."""
+    return says_any(message, RUN_PERMISSION_KEYWORDS)
+
+
 def decision(error_type: Column, message: Column, rules: list[Rule] | None = None) -> Column:
     """Struct with the decision of the first matching rule."""
     text = F.lower(F.concat(error_type, F.lit(": "), message))

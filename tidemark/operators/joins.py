@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
 
-# Lookup frames up to this many rows are broadcast; larger ones take the salted join.
+# Lookup frames up to this many rows and bytes are broadcast; larger ones take the salted join.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 # A key is hot when it holds more than one row in HOT_SHARE, so there are fewer hot keys than that.
 HOT_SHARE = 10_000
 SALTS = 64
@@ -33,7 +34,7 @@ def lookup_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     head = lookup.limit(broadcast_rows + 1).toArrow()
-    if head.num_rows <= broadcast_rows:
+    if head.num_rows <= broadcast_rows and head.nbytes <= BROADCAST_BYTES:
         local = lookup.sparkSession.createDataFrame(head, lookup.schema)
         return large.join(F.broadcast(local), on, how)
     return salted_join(large, lookup, on, how, spread)

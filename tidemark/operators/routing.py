@@ -42,6 +42,11 @@ def match_routes(sources: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def find_route(routes: DataFrame, source_key: str) -> DataFrame:
+    """The route of one source, by its key."""
+    return routes.filter(F.col("source_key") == source_key)
+
+
 def unmatched(sources: DataFrame, targets: DataFrame) -> DataFrame:
     """Keys on either side without a partner."""
     complete = complete_targets(targets)

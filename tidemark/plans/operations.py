@@ -80,6 +80,18 @@ SELECT *, CAST((epoch_us(ended) - epoch_us(started)) / 1000.0 AS DOUBLE) AS dura
 WHERE NOT success AND epoch_us(ended) - epoch_us(started) > 14400000000"""
 
 
+def partition_trace(spark, sf_dir):
+    """What each batch held of one partition."""
+    facts = A.audit_batches(I.batched(spark, sf_dir), ["eventhub", "batch_no", "partition_id"])
+    return A.trace_filter(facts, partition="0").drop("partitions")
+
+
+PARTITION_TRACE = f"""WITH {I.BATCHED}
+SELECT eventhub, batch_no, partition_id, min(enqueued_time) AS started, max(enqueued_time) AS ended, count(*) AS messages,
+  CAST((epoch_us(max(enqueued_time)) - epoch_us(min(enqueued_time))) / 1000.0 AS DOUBLE) AS duration_ms
+FROM batched WHERE partition_id = '0' GROUP BY ALL"""
+
+
 def checkpoint_success(spark, sf_dir):
     """A14"""
     return A.checkpoint_success_rates(I.batch_audit(spark, sf_dir), ["mapping"])
@@ -127,13 +139,15 @@ def error_triage(spark, sf_dir):
         T.error_kind(F.col("message")).alias("kind"),
         X.error_signature(F.col("error_type"), F.col("message")).alias("signature"),
         X.truncated(F.col("message"), 20).alias("sample"),
+        T.lacks_permission(F.concat("error_type", F.lit(" "), "message")).alias("lacks_permission"),
     )
 
 
 ERROR_TRIAGE = f"""WITH {I.FAILURES}
 SELECT event_id, signature, left(message, 20) AS sample,
   CASE WHEN regexp_matches(lower(message), '{"|".join(T.CREDENTIAL_KEYWORDS)}') THEN 'credential'
-    WHEN regexp_matches(lower(message), '{"|".join(T.PERMISSION_KEYWORDS)}') THEN 'permission' ELSE 'other' END AS kind
+    WHEN regexp_matches(lower(message), '{"|".join(T.PERMISSION_KEYWORDS)}') THEN 'permission' ELSE 'other' END AS kind,
+  regexp_matches(lower(concat(error_type, ' ', message)), '{"|".join(T.RUN_PERMISSION_KEYWORDS)}') AS lacks_permission
 FROM signed"""
 
 
@@ -168,6 +182,7 @@ QUERIES = {
     "route_rollup": (route_rollup, ROUTE_ROLLUP),
     "health_rollup": (health_rollup, HEALTH_ROLLUP),
     "trace_filter": (trace_filter, TRACE_FILTER),
+    "partition_trace": (partition_trace, PARTITION_TRACE),
     "checkpoint_success": (checkpoint_success, CHECKPOINT_SUCCESS),
     "throughput_windows": (throughput_windows, THROUGHPUT_WINDOWS),
     "error_rate": (error_rate, ERROR_RATE),

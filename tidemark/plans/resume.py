@@ -120,6 +120,20 @@ RESUME_FILTER = UNSEEN + "true)"
 RESUME_FILTER_LATEST = UNSEEN + "false)"
 
 
+def start_positions(spark, sf_dir):
+    """Every partition that has messages, resumed or at the end of its stream."""
+    on = ["eventhub", "partition_id"]
+    partitions = I.messages(spark, sf_dir).select(*on).distinct()
+    return C.start_positions(partitions, C.resume_points(I.control_log(spark, sf_dir), on), on)
+
+
+START_POSITIONS = f"""WITH {I.CONTROL},
+points AS (SELECT eventhub, partition_id, max(waterlevel) AS waterlevel FROM control
+  WHERE partition_id IS NOT NULL GROUP BY ALL)
+SELECT eventhub, partition_id, coalesce(CAST(waterlevel AS VARCHAR), '@latest') AS starts_at, waterlevel IS NOT NULL AS resumed
+FROM (SELECT DISTINCT eventhub, partition_id FROM messages) LEFT JOIN points USING (eventhub, partition_id)"""
+
+
 def checkpoint_log(spark, sf_dir):
     """Control rows of every batch, with metadata read back."""
     reached = B.batch_waterlevels(I.batched(spark, sf_dir), ["eventhub_namespace", "eventhub", "batch_no", "partition_id"])
@@ -209,6 +223,7 @@ QUERIES = {
     "checkpoint_listing": (checkpoint_listing, CHECKPOINT_LISTING),
     "resume_filter": (resume_filter, RESUME_FILTER),
     "resume_filter_latest": (resume_filter_latest, RESUME_FILTER_LATEST),
+    "start_positions": (start_positions, START_POSITIONS),
     "checkpoint_log": (checkpoint_log, CHECKPOINT_LOG),
     "partition_metadata": (partition_metadata, PARTITION_METADATA),
     "metadata_sequence": (metadata_sequence, METADATA_SEQUENCE),

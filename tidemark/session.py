@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,11 +51,15 @@ def shared_root(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return root.rstrip("/")
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"

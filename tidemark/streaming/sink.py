@@ -97,6 +97,11 @@ def _now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
+def read_control(spark: SparkSession, lake: Lake, route: Route) -> DataFrame:
+    """Control rows one route wrote, from its own folder only; input of ``entries_of`` (F2)."""
+    return read_table(spark, f"{lake.control}/source_key={route.source_key}", schemas.CONTROL)
+
+
 class RouteSink:
     """Function for ``foreachBatch`` that lands one route's micro-batches.
 
