@@ -70,8 +70,9 @@ def audit(spark, lake):
     return read_table(spark, lake.audit, schemas.BATCH_AUDIT)
 
 
-def test_stream_lands_rows_levels_and_audit(spark, feed, lake):
-    run(feed, RouteSink(ROUTE, lake))
+@pytest.mark.parametrize("cache", [False, True])
+def test_stream_lands_rows_levels_and_audit(spark, feed, lake, cache):
+    run(feed, RouteSink(ROUTE, lake, cache=cache))
     assert landed(spark, lake) == list(range(25))
     assert levels(spark, lake) == {"0": 48, "1": 44, "2": 46}
     rows = audit(spark, lake).orderBy("batch_id").collect()

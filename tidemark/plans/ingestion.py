@@ -10,6 +10,7 @@ from tidemark.functions import envelope as E
 from tidemark.functions import text as X
 from tidemark.operators import routing as R
 from tidemark.plans import inputs as I
+from tidemark.session import shared_folder
 
 INGESTED = datetime(2024, 2, 1)
 
@@ -131,12 +132,11 @@ SELECT partition_id, sequence_number, coalesce(TRY_CAST("offset" AS BIGINT), seq
 
 
 def mask_secret(spark, sf_dir):
-    """Names as secrets, and as the token in a connection text."""
+    """Numbers of any length as secrets, and names as the token in a connection text."""
     customers = I.table(spark, sf_dir, "customer")
-    short = F.substring("c_name", 1, (F.col("c_custkey") % 8).cast("int"))
     return customers.select(
         "c_custkey",
-        X.mask_secret(short).alias("masked"),
+        X.mask_secret((F.col("c_custkey") * 13).cast("string")).alias("masked"),
         X.mask_connection(F.concat(F.lit("db:lake?token="), "c_name")).alias("connection"),
     )
 
@@ -144,7 +144,7 @@ def mask_secret(spark, sf_dir):
 MASK_SECRET = """
 SELECT c_custkey, CASE WHEN length(s) > 4 THEN concat('***', right(s, 4)) ELSE '***' END AS masked,
   'db:lake?token=***' AS connection
-FROM (SELECT c_custkey, left(c_name, c_custkey % 8) AS s FROM customer)"""
+FROM (SELECT c_custkey, CAST(c_custkey * 13 AS VARCHAR) AS s FROM customer)"""
 
 
 def routes_matched(spark, sf_dir):
@@ -222,6 +222,19 @@ SELECT sequence_number, concat(eventhub, '-prod-west-', partition_id) AS channel
   mapping, table_name FROM valid JOIN routes ON eventhub = name"""
 
 
+def routed_tables(spark, sf_dir):
+    """Messages written to one folder per target and read back."""
+    routed = R.route_messages(I.valid_messages(spark, sf_dir), _routes(spark, sf_dir), ["eventhub"])
+    folder = shared_folder(spark, "routed")
+    rows = routed.select("table_name", "eventhub", "partition_id", "sequence_number", "body")
+    R.write_routed(rows, folder, ["table_name"])
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+ROUTED_TABLES = f"""WITH {I.MESSAGES}, {I.ROUTES}
+SELECT table_name, eventhub, partition_id, sequence_number, body FROM valid JOIN routes ON eventhub = name"""
+
+
 def unrouted_messages(spark, sf_dir):
     """Messages of streams without a route."""
     lost = R.unrouted_messages(I.valid_messages(spark, sf_dir), _routes(spark, sf_dir), ["eventhub"])
@@ -247,5 +260,6 @@ QUERIES = {
     "routes_invalid": (routes_invalid, ROUTES_INVALID),
     "config_counts": (config_counts, CONFIG_COUNTS),
     "channel_names": (channel_names, CHANNEL_NAMES),
+    "routed_tables": (routed_tables, ROUTED_TABLES),
     "unrouted_messages": (unrouted_messages, UNROUTED_MESSAGES),
 }

@@ -138,13 +138,13 @@ def error_triage(spark, sf_dir):
         "event_id",
         T.error_kind(F.col("message")).alias("kind"),
         X.error_signature(F.col("error_type"), F.col("message")).alias("signature"),
-        X.truncated(F.col("message"), 20).alias("sample"),
+        X.truncated(F.col("message"), 100).alias("sample"),
         T.lacks_permission(F.concat("error_type", F.lit(" "), "message")).alias("lacks_permission"),
     )
 
 
 ERROR_TRIAGE = f"""WITH {I.FAILURES}
-SELECT event_id, signature, left(message, 20) AS sample,
+SELECT event_id, signature, left(message, 100) AS sample,
   CASE WHEN regexp_matches(lower(message), '{"|".join(T.CREDENTIAL_KEYWORDS)}') THEN 'credential'
     WHEN regexp_matches(lower(message), '{"|".join(T.PERMISSION_KEYWORDS)}') THEN 'permission' ELSE 'other' END AS kind,
   regexp_matches(lower(concat(error_type, ' ', message)), '{"|".join(T.RUN_PERMISSION_KEYWORDS)}') AS lacks_permission

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -10,8 +11,8 @@ from tidemark.operators import checkpoints as C
 from tidemark.plans import inputs as I
 from tidemark.session import shared_folder
 from tidemark.sources.streams import file_stream
-from tidemark.streaming.runner import start_routes, wait_all
-from tidemark.streaming.sink import Lake, Route, read_table
+from tidemark.streaming.runner import deduplicated, start_route, start_routes, wait_all
+from tidemark.streaming.sink import Lake, Route, RouteSink, read_table
 
 ROUTES = [
     Route(f"SOURCE_{n}", f"TARGET_{n}", "ns0", kind, "$Default", "lake", "ingest", f"{kind}_events")
@@ -19,21 +20,28 @@ ROUTES = [
 ]
 
 
+def _events(spark, sf_dir):
+    schema = I.table(spark, sf_dir, "events").schema
+    # As a pattern, the path may be one file or a folder of files; a stream takes no plain file.
+    return file_stream(spark, f"{sf_dir}/events.parque[t]", schema, max_files=1000)
+
+
+def _messages(events):
+    return events.selectExpr(
+        "concat(event_type, ' ', props) AS body",
+        "cast(user_id % 4 AS string) AS partition_id",
+        "event_id AS sequence_number",
+        "CASE WHEN event_id % 11 = 0 THEN 'invalid' ELSE cast(event_id * 64 AS string) END AS offset",
+        "ts AS enqueued_time",
+        "map('type', encode(event_type, 'UTF-8')) AS properties",
+    )
+
+
 def _run(spark, sf_dir) -> Lake:
     """One streaming query per event type over the events files, all at once, until they are drained."""
-    schema = I.table(spark, sf_dir, "events").schema
 
     def open_stream(route):
-        # As a pattern, the path may be one file or a folder of files; a stream takes no plain file.
-        events = file_stream(spark, f"{sf_dir}/events.parque[t]", schema, max_files=1000)
-        return events.filter(F.col("event_type") == route.hub).selectExpr(
-            "concat(event_type, ' ', props) AS body",
-            "cast(user_id % 4 AS string) AS partition_id",
-            "event_id AS sequence_number",
-            "CASE WHEN event_id % 11 = 0 THEN 'invalid' ELSE cast(event_id * 64 AS string) END AS offset",
-            "ts AS enqueued_time",
-            "map('type', encode(event_type, 'UTF-8')) AS properties",
-        )
+        return _messages(_events(spark, sf_dir).filter(F.col("event_type") == route.hub))
 
     lake = Lake(shared_folder(spark, "lake"))
     wait_all(start_routes(ROUTES, lake, open_stream).values())
@@ -87,7 +95,62 @@ SELECT concat('SOURCE_', n, '->TARGET_', n) AS mapping, true AS success, message
     count(DISTINCT user_id % 4) AS partitions FROM events GROUP BY event_type)"""
 
 
+class _CrashingSink(RouteSink):
+    """Loses its first micro-batch between the target rows and the control rows."""
+
+    def write_control(self, messages, batch_id):
+        raise RuntimeError("crash before the control rows")
+
+
+def stream_replay(spark, sf_dir):
+    """A run that dies after writing target rows, and the run that takes over."""
+    everything = Route("SOURCE_ALL", "TARGET_ALL", "ns0", "all", "$Default", "lake", "ingest")
+    lake = Lake(shared_folder(spark, "lake"))
+    try:
+        wait_all([start_route(_messages(_events(spark, sf_dir)), _CrashingSink(everything, lake))])
+    except StreamingQueryException as error:
+        if "crash before the control rows" not in str(error):
+            raise
+    wait_all([start_route(_messages(_events(spark, sf_dir)), RouteSink(everything, lake))])
+    rows = read_table(spark, lake.target(everything), schemas.TARGET)
+    return rows.select("event_body", "partition_id", "sequence_number", "enqueued_time")
+
+
+STREAM_REPLAY = """
+SELECT concat(event_type, ' ', props) AS event_body, CAST(user_id % 4 AS VARCHAR) AS partition_id,
+  event_id AS sequence_number, ts AS enqueued_time FROM events"""
+
+
+def stream_dedup(spark, sf_dir):
+    """X11: every message delivered twice, a third of them five times; one copy of each lands."""
+    copies = F.when(F.col("event_id") % 3 == 0, F.sequence(F.lit(1), F.lit(5))).otherwise(F.sequence(F.lit(1), F.lit(2)))
+    delivered = _events(spark, sf_dir).select(
+        F.col("ts").cast("timestamp").alias("time"),
+        (F.col("user_id") % 4).cast("string").alias("partition_id"),
+        F.col("event_id").alias("sequence_number"),
+        F.explode(copies).alias("delivery"),
+    )
+    folder = shared_folder(spark, "dedup")
+    # Longer than the data's whole time span, so that no row of any file counts as late.
+    kept = deduplicated(delivered, "time", "400 days").select("partition_id", "sequence_number")
+    wait_all(
+        [
+            kept.writeStream.format("parquet")
+            .option("path", f"{folder}/rows")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        ]
+    )
+    return spark.read.schema(kept.schema).parquet(f"{folder}/rows")
+
+
+STREAM_DEDUP = "SELECT CAST(user_id % 4 AS VARCHAR) AS partition_id, event_id AS sequence_number FROM events"
+
+
 QUERIES = {
+    "stream_replay": (stream_replay, STREAM_REPLAY),
+    "stream_dedup": (stream_dedup, STREAM_DEDUP),
     "stream_target": (stream_target, STREAM_TARGET),
     "stream_resume": (stream_resume, STREAM_RESUME),
     "stream_audit": (stream_audit, STREAM_AUDIT),

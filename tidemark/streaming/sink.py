@@ -110,7 +110,9 @@ class RouteSink:
     checkpoint: messages up to them are left out (J5). ``on_failure`` is ``raise``, which leaves
     the batch uncommitted for replay, or ``dead_letter``, which keeps its messages in a table of
     their own and goes on without a checkpoint (S5, X7). ``drop_copies`` lands messages that occur
-    twice in a micro-batch once (X11), at the price of a shuffle of the batch.
+    twice in a micro-batch once (X11), at the price of a shuffle of the batch. ``cache`` keeps a
+    micro-batch, in memory or on disk, between the passes for target and control rows; it pays for
+    sources that are slow to read twice, such as brokers, and for shuffled batches.
     """
 
     def __init__(
@@ -121,6 +123,7 @@ class RouteSink:
         retry: RetryPolicy | None = None,
         on_failure: str = "raise",
         drop_copies: bool = False,
+        cache: bool = False,
         resume: DataFrame | None = None,
         start_position: str = "earliest",
     ):
@@ -132,17 +135,28 @@ class RouteSink:
         self.retry = retry or RetryPolicy()
         self.on_failure = on_failure
         self.drop_copies = drop_copies
+        self.cache = cache
         self.resume = resume
         self.start_position = start_position
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        started = _now()
         messages = self.accepted(batch)
         if messages.isEmpty():
             return  # nothing to write, no checkpoint (F3)
         if self.drop_copies:
             messages = messages.dropDuplicates(["partition_id", "sequence_number"])
+        if not self.cache:
+            return self.land(messages, batch_id)
+        messages = messages.persist()
+        try:
+            self.land(messages, batch_id)
+        finally:
+            messages.unpersist()
+
+    def land(self, messages: DataFrame, batch_id: int) -> None:
+        """Target rows, control rows and audit row of one micro-batch, in this order."""
+        spark = messages.sparkSession
+        started = _now()
         rows = to_target_rows(messages, F.lit(started))
 
         def process():
