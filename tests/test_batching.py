@@ -115,6 +115,25 @@ def test_age_batches_from_a_start_time(spark, at):
     assert numbers(found, "batch_no") == brute_force(rows, 8, 12, start=-30)
 
 
+def test_age_batches_without_keys(spark, at):
+    rows = [("a", a, t) for _, a, t in random_stream(3, 150, [0, 1, 3])]
+    df = frame(spark, rows, at).drop("k")
+    found = batches_by_size_or_age(df, [], clock="t", size=9, max_wait_seconds=8, chunk_rows=20, fan=2).collect()
+    assert {("a", r.arrival): r.batch_no for r in found} == brute_force(rows, 9, 8)
+
+
+def test_null_keys_are_refused(spark, at):
+    with pytest.raises(Exception, match="must not be NULL"):
+        batches_by_size_or_age(frame(spark, [(None, 1, 0), ("a", 2, 1)], at), ["k"], clock="t").collect()
+
+
+def test_zoned_clock(spark, at):
+    rows = random_stream(8, 60, [0, 1, 3])
+    df = frame(spark, rows, at).withColumn("t", F.col("t").cast("timestamp"))
+    found = batches_by_size_or_age(df, ["k"], clock="t", size=9, max_wait_seconds=8, start_time=str(at(-5))).collect()
+    assert numbers(found, "batch_no") == brute_force(rows, 9, 8, start=-5)
+
+
 def test_clock_that_runs_backwards_is_refused(spark, at):
     df = frame(spark, [("a", 1, 5), ("a", 2, 4)], at)
     with pytest.raises(PythonException, match="runs backwards"):

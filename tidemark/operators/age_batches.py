@@ -68,7 +68,8 @@ def batches_by_size_or_age(
 
     # Only the ordering columns take part; wide payloads stay out of these shuffles.
     narrow = df.select(*keys, arrival, _micros(df, clock).alias("_t"))
-    position = (F.col("message_no") - 1).alias("_pos")
+    no_key = F.raise_error(F.lit("keys and arrival must not be NULL")).cast("bigint")
+    position = (F.coalesce("message_no", no_key) - 1).alias("_pos")
     # Numbered once for both passes over the chunks; sorted positions and times compress well.
     numbered = written(number_messages(narrow, keys, arrival, cell_bits).select(*keys, arrival, "_t", position), "numbered")
     own = F.expr(f"_pos div {chunk_rows}")
@@ -133,7 +134,7 @@ def batches_by_size_or_age(
     group = F.expr(f"_step div {fan}").alias("_group")
     groups = tables.groupBy(*keys, group).applyInArrow(compose, table_schema)
     top = groups.withColumns({"_known": F.lit(-1).cast("bigint"), "_before": F.lit(0).cast("bigint")})
-    group_entries = top.groupBy(*(keys or [F.lit(0)])).applyInArrow(follow, entry_schema)
+    group_entries = top.groupBy(*keys).applyInArrow(follow, entry_schema)
     known = group_entries.select(*keys, F.col("_step").alias("_group"), F.col("_entry").alias("_known"), "_before")
     chunk_entries = (
         tables.withColumn("_group", group)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,12 +61,15 @@ def salted_join(
 ) -> DataFrame:
     """Shuffled join in which the rows of each hot key are spread over ``salts`` tasks.
 
-    Only lookup rows of hot keys are repeated. ``spread`` is a column whose hash tells the rows of
-    one key apart; all columns but the key by default.
+    Only lookup rows of hot keys are repeated. Rows with a NULL key match nothing and are spread as
+    well. ``spread`` is a column whose hash tells the rows of one key apart; all columns but the key
+    by default.
     """
     hot = F.broadcast(hot_keys(large, on, share).withColumn("_hot", F.lit(True)))
     rest = [spread] if spread else [c for c in large.columns if c not in on] or on
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")).otherwise(0)
+    unmatched = reduce(or_, [F.col(k).isNull() for k in on])
+    bucket = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")
+    salt = F.when(F.col("_hot") | unmatched, bucket).otherwise(0)
     every_salt = F.array(*[F.lit(i) for i in range(salts)])
     repeats = F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0))))
     salted = large.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
