@@ -1,3 +1,4 @@
+import time
 import uuid
 
 import pytest
@@ -235,9 +236,14 @@ def test_drain_lands_everything_before_it_stops(spark, feed, lake):
     try:
         query = start_route(feed.stream(), RouteSink(ROUTE, lake), every="1 second")
         drain(query)
+        deadline = time.time() + 30  # events arrive on a thread of their own
+        while ROUTE.mapping not in listener.ended and time.time() < deadline:
+            time.sleep(0.1)
     finally:
         spark.streams.removeListener(listener)
     assert not query.isActive
+    assert listener.ended == {ROUTE.mapping: None}
+    assert listener.progress[ROUTE.mapping]["batch_id"] >= 1
     assert landed(spark, lake) == list(range(25))
 
 

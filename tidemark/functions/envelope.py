@@ -10,13 +10,18 @@ from tidemark import schemas
 from tidemark.functions.text import as_json, body_text
 
 
+def is_empty_json(column: Column) -> Column:
+    """Whether JSON text holds nothing: blank, null or an empty object."""
+    return column.rlike(r"^\s*(\{\s*\}|null)?\s*$")
+
+
 def properties_json(column: Column, data_type: T.DataType) -> Column:
     """Properties as JSON text; a missing or empty map is NULL.
 
     Text input is taken as JSON already encoded by the producer.
     """
     if isinstance(data_type, T.StringType):
-        return F.when(~F.regexp_replace(column, r"\s", "").isin("", "{}", "null"), column)
+        return F.when(~is_empty_json(column), column)
     if isinstance(data_type, T.MapType):
         return F.when(F.size(column) > 0, as_json(column, data_type))
     return as_json(column, data_type)
@@ -43,7 +48,8 @@ def parse_offset(offset: Column, sequence_number: Column) -> Column:
 
     Single underscores between digits are accepted as separators.
     """
-    digits = F.regexp_replace(F.trim(offset), r"(?<=\d)_(?=\d)", "")
+    plain = F.regexp_replace(offset, r"(?<=\d)_(?=\d)", "")
+    digits = F.when(offset.contains("_"), plain).otherwise(offset)
     return F.coalesce(digits.try_cast("bigint"), sequence_number)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.envelope import checkpoint_metadata, metadata_field, with_columns_of
+from tidemark.functions.envelope import checkpoint_metadata, is_empty_json, metadata_field, with_columns_of
 from tidemark.operators.joins import lookup_join
 
 # Marks of the two ends of a stream.
@@ -160,8 +160,8 @@ def control_rows(
             F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")
         )
     if "metadata" in waterlevels.columns:
-        is_empty = F.regexp_replace("metadata", r"\s", "").isin("", "{}", "null")
-        waterlevels = waterlevels.withColumn("metadata", F.when(~is_empty, F.col("metadata")))
+        metadata = F.col("metadata")
+        waterlevels = waterlevels.withColumn("metadata", F.when(~is_empty_json(metadata), metadata))
     return with_columns_of(waterlevels.withColumn("ts_inserted", ts_inserted), schemas.CONTROL)
 
 

@@ -197,11 +197,43 @@ LEGACY_STATUS = f"""WITH {I.CONTROL}
 SELECT * REPLACE (TIMESTAMP '2024-02-01 00:00:00' AS ts_inserted, coalesce(partition_id, '0') AS partition_id) FROM control"""
 
 
+def _table_place(spark, label):
+    """A new folder, and a database name that goes with it."""
+    folder = shared_folder(spark, label)
+    return folder, f"tidemark_{folder.rsplit('-', 1)[-1]}"
+
+
+def target_table(spark, sf_dir):
+    """Create the target table of a mapping and append its rows."""
+    folder, database = _table_place(spark, "target-table")
+    table = tables.create_target_table(spark, database, "ingest", "events", folder)
+    tables.append_target(table, E.to_target_rows(I.valid_messages(spark, sf_dir), F.lit("2024-02-01").cast("timestamp_ntz")))
+    return spark.table(table)
+
+
+TARGET_TABLE = f"""WITH {I.MESSAGES}
+SELECT body AS event_body, partition_id, sequence_number, enqueued_time, properties,
+  CAST(NULL AS VARCHAR) AS system_properties, TIMESTAMP '2024-02-01 00:00:00' AS ingestion_timestamp FROM valid"""
+
+
+def status_table(spark, sf_dir):
+    """Rows without a partition are accepted, and an absent insert time is filled in."""
+    folder, database = _table_place(spark, "status-table")
+    table = tables.create_status_table(spark, database, "control", location=folder)
+    untimed = F.when(F.col("waterlevel") % 3 > 0, F.col("ts_inserted"))
+    tables.append_status(table, I.control_log(spark, sf_dir).withColumn("ts_inserted", untimed))
+    filled = (F.col("waterlevel") % 3 == 0) & F.col("ts_inserted").isNotNull()
+    return spark.table(table).select("eventhub", "partition_id", "waterlevel", filled.alias("filled"), "metadata")
+
+
+STATUS_TABLE = f"""WITH {I.CONTROL}
+SELECT eventhub, partition_id, waterlevel, waterlevel % 3 = 0 AS filled, metadata FROM control"""
+
+
 def control_table(spark, sf_dir):
     """Fill a strict control table, list it, purge it, count what is left."""
-    folder = shared_folder(spark, "control-table")
-    name = folder.rsplit("-", 1)[-1]
-    table = tables.create_control_table(spark, f"tidemark_{name}", "control", "waterlevels", folder)
+    folder, database = _table_place(spark, "control-table")
+    table = tables.create_control_table(spark, database, "control", "waterlevels", folder)
     tables.append_control(table, I.control_log(spark, sf_dir).filter("partition_id IS NOT NULL"))
     counted = C.purge_summary(tables.list_control(spark, table)).withColumn("step", F.lit("before"))
     before = spark.createDataFrame(counted.collect(), counted.schema)
@@ -228,5 +260,7 @@ QUERIES = {
     "partition_metadata": (partition_metadata, PARTITION_METADATA),
     "metadata_sequence": (metadata_sequence, METADATA_SEQUENCE),
     "legacy_status": (legacy_status, LEGACY_STATUS),
+    "target_table": (target_table, TARGET_TABLE),
+    "status_table": (status_table, STATUS_TABLE),
     "control_table": (control_table, CONTROL_TABLE),
 }
