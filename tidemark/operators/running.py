@@ -10,7 +10,7 @@ from tidemark.session import cut_lineage, written
 
 # A cell spans 2**CELL_BITS consecutive order values; order values are unique within a key,
 # so that is also the most rows a cell can hold.
-CELL_BITS = 20
+CELL_BITS = 16
 
 
 def running_totals(
