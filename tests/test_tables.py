@@ -8,6 +8,7 @@ from tidemark import schemas
 from tidemark.functions.envelope import to_target_rows
 from tidemark.operators import checkpoints as C
 from tidemark.sources import streams, tables
+from tidemark.streaming.sink import Lake, Route, RouteSink, read_control, read_table
 
 KEY = C.ControlKey("ns", "hub", "lake", "ingest", "t")
 
@@ -58,15 +59,33 @@ def test_starting_offsets(spark):
     assert json.loads(streams.starting_offsets(points, "hub", 2, "earliest"))["hub"] == {"0": 42, "1": -2}
 
 
-def test_kafka_records_as_messages(spark):
-    records = spark.sql(
+@pytest.fixture
+def records(spark):
+    return spark.sql(
         """SELECT CAST('k' AS binary) AS key, X'FF41' AS value, 'hub' AS topic, 3 AS partition, 17L AS offset,
              timestamp '2025-10-17 12:00:00' AS timestamp,
              array(struct('h' AS key, CAST('old' AS binary) AS value), struct('h' AS key, CAST('new' AS binary) AS value)) AS headers
            UNION ALL SELECT NULL, X'42', 'hub', 0, 1L, timestamp '2025-10-17 12:00:00', NULL"""
     )
+
+
+def test_kafka_records_as_messages(records):
     rows = {r.sequence_number: r for r in to_target_rows(streams.from_kafka(records)).collect()}
     assert rows[17].event_body == "�A" and rows[17].partition_id == "3"
     assert rows[17].properties == '{"h":"new"}'
     assert json.loads(rows[17].system_properties) == {"topic": "hub", "key": "k"}
     assert rows[1].properties is None
+
+
+def test_kafka_records_through_the_sink(spark, records, tmp_path, at):
+    route = Route("S", "T", "ns", "hub", "$Default", "lake", "ingest")
+    lake = Lake(str(tmp_path))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        RouteSink(route, lake)(streams.from_kafka(records), 7)
+        rows = read_table(spark, lake.target(route), schemas.TARGET).orderBy("sequence_number").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [(r.partition_id, r.sequence_number) for r in rows] == [("0", 1), ("3", 17)]
+    assert rows[0].enqueued_time == at(0)  # the time of the instant in UTC
+    assert {r.partition_id: r.waterlevel for r in read_control(spark, lake, route).collect()} == {"0": 1, "3": 17}

@@ -91,7 +91,8 @@ def batches_by_size_or_age(
         entries = pos < start if pos[-1] >= start else np.zeros(len(pos), dtype=bool)
         last, closes = _chain_ends(_next_close(t, size, wait))
         n = int(entries.sum())
-        return _keyed(rows, keys, n, _step=np.full(n, chunk), _entry=pos[entries], _exit=pos[last[entries]], _closes=closes[entries])
+        columns = {"_entry": pos[entries], "_exit": pos[last[entries]], "_closes": closes[entries]}
+        return _keyed(rows, keys, n, _step=np.full(n, chunk), **columns)
 
     def compose(rows: pa.Table) -> pa.Table:
         """The tables of consecutive steps as the table of one larger step."""

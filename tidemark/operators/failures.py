@@ -46,7 +46,11 @@ class Rule:
 
 # In order of precedence: an error that looks fatal is not retried, whatever else it says.
 RULES = [
-    Rule(r"\b40[13]\b|unauthorized|forbidden|access denied|authenticat|authoriz|permission|credential", False, "authentication or authorization failure"),
+    Rule(
+        r"\b40[13]\b|unauthorized|forbidden|access denied|authenticat|authoriz|permission|credential",
+        False,
+        "authentication or authorization failure",
+    ),
     Rule(r"schema mismatch|constraint", False, "schema mismatch or constraint violation"),
     Rule(r"invalid (data|format|type|value)|typeerror|type error|cannot cast", False, "invalid data format or type"),
     Rule(r"quota", False, "quota exceeded"),
