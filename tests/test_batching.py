@@ -5,7 +5,7 @@ from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from tidemark.operators import batching as B
-from tidemark.operators.age_batches import batches_by_size_or_age
+from tidemark.operators.age_batches import batches_by_size_or_age, open_batches
 from tidemark.operators.running import arrival_order, running_totals
 
 MESSAGE = "partition_id string, sequence_number bigint, offset string, arrival bigint"
@@ -134,6 +134,22 @@ def test_zoned_clock(spark, at):
     assert numbers(found, "batch_no") == brute_force(rows, 9, 8, start=-5)
 
 
+@pytest.mark.parametrize("size, wait", [(7, 12), (3, 1000), (50, 5)])
+def test_cut_in_parts_equals_one_cut(spark, at, size, wait):
+    rows = random_stream(size, 240, [0, 1, 1, 4, 20]) + [("late", 10_000 + i, 5000 + 3 * i) for i in range(9)]
+    parts = [rows[:50], rows[50:51], rows[51:160], rows[160:]]
+    found, opened = {}, None
+    for part in parts:
+        df = frame(spark, part, at)
+        cut = batches_by_size_or_age(
+            df, ["k"], clock="t", size=size, max_wait_seconds=wait, chunk_rows=20, fan=2, opened=opened
+        )
+        found.update(numbers(cut.collect(), "batch_no"))
+        state = open_batches(cut, df, ["k"], "t", opened).collect()
+        opened = spark.createDataFrame(state, "k string, opened_at timestamp_ntz, pending bigint, batch_no bigint")
+    assert found == brute_force(rows, size, wait)
+
+
 def test_clock_that_runs_backwards_is_refused(spark, at):
     df = frame(spark, [("a", 1, 5), ("a", 2, 4)], at)
     with pytest.raises(PythonException, match="runs backwards"):

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import audit as A
 from tidemark.operators import checkpoints as C
+from tidemark.operators.age_batches import batches_by_size_or_age
 from tidemark.operators.failures import decide
 from tidemark.sources.streams import file_stream
+from tidemark.streaming.cutting import BatchCutter
 from tidemark.streaming.progress import LatestProgress, recent_progress, statuses
 from tidemark.streaming.retry import RetryPolicy, triaged_retry
 from tidemark.streaming.runner import deduplicated, drain, start_route, start_routes, wait_all
@@ -247,6 +249,41 @@ def test_drain_lands_everything_before_it_stops(spark, feed, lake):
     assert landed(spark, lake) == list(range(25))
 
 
+def test_batches_span_micro_batches_and_survive_a_crash(spark, tmp_path, at):
+    schema = "k string, arrival bigint, t timestamp_ntz"
+    rows = [("hot" if i % 3 else f"k{i % 2}", i, at(2 * i + (i > 60) * 500)) for i in range(100)]
+    for low, high in [(0, 17), (17, 18), (18, 70), (70, 100)]:
+        part = spark.createDataFrame(rows[low:high], schema).coalesce(1)
+        part.write.mode("append").parquet(str(tmp_path / "in"))
+    crashes = []
+
+    class Crashing(BatchCutter):
+        def open_folder(self, batch_id):
+            if batch_id == 2 and not crashes:
+                crashes.append(batch_id)
+                raise RuntimeError("crash before the open batches")
+            return super().open_folder(batch_id)
+
+    cutter = Crashing(str(tmp_path / "cut"), ["k"], clock="t", size=7, max_wait_seconds=40)
+
+    def run_all():
+        query = (
+            file_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, max_files=1)
+            .writeStream.foreachBatch(cutter)
+            .option("checkpointLocation", str(tmp_path / "cp"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        wait_all([query])
+
+    with pytest.raises(StreamingQueryException, match="crash before the open batches"):
+        run_all()
+    run_all()
+    whole = batches_by_size_or_age(spark.createDataFrame(rows, schema), ["k"], clock="t", size=7, max_wait_seconds=40)
+    expected = {(r.k, r.arrival): r.batch_no for r in whole.collect()}
+    assert {(r.k, r.arrival): r.batch_no for r in cutter.rows(spark).collect()} == expected
+
+
 def test_stream_deduplication_across_batches(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in").add(range(5)).add(range(3, 8))
     stream = feed.stream().withColumn("time", F.lit("2025-10-17 12:00:00").cast("timestamp"))

@@ -49,13 +49,17 @@ def batches_by_size_or_age(
     chunk_rows: int = CHUNK_ROWS,
     fan: int = FAN,
     cell_bits: int = CELL_BITS,
+    opened: DataFrame | None = None,
 ) -> DataFrame:
-    """Batch number of every message, as ``keys, arrival, message_no, batch_no``.
+    """Batch number of every message, as ``keys, arrival, message_no, batch_no, opens_next``.
+
+    ``opens_next`` holds the time of a message that closes its batch, and is NULL for the others.
 
     ``clock`` must not run backwards in arrival order; a task that sees it do so raises. The age
     test counts from the close of the previous batch, so the first message after a long idle time
     closes a batch by itself. ``start_time`` (UTC, zone-free timestamp text) opens the first
-    batch; by default the first message of the key does.
+    batch; by default the first message of the key does. ``opened`` continues from an earlier cut:
+    the frame ``open_batches`` makes of it. Its keys ignore ``start_time``.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
@@ -76,11 +80,21 @@ def batches_by_size_or_age(
     in_tail = F.col("_pos") % chunk_rows >= chunk_rows - size
     chunks = F.explode(F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own)))
     chunked = numbered.withColumn("_chunk", chunks)
+    if opened is not None:
+        # A batch still open is a virtual message in front, as many positions back as it has messages.
+        virtual = opened.select(
+            *keys,
+            F.lit(None).cast(df.schema[arrival].dataType).alias(arrival),
+            _micros(opened, "opened_at").alias("_t"),
+            (-1 - F.col("pending")).alias("_pos"),
+            F.lit(0).cast("bigint").alias("_chunk"),
+        )
+        chunked = chunked.unionByName(virtual)
 
     key_fields = [df.schema[k] for k in keys]
     table_schema = T.StructType([*key_fields, *_longs("_step", "_entry", "_exit", "_closes")])
     entry_schema = T.StructType([*key_fields, *_longs("_step", "_entry", "_before")])
-    result_schema = T.StructType([*key_fields, df.schema[arrival], *_longs("message_no", "batch_no")])
+    result_schema = T.StructType([*key_fields, df.schema[arrival], *_longs("message_no", "batch_no", "_close")])
 
     def chunk_table(rows: pa.Table) -> pa.Table:
         """For every possible last close before the chunk: the last one in it, and how many on the way."""
@@ -88,8 +102,8 @@ def batches_by_size_or_age(
         pos, t, _ = _ordered(rows, chunk, first_open)
         start = chunk * chunk_rows
         # With nothing but the tail of the chunk before, the key ends there.
-        entries = pos < start if pos[-1] >= start else np.zeros(len(pos), dtype=bool)
-        last, closes = _chain_ends(_next_close(t, size, wait))
+        entries = (pos < start) & (pos[-1] >= start)
+        last, closes = _chain_ends(_next_close(pos, t, size, wait))
         n = int(entries.sum())
         columns = {"_entry": pos[entries], "_exit": pos[last[entries]], "_closes": closes[entries]}
         return _keyed(rows, keys, n, _step=np.full(n, chunk), **columns)
@@ -107,9 +121,12 @@ def batches_by_size_or_age(
 
     def follow(rows: pa.Table) -> pa.Table:
         """The true entry of every step of a group, given that of its first step."""
+        steps = _steps(rows)
         at, before = _first(rows, "_known"), _first(rows, "_before")
+        if at is None:  # the start of the key: a single entry
+            at = int(steps[0][1][0])
         found = []
-        for step, entries, exits, counts in _steps(rows):
+        for step, entries, exits, counts in steps:
             found.append((step, at, before))
             row = int(np.searchsorted(entries, at))
             at, before = int(exits[row]), before + int(counts[row])
@@ -120,7 +137,7 @@ def batches_by_size_or_age(
         """Batch numbers of the chunk's own messages, given the last close before it."""
         chunk = _first(rows, "_chunk")
         pos, t, order = _ordered(rows, chunk, first_open)
-        following = _next_close(t, size, wait)
+        following = _next_close(pos, t, size, wait)
         closing = np.zeros(len(pos) + 1, dtype=np.int64)
         at = following[int(np.searchsorted(pos, _first(rows, "_entry")))]
         while at < len(pos):
@@ -129,12 +146,17 @@ def batches_by_size_or_age(
         batch_no = _first(rows, "_before") + np.cumsum(closing[:-1])
         mine = pos >= chunk * chunk_rows
         arrivals = rows.column(arrival).take(pa.array(order[mine[len(pos) - len(order) :]]))
-        return _keyed(rows, keys, len(arrivals), **{arrival: arrivals}, message_no=pos[mine] + 1, batch_no=batch_no[mine])
+        close = pa.array(t[mine], mask=closing[1:][mine] == 0)
+        columns = {arrival: arrivals, "message_no": pos[mine] + 1, "batch_no": batch_no[mine], "_close": close}
+        return _keyed(rows, keys, len(arrivals), **columns)
 
     tables = cut_lineage(chunked.drop(arrival).groupBy(*keys, "_chunk").applyInArrow(chunk_table, table_schema))
     group = F.expr(f"_step div {fan}").alias("_group")
     groups = tables.groupBy(*keys, group).applyInArrow(compose, table_schema)
-    top = groups.withColumns({"_known": F.lit(-1).cast("bigint"), "_before": F.lit(0).cast("bigint")})
+    top = groups.withColumns({"_known": F.lit(None).cast("bigint"), "_before": F.lit(0).cast("bigint")})
+    if opened is not None:
+        numbers = opened.select(*keys, F.col("batch_no").alias("_open_no"))
+        top = top.join(numbers, keys, "left").withColumn("_before", F.coalesce("_open_no", "_before")).drop("_open_no")
     group_entries = top.groupBy(*keys).applyInArrow(follow, entry_schema)
     known = group_entries.select(*keys, F.col("_step").alias("_group"), F.col("_entry").alias("_known"), "_before")
     chunk_entries = (
@@ -145,11 +167,48 @@ def batches_by_size_or_age(
         .withColumnRenamed("_step", "_chunk")
     )
     # A sort-merge join keeps the large side from being broadcast, and its order serves the grouping.
-    return (
+    numbered = (
         chunked.join(chunk_entries.hint("merge"), [*keys, "_chunk"])
         .groupBy(*keys, "_chunk")
         .applyInArrow(number_rows, result_schema)
     )
+    return numbered.withColumn("opens_next", _micros_to_time(F.col("_close"))).drop("_close")
+
+
+def open_batches(
+    cut: DataFrame,
+    messages: DataFrame,
+    keys: list[str],
+    clock: str = "enqueued_time",
+    opened: DataFrame | None = None,
+) -> DataFrame:
+    """The batch left open per key after a cut: ``keys, opened_at, pending, batch_no``.
+
+    ``messages`` is what was cut and ``opened`` what was open before. One row per key; keys that
+    got no message keep their open batch.
+    """
+    ends = cut.groupBy(*keys).agg(
+        F.max("opens_next").alias("closed_at"),
+        F.max("message_no").alias("_last"),
+        F.max(F.when(F.col("opens_next").isNotNull(), F.col("message_no"))).alias("_closing"),
+        F.max("batch_no").alias("_batch"),
+    )
+    state = ends.join(messages.groupBy(*keys).agg(F.min(clock).alias("_first")), keys)
+    if opened is not None:
+        before = opened.select(*keys, "opened_at", F.col("pending").alias("_pending"), F.col("batch_no").alias("_before"))
+        state = state.join(before, keys, "full")
+    else:
+        nothing = {"opened_at": F.lit(None).cast("timestamp_ntz"), "_pending": F.lit(0), "_before": F.lit(0)}
+        state = state.withColumns(nothing)
+    pending = F.coalesce("_last", F.lit(0)) - F.coalesce("_closing", F.lit(0))
+    carried = F.when(F.col("_closing").isNull(), F.coalesce("_pending", F.lit(0))).otherwise(0)
+    ended = (F.col("_closing") == F.col("_last")).cast("bigint")
+    return state.select(
+        *keys,
+        F.coalesce("closed_at", "opened_at", F.col("_first").cast("timestamp_ntz")).alias("opened_at"),
+        (pending + carried).cast("bigint").alias("pending"),
+        F.coalesce(F.col("_batch") + F.coalesce(ended, F.lit(0)), F.col("_before")).cast("bigint").alias("batch_no"),
+    )
 
 
 def _longs(*names: str) -> list[T.StructField]:
@@ -162,6 +221,10 @@ def _micros(df: DataFrame, clock: str) -> Column:
     return F.unix_micros(clock)
 
 
+def _micros_to_time(micros: Column) -> Column:
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def _first(rows: pa.Table, column: str) -> int:
     return rows.column(column)[0].as_py()
 
@@ -177,7 +240,7 @@ def _ordered(rows: pa.Table, chunk: int, first_open: int | None):
     pos = rows.column("_pos").to_numpy()
     order = np.argsort(pos)
     pos, t = pos[order], rows.column("_t").to_numpy()[order]
-    if chunk == 0:
+    if chunk == 0 and pos[0] >= 0:
         pos = np.concatenate(([-1], pos))
         t = np.concatenate(([t[0] if first_open is None else first_open], t))
     if (np.diff(t) < 0).any():
@@ -185,11 +248,14 @@ def _ordered(rows: pa.Table, chunk: int, first_open: int | None):
     return pos, t, order
 
 
-def _next_close(t: np.ndarray, size: int, wait: int) -> np.ndarray:
+def _next_close(pos: np.ndarray, t: np.ndarray, size: int, wait: int) -> np.ndarray:
     """Row that closes the batch opened at each row; the row count where it lies further on."""
     rows = np.arange(len(t))
+    by_size = rows + size
+    if pos[0] < -1:  # an open batch, whose messages so far count as well
+        by_size[0] = pos[0] + size + 1
     by_age = np.maximum(np.searchsorted(t, t + wait, side="left"), rows + 1)
-    return np.minimum(np.minimum(rows + size, by_age), len(t))
+    return np.minimum(np.minimum(by_size, by_age), len(t))
 
 
 def _chain_ends(following: np.ndarray):

@@ -73,9 +73,10 @@ SELECT eventhub, partition_id, "offset", sequence_number, enqueued_time FROM (
 
 def batches_size_or_age(spark, sf_dir):
     """At most 50 messages or six hours, per stream."""
-    return batches_by_size_or_age(
+    cut = batches_by_size_or_age(
         I.messages(spark, sf_dir), ["eventhub"], "event_id", "enqueued_time", size=50, max_wait_seconds=6 * 3600
     )
+    return cut.drop("opens_next")
 
 
 BATCHES_SIZE_OR_AGE = f"""WITH RECURSIVE {I.MESSAGES},

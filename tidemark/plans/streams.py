@@ -11,6 +11,7 @@ from tidemark.operators import checkpoints as C
 from tidemark.plans import inputs as I
 from tidemark.session import shared_folder
 from tidemark.sources.streams import file_stream
+from tidemark.streaming.cutting import BatchCutter
 from tidemark.streaming.runner import deduplicated, start_route, start_routes, wait_all
 from tidemark.streaming.sink import Lake, Route, RouteSink, read_table
 
@@ -20,10 +21,10 @@ ROUTES = [
 ]
 
 
-def _events(spark, sf_dir):
+def _events(spark, sf_dir, max_files=1000):
     schema = I.table(spark, sf_dir, "events").schema
     # As a pattern, the path may be one file or a folder of files; a stream takes no plain file.
-    return file_stream(spark, f"{sf_dir}/events.parque[t]", schema, max_files=1000)
+    return file_stream(spark, f"{sf_dir}/events.parque[t]", schema, max_files=max_files)
 
 
 def _messages(events):
@@ -121,6 +122,32 @@ SELECT concat(event_type, ' ', props) AS event_body, CAST(user_id % 4 AS VARCHAR
   event_id AS sequence_number, ts AS enqueued_time FROM events"""
 
 
+def stream_batches(spark, sf_dir):
+    """A stream cut into batches of at most 80 messages or eight hours per event type."""
+    folder = shared_folder(spark, "cut")
+    cutter = BatchCutter(folder, ["event_type"], "event_id", "ts", size=80, max_wait_seconds=8 * 3600)
+    # All files at once: those of one table are in no particular order.
+    events = _events(spark, sf_dir, max_files=None)
+    checkpoint = f"{folder}/checkpoint"
+    started = events.writeStream.foreachBatch(cutter).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    wait_all([started.start()])
+    return cutter.rows(spark)
+
+
+STREAM_BATCHES = """WITH RECURSIVE numbered AS (
+  SELECT event_type, event_id, ts AS t, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events),
+opened AS (SELECT event_type, n, t, t + INTERVAL 8 HOUR AS due FROM numbered
+  UNION ALL SELECT event_type, 0 AS n, min(t) AS t, min(t) + INTERVAL 8 HOUR AS due FROM numbered GROUP BY event_type),
+following AS (SELECT o.event_type, o.n, least(o.n + 80, coalesce(d.n, o.n + 80)) AS closing
+  FROM opened o ASOF LEFT JOIN numbered d ON o.event_type = d.event_type AND o.due <= d.t),
+chain AS (SELECT event_type, closing FROM following WHERE n = 0
+  UNION ALL SELECT f.event_type, f.closing FROM chain c JOIN following f ON c.event_type = f.event_type AND c.closing = f.n)
+SELECT m.event_type, m.event_id,
+  coalesce(CAST(sum(CASE WHEN c.closing IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY m.event_type ORDER BY m.n
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS batch_no
+FROM numbered m LEFT JOIN chain c ON c.event_type = m.event_type AND c.closing = m.n"""
+
+
 def stream_dedup(spark, sf_dir):
     """X11: every message delivered twice, a third of them five times; one copy of each lands."""
     copies = F.when(F.col("event_id") % 3 == 0, F.sequence(F.lit(1), F.lit(5))).otherwise(F.sequence(F.lit(1), F.lit(2)))
@@ -149,6 +176,7 @@ STREAM_DEDUP = "SELECT CAST(user_id % 4 AS VARCHAR) AS partition_id, event_id AS
 
 
 QUERIES = {
+    "stream_batches": (stream_batches, STREAM_BATCHES),
     "stream_replay": (stream_replay, STREAM_REPLAY),
     "stream_dedup": (stream_dedup, STREAM_DEDUP),
     "stream_target": (stream_target, STREAM_TARGET),
