@@ -1,0 +1,114 @@
+"""Plain single-machine versions of the operators' contracts, to compare with."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def sha(text) -> str:
+    return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+
+
+def folded(text: str) -> str:
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def secrets(text):
+    """Counts of assign, access and hex, and the digest of their spans."""
+    text = text or ""
+    spans = [(m.start(), 0, m.end()) for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    names = ("assign", "access", "hex")
+    joined = ",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(spans))
+    return (*[sum(k == i for _, k, _ in spans) for i in range(3)], sha(joined))
+
+
+def clusters(links, nodes):
+    """Smallest node reachable from each."""
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            root[n] = root[root[n]]
+            n = root[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def shingles(text, size):
+    words = WORD.findall(folded(text or ""))
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def jaccard(docs, size=3, percent=90):
+    """``docs`` of (id, text) with distinct ids: id to (set size, component)."""
+    sets = {i: shingles(t, size) for i, t in docs}
+    holders = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            holders[x].append(i)
+    shared = Counter((a, b) for ids in holders.values() if len(ids) < 5000 for a in ids for b in ids if a < b)
+    links = [(a, b) for (a, b), n in shared.items() if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)]
+    root = clusters(links, sets)
+    return {i: (len(s), root[i]) for i, s in sets.items()}
+
+
+def targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    """``sizes`` by source: targets by resharing the excess until no source is above its limit."""
+    order = sorted([s for s in sizes if s is not None], key=lambda s: s.encode("utf-32-be")) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    out, free, budget = {}, set(order), share * sum(sizes.values())
+    while free:
+        total = sum(weight[s] for s in free)
+        over = [s for s in free if budget * weight[s] / total > most * sizes[s]]
+        if not over:
+            out |= {s: budget * weight[s] / total for s in free}
+            break
+        for s in over:
+            out[s] = most * sizes[s]
+            budget -= out[s]
+            free.discard(s)
+    return out
+
+
+def quality(text):
+    words = WORD.findall(text or "")
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), failed
+
+
+def repeats(docs, size=50):
+    """``docs`` of (id, text): id to (words, removed words, digest of the kept)."""
+    words = {i: WORD.findall(t or "") for i, t in docs}
+    first = {}
+    for i in sorted(words):
+        for k in range(len(words[i]) - size + 1):
+            first.setdefault(tuple(words[i][k : k + size]), i)
+    out = {}
+    for i, w in words.items():
+        gone = {k + d for k in range(len(w) - size + 1) if first[tuple(w[k : k + size])] < i for d in range(size)}
+        out[i] = (len(w), len(gone), sha(" ".join(x for k, x in enumerate(w) if k not in gone)))
+    return out
+
+
+PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+
+
+def licenses(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded(text or ""))
+    found = [(i, label) for phrase, label in PHRASES.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    starts = [i for i, _ in found]
+    return len(words), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in found}))
