@@ -26,8 +26,8 @@ from tidemark.llm.shingles import shingle_set, shingles_of, word_hashes
 from tidemark.session import written
 
 LEVELS = 3
-# Counters that estimate how many texts hold a shingle. Their size is fixed: 4 MB are broadcast whatever the input is.
-SKETCH_BITS = 20
+# Counters that estimate how many texts hold a shingle, up to 255. Their size is fixed: 8 MB are broadcast whatever the input is.
+SKETCH_BITS = 23
 SKETCH_PARTS = 64
 # Cost of verifying a candidate, in units of reading one entry of a posting list.
 VERIFY_COST = 50.0
@@ -58,29 +58,43 @@ def _sets(piece: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, size: in
     return [shingle_set(words[cuts[i] : cuts[i + 1]], size) for i in range(len(piece))]
 
 
+# How many shingles fall into each of some buckets: no two sets have more in common than their signatures have.
+BUCKETS = 256
+FULL = np.iinfo(np.uint16).max
+
+
+def _signature(shingles: np.ndarray) -> bytes:
+    counts = np.bincount((shingles & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+    return np.minimum(counts, FULL).astype(np.uint16).tobytes()
+
+
 def _cells(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
 def _members(docs: DataFrame, size: int) -> DataFrame:
-    """Per row its node and set size, and per task the counters of its shingles in parts, as one written table."""
+    """Per row its node, set size and signature, and per task the counters of its shingles in parts, as one written table.
+
+    ``counters`` has the signature in the rows of texts and the part's counters in those of parts.
+    """
 
     def run(batches):
-        counters = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counters = np.zeros(1 << SKETCH_BITS, np.uint8)
         for batch in batches:
             for piece, data, offsets in text_pieces(batch, "text"):
                 sets = _sets(piece, data, offsets, size)
                 for s in sets:
-                    counters[_cells(s)] += np.uint32(1)  # within a text two shingles of a cell count once, which only makes the estimate smaller
+                    cells = _cells(s)  # two shingles of a text in one cell count once
+                    counters[cells] += counters[cells] < 255
                 nodes = pa.array([_node_of(s) if len(s) else None for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("key"), piece.column("row_id"), nodes, pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(piece), pa.int32()), pa.nulls(len(piece), pa.binary())],
+                    [piece.column("key"), piece.column("row_id"), nodes, pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(piece), pa.int32()), pa.array([_signature(s) for s in sets], pa.binary())],
                     ["key", "row_id", "node", "n", "part", "counters"],
                 )
         for part, cells in enumerate(counters.reshape(SKETCH_PARTS, -1)):
             if cells.any():
                 empty = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64())]
-                yield pa.RecordBatch.from_arrays([*empty, pa.array([part], pa.int32()), pa.array([cells.tobytes()], pa.binary())], ["key", "row_id", "node", "n", "part", "counters"])
+                yield pa.RecordBatch.from_arrays([*empty, pa.array([part], pa.int32()), pa.array([pa.compress(cells.tobytes(), "zstd", asbytes=True)], pa.binary())], ["key", "row_id", "node", "n", "part", "counters"])
 
     wanted = docs.select(F.col("key").cast("bigint").alias("key"), "row_id", "text")
     return written(wanted.mapInArrow(run, "key bigint, row_id bigint, node bigint, n bigint, part int, counters binary"), "shingle-members")
@@ -92,17 +106,18 @@ def _sketch(members: DataFrame) -> np.ndarray:
     tasks = parts.groupBy("part").count().agg(F.max("count")).first()[0] or 0
 
     def add(frame):
-        total = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.uint32)
+        total = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.uint8)
         for blob in frame["counters"]:
-            total += np.frombuffer(blob, np.uint32)
-        return frame.iloc[:1][["part"]].assign(counters=[total.tobytes()])
+            more = np.frombuffer(pa.decompress(blob, len(total), "zstd", asbytes=True), np.uint8)
+            total += np.minimum(more, 255 - total)
+        return frame.iloc[:1][["part"]].assign(counters=[pa.compress(total.tobytes(), "zstd", asbytes=True)])
 
     while tasks > 64:
         tasks = -(-tasks // 64)
         parts = parts.withColumn("deal", F.pmod(F.xxhash64("counters"), F.lit(tasks))).groupBy("part", "deal").applyInPandas(add, "part int, counters binary")
-    out = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint32)
-    for row in parts.groupBy("part").applyInPandas(add, "part int, counters binary").collect():  # 4 MB at most
-        out[row["part"]] = np.frombuffer(row["counters"], np.uint32)
+    out = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint8)
+    for row in parts.groupBy("part").applyInPandas(add, "part int, counters binary").collect():  # 8 MB at most
+        out[row["part"]] = np.frombuffer(pa.decompress(row["counters"], out.shape[1], "zstd", asbytes=True), np.uint8)
     return out.reshape(-1)
 
 
@@ -110,12 +125,13 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
     """``token``, ``node``, set size ``n``, the ``level`` from which the token is in the prefix, and the chosen level ``l`` of the node."""
     floor = max(1.0, float(sketch.mean()))  # what a counter holds of other shingles
     # Rarity in octaves above the floor: smaller differences are noise.
-    octave = np.maximum(0, np.ceil(np.log2(np.maximum(sketch, 1) / (2 * floor)))).astype(np.uint8)
-    excess = np.maximum(0, sketch - 2 * floor).astype(np.float32)
-    shared = docs.sparkSession.sparkContext.broadcast((octave, excess))
+    counts = np.arange(256)
+    octaves = np.maximum(0, np.ceil(np.log2(np.maximum(counts, 1) / (2 * floor)))).astype(np.uint8)
+    above = np.maximum(0, counts - 2 * floor).astype(np.float32)
+    shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches):
-        octaves, above = shared.value
+        counters = shared.value
         for batch in batches:
             for piece, data, offsets in text_pieces(batch, "text"):
                 columns: list[list[np.ndarray]] = [[], [], [], [], []]
@@ -125,9 +141,9 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
                         continue
                     first = n - needed(n, percent) + 1
                     top = min(LEVELS, needed(n, percent))
-                    cells = _cells(s)
-                    order = np.lexsort((s, octaves[cells]))[: first + top - 1]
-                    reading = np.cumsum(above[cells[order]])[first - 1 :]
+                    counted = counters[_cells(s)]
+                    order = np.lexsort((s, octaves[counted]))[: first + top - 1]
+                    reading = np.cumsum(above[counted[order]])[first - 1 :]
                     # Each further match asked for leaves about a quarter of the candidates.
                     cost = reading * (1 + VERIFY_COST * 0.25 ** np.arange(top))
                     level = int(np.argmin(cost)) + 1
@@ -143,8 +159,51 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
     return docs.select("text").mapInArrow(run, "token bigint, node bigint, n int, level byte, l byte")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose texts are similar enough, by their whole shingle sets."""
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of ``pairs`` that may be similar enough by what their signatures have in common."""
+
+    def run(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("signature_a", "signature_b"))
+            most = np.minimum(x, y).sum(1, dtype=np.int64)
+            total = np.asarray(batch.column("n_a")) + np.asarray(batch.column("n_b"))
+            open_ended = (x == FULL).any(1) | (y == FULL).any(1)
+            yield batch.select(["a", "b"]).filter(pa.array((100 * most >= percent * (total - most)) | open_ended))
+
+    left, right = (nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("signature").alias(f"signature_{c}")) for c in "ab")
+    return pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(run, "a bigint, b bigint")
+
+
+# Bits of the filter that keeps texts nobody asked for out of a shuffle: 2 MB whatever the input is. It only ever lets more texts through.
+FILTER_BITS = 24
+
+
+def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node`` and ``text`` for ``wanted(row_id, node)``."""
+    cell = F.pmod(F.xxhash64("row_id"), F.lit(1 << FILTER_BITS))
+    maps = wanted.select((cell + 1).alias("cell")).groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits")).collect()
+    bits = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for m in maps:
+        part = np.frombuffer(m["bits"], np.uint8)
+        begin = (m["bucket"] - 1) * len(part)  # buckets and their bits count from 1
+        bits[begin : begin + len(part)] |= part[: len(bits) - begin]
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for batch in batches:
+            cells = np.asarray(batch.column("cell"))
+            asked = (shared.value[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1
+            yield batch.select(["row_id", "text"]).filter(pa.array(asked.astype(bool)))
+
+    passed = rows.select("row_id", "text", cell.alias("cell")).mapInArrow(run, "row_id bigint, text string")
+    return written(passed.join(wanted, "row_id").select("node", "text").distinct(), "texts")
+
+
+def _verified(candidates: DataFrame, rows: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of nodes whose texts are similar enough, by their whole shingle sets."""
+    pairs = written(_likely(candidates, nodes, percent), "likely-pairs")
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = _texts(rows, nodes.select("row_id", "node").join(ends, "node"))
 
     def run(batches):
         held: dict[int, np.ndarray] = {}
@@ -167,7 +226,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
             yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
     left, right = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
-    return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+    return written(pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint"), "links")
 
 
 def _near_in_size(n_a: str, n_b: str, percent: int) -> Column:
@@ -189,20 +248,19 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", siz
     """
     rows = _documents(docs, text, key)
     members = _members(rows, size)
-    people = members.where("part is null").select("key", "row_id", "node", "n")
+    people = members.where("part is null").select("key", "row_id", "node", "n", F.col("counters").alias("signature"))
     postings = _postings(rows, size, percent, _sketch(members))
-    raw = written(postings.distinct(), "prefixes")
+    raw = written(postings, "prefixes")
     met = raw.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    lists = written(raw.join(met.select("token"), "token"), "posting-lists")
+    lists = written(raw.join(met.select("token"), "token").distinct(), "posting-lists")  # equal texts have equal postings
 
-    # One row to stand for each node that meets another, and its text.
-    speakers = people.where("node is not null").groupBy("node").agg(F.min("row_id").alias("row_id"))
-    wanted = lists.select("node").distinct().join(speakers, "node")
-    texts = written(rows.select("row_id", "text").join(wanted, "row_id").select("node", "text").dropDuplicates(["node"]), "texts")
+    # One row to stand for each node that meets another.
+    speakers = people.where("node is not null").groupBy("node").agg(F.min("row_id").alias("row_id")).join(lists.select("node").distinct(), "node")
+    nodes = written(people.select("row_id", "n", "signature").join(speakers, "row_id").distinct(), "nodes")
 
-    links, groups, open_lists = _pivot_links(lists, texts, size, percent)
+    links, open_lists = _pivot_links(lists, rows, nodes, size, percent)
     pairs = written(_open_pairs(open_lists, percent), "pairs")
-    late = written(_verified(pairs, texts, size, percent), "links")
+    late = _verified(pairs, rows, nodes, size, percent)
     groups = components(links.unionByName(late) if links is not None else late)
 
     speaks = F.struct(F.col("key").isNull(), "key", "row_id")
@@ -214,14 +272,14 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", siz
     return linked.unionByName(alone).withColumnRenamed("key", key)
 
 
-def _pivot_links(lists: DataFrame, texts: DataFrame, size: int, percent: int) -> tuple[DataFrame | None, DataFrame | None, DataFrame]:
-    """Links found by comparing each list with one node after the other, the components they make, and the lists that are still open.
+def _pivot_links(lists: DataFrame, rows: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[DataFrame | None, DataFrame]:
+    """Links found by comparing each list with one node after the other, and the lists that are still open.
 
     A list is open while it holds more than one component. ``main`` is the component of its pivot. The rounds stop when the pairs that
-    are left are few for the postings left, or when a round connects nothing more.
+    are left are few for the postings left, or when a round does not halve them: their number bounds that of the rounds.
     """
     links = groups = None
-    tried = None
+    tried, pairs_left = None, float("inf")
     open_lists = lists.withColumns({"root": F.col("node"), "main": F.lit(None).cast("bigint")})
     while True:
         pivots = open_lists.where("main is null or root <> main").groupBy("token").agg(F.min(F.struct("node", "n")).alias("p")).select("token", F.col("p.node").alias("a"), F.col("p.n").alias("n_a"))
@@ -229,7 +287,7 @@ def _pivot_links(lists: DataFrame, texts: DataFrame, size: int, percent: int) ->
         pairs = pairs.where("root <> a") if links is None else pairs.join(groups.toDF("a", "root_a"), "a", "left").where(F.col("root") != F.coalesce("root_a", "a"))
         pairs = pairs.select("a", F.col("node").alias("b")).distinct()
         pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pivot-pairs")
-        found = written(_verified(pairs, texts, size, percent), "links")
+        found = _verified(pairs, rows, nodes, size, percent)
         fresh = not found.isEmpty()
         if fresh:
             links = found if links is None else links.unionByName(found)
@@ -242,8 +300,9 @@ def _pivot_links(lists: DataFrame, texts: DataFrame, size: int, percent: int) ->
         open_lists = written(rooted.join(mains, "token"), "open-lists")
         size_of = open_lists.groupBy("token").agg(F.count("*").alias("all"), F.sum((F.col("root") != F.col("main")).cast("bigint")).alias("others"))
         left = size_of.agg(F.sum(F.col("all") * F.col("others")).alias("pairs"), F.sum("all").alias("postings")).first()
-        if not fresh or (left["pairs"] or 0) <= PAIRS_PER_POSTING * (left["postings"] or 0):
-            return links, groups, open_lists
+        pairs_left, before = left["pairs"] or 0, pairs_left
+        if not fresh or pairs_left <= PAIRS_PER_POSTING * (left["postings"] or 0) or 2 * pairs_left > before:
+            return links, open_lists
 
 
 def _open_pairs(lists: DataFrame, percent: int) -> DataFrame:
