@@ -140,7 +140,7 @@ def test_sink_that_always_fails_writes_no_checkpoint(spark, feed, lake):
     with pytest.raises(StreamingQueryException, match="processor returned failure"):
         run(feed, RouteSink(ROUTE, lake, processor=dead, retry=RetryPolicy(**QUICK)))
     assert calls == [0, 0, 0]
-    assert levels(spark, lake) == {} and audit(spark, lake).isEmpty()
+    assert levels(spark, lake) == {} and [(r.success, r.attempts) for r in audit(spark, lake).collect()] == [(False, 3)]
     run(feed, RouteSink(ROUTE, lake))
     assert landed(spark, lake) == list(range(25))
 
@@ -198,6 +198,49 @@ def test_cold_start_from_the_control_log(spark, feed, lake, start, expected):
     assert landed(spark, lake) == sorted(expected)
 
 
+def test_cold_start_keeps_what_an_earlier_run_landed(spark, feed, lake):
+    run(feed, RouteSink(ROUTE, lake))
+    before = levels(spark, lake)
+    points = C.resume_points(C.entries_of(read_control(spark, lake, ROUTE), ROUTE.control_key)).select("partition_id", "waterlevel")
+    feed.add(range(25, 30)).add(range(30, 33))
+    # A new checkpoint, so batch numbers start again; the resume points are read while the control log grows.
+    run(feed, RouteSink(ROUTE, lake, resume=points, checkpoint=f"{lake.root}/fresh"))
+    assert landed(spark, lake) == list(range(33))
+    after = levels(spark, lake)
+    assert all(after[p] >= level for p, level in before.items()) and len(after) == 3
+    assert audit(spark, lake).filter("success").agg({"messages": "sum"}).first()[0] == 33
+
+
+def test_one_source_with_two_targets(spark, feed, lake):
+    other = Route("SOURCE_1", "TARGET_2", "ns", "topic1", "$Default", "lake", "ingest", "table2")
+    wait_all(start_routes([ROUTE, other], lake, feed.stream).values())
+    assert landed(spark, lake) == landed(spark, lake, other) == list(range(25))
+    for route in (ROUTE, other):
+        own = read_control(spark, lake, route)
+        assert {r.target_table for r in own.collect()} == {route.table} and levels(spark, lake, route) == {"0": 48, "1": 44, "2": 46}
+    with pytest.raises(ValueError, match="twice"):
+        start_routes([ROUTE, ROUTE], lake, feed.stream)
+
+
+def test_failed_tries_are_audited(spark, feed, lake):
+    def fail(rows, batch_id):
+        raise ValueError("no table")
+
+    with pytest.raises(StreamingQueryException):
+        run(feed, RouteSink(ROUTE, lake, processor=fail))
+    assert [(r.success, r.messages, r.checkpoints_updated) for r in audit(spark, lake).collect()] == [(False, 10, 0)]
+    run(feed, RouteSink(ROUTE, lake))
+    assert sorted((r.success, r.messages) for r in audit(spark, lake).collect()) == [(False, 10), (True, 10), (True, 15)]
+
+
+def test_messages_without_partition_go_to_the_dead_letters(spark, feed, lake):
+    batch = spark.read.parquet(feed.folder)
+    RouteSink(ROUTE, lake)(batch.withColumn("partition_id", F.when(F.col("sequence_number") > 2, F.col("partition_id"))), 0)
+    assert landed(spark, lake) == list(range(3, 25))
+    letters = spark.read.parquet(lake.dead_letters(ROUTE))
+    assert {(r.sequence_number, r.error) for r in letters.collect()} == {(n, "partition_id is NULL") for n in range(3)}
+
+
 def test_processor_callback_gets_target_rows(spark, feed, lake):
     seen = {}
     run(feed, RouteSink(ROUTE, lake, processor=lambda rows, n: seen.update({n: (rows.columns, rows.count())})))

@@ -22,9 +22,11 @@ def running_totals(
     a partially aggregated group-by; windows then run over the cells of one block, the blocks of
     one key, and the rows of one cell. Each window partition is bounded by 2**cell_bits rows (the
     blocks by the span of the axis), so one key may hold any share of the data. Keys must not be
-    NULL: such rows stay, with NULL totals.
+    NULL: such rows stay, with NULL totals. A NULL order value is an error, as it would shift all totals.
     """
     names = list(totals)
+    given = F.coalesce(F.col(order), F.raise_error(F.lit(f"{order} is NULL")).cast("bigint"))
+    df = df.withColumn(order, given)
     valued = df.select("*", *[totals[n].cast("bigint").alias(n) for n in names])
     cell = F.shiftright(F.col(order), cell_bits).alias("_cell")
     block = F.shiftright(F.col("_cell"), cell_bits).alias("_block")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -21,7 +22,7 @@ def start_route(stream: DataFrame, sink: RouteSink, every: str | None = None) ->
     return (
         stream.writeStream.queryName(sink.route.mapping)
         .foreachBatch(sink)
-        .option("checkpointLocation", sink.lake.checkpoint(sink.route))
+        .option("checkpointLocation", sink.checkpoint)
         .trigger(**trigger)
         .start()
     )
@@ -34,8 +35,14 @@ def start_routes(
     every: str | None = None,
     make_sink: Callable[[Route, Lake], RouteSink] = RouteSink,
 ) -> dict[str, StreamingQuery]:
-    """One query per route, by mapping label (X6). A stream that cannot start stops the others."""
+    """One query per route, by mapping label (X6). A stream that cannot start stops the others.
+
+    One source may have several targets. The same mapping twice is refused.
+    """
     queries: dict[str, StreamingQuery] = {}
+    routes = list(routes)
+    if len({route.mapping for route in routes}) < len(routes):
+        raise ValueError("a mapping occurs twice")
     try:
         for route in routes:
             queries[route.mapping] = start_route(open_stream(route), make_sink(route, lake), every)
@@ -51,7 +58,12 @@ def wait_all(queries: Iterable[StreamingQuery], poll_seconds: float = 1) -> None
     pending = list(running)
     try:
         while pending:
-            pending = [q for q in pending if not q.awaitTermination(poll_seconds)]
+            ended = [q for q in pending if not q.isActive]
+            for query in ended:
+                query.awaitTermination()  # raises the error it ended with
+            pending = [q for q in pending if q not in ended]
+            if pending:
+                time.sleep(poll_seconds)
     except Exception:
         stop_all(running)
         raise

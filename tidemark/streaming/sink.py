@@ -1,12 +1,15 @@
 """Micro-batch sink: target rows, then control rows, then the audit row.
 
-Every write of a micro-batch replaces one folder named after the stream and the batch. Spark
+Every write of a micro-batch replaces one folder named after the mapping, the run and the batch. Spark
 replays a batch that was not committed under the same number, so a replay replaces what the
-failed try left behind and nothing is written twice or lost.
+failed try left behind and nothing is written twice or lost. Batch numbers start again with a new
+Spark checkpoint; the run, which is the checkpoint's own id, keeps such batches apart.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -26,6 +29,7 @@ from tidemark.operators.checkpoints import (
     unseen_messages,
     with_checkpoint_metadata,
 )
+from tidemark.session import written
 from tidemark.streaming.retry import RetryPolicy
 
 
@@ -76,11 +80,21 @@ class Lake:
         return f"{self.root}/dead_letters/{route.database}/{route.schema}/{route.table}"
 
     def checkpoint(self, route: Route) -> str:
-        return f"{self.root}/checkpoints/{route.source_key}"
+        return f"{self.root}/checkpoints/{route.source_key}/{route.target_key}"
 
 
-def batch_folder(table: str, route: Route, batch_id: int) -> str:
-    return f"{table}/source_key={route.source_key}/batch_id={batch_id}"
+def route_folder(table: str, route: Route) -> str:
+    return f"{table}/source_key={route.source_key}/target_key={route.target_key}"
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint: the same after every restart on it. Without a checkpoint, ``manual``."""
+    try:
+        return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return "manual"
+        raise
 
 
 def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
@@ -99,7 +113,7 @@ def _now() -> datetime:
 
 def read_control(spark: SparkSession, lake: Lake, route: Route) -> DataFrame:
     """Control rows one route wrote, from its own folder only; input of ``entries_of`` (F2)."""
-    return read_table(spark, f"{lake.control}/source_key={route.source_key}", schemas.CONTROL)
+    return read_table(spark, route_folder(lake.control, route), schemas.CONTROL)
 
 
 class RouteSink:
@@ -107,7 +121,8 @@ class RouteSink:
 
     ``processor`` takes the target rows and the batch number in place of the table write (G1);
     returning False is a failure. ``resume`` holds resume points for a start without a Spark
-    checkpoint: messages up to them are left out (J5). ``on_failure`` is ``raise``, which leaves
+    checkpoint: messages up to them are left out (J5). ``checkpoint`` is the folder of the query's Spark checkpoint, by default that of
+    the route in the lake. ``on_failure`` is ``raise``, which leaves
     the batch uncommitted for replay, or ``dead_letter``, which keeps its messages in a table of
     their own and goes on without a checkpoint (S5, X7). ``drop_copies`` lands messages that occur
     twice in a micro-batch once (X11), at the price of a shuffle of the batch. ``cache`` keeps a
@@ -126,6 +141,7 @@ class RouteSink:
         cache: bool = False,
         resume: DataFrame | None = None,
         start_position: str = "earliest",
+        checkpoint: str | None = None,
     ):
         if on_failure not in ("raise", "dead_letter"):
             raise ValueError(f"unknown failure policy: {on_failure}")
@@ -136,10 +152,19 @@ class RouteSink:
         self.on_failure = on_failure
         self.drop_copies = drop_copies
         self.cache = cache
-        self.resume = resume
+        # Resolved once: the tables they come from go on growing.
+        self.resume = None if resume is None else written(resume, "resume")
+        self.checkpoint = checkpoint or lake.checkpoint(route)
+        self.run: str | None = None
         self.start_position = start_position
 
+    def batch_folder(self, table: str, batch_id: int) -> str:
+        return f"{route_folder(table, self.route)}/run={self.run or 'manual'}/batch_id={batch_id}"
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.run is None or batch_id == 0:
+            self.run = run_of(batch.sparkSession, self.checkpoint)
+        self.write_unplaced(batch, batch_id)
         messages = self.accepted(batch)
         if messages.isEmpty():
             return  # nothing to write, no checkpoint (F3)
@@ -173,6 +198,8 @@ class RouteSink:
         except Exception as error:
             self.write_failures(spark, errors)
             if self.on_failure == "raise":
+                seen = messages.agg(F.count("*").alias("messages"), F.count_distinct("partition_id").alias("partitions")).first()
+                self.write_audit(spark, batch_id, started, seen.asDict(), False, len(errors), str(error), f"failed-{uuid.uuid4().hex}")
                 raise
             counts = self.write_dead_letters(messages, batch_id, str(error))
             self.write_audit(spark, batch_id, started, counts, False, len(errors), str(error))
@@ -184,13 +211,13 @@ class RouteSink:
     def accepted(self, batch: DataFrame) -> DataFrame:
         """Messages of the batch to land: valid, and not seen before the start."""
         position = parse_offset(F.col("offset"), F.col("sequence_number"))
-        messages = valid_messages(batch)
+        messages = valid_messages(batch).filter("partition_id IS NOT NULL")
         if self.resume is not None:
             messages = unseen_messages(messages, self.resume, ["partition_id"], position, self.start_position)
         return messages.withColumn("_position", position)
 
     def write_target(self, rows: DataFrame, batch_id: int) -> None:
-        folder = batch_folder(self.lake.target(self.route), self.route, batch_id)
+        folder = self.batch_folder(self.lake.target(self.route), batch_id)
         rows.write.mode("overwrite").parquet(folder)
 
     def write_control(self, messages: DataFrame, batch_id: int) -> dict:
@@ -211,25 +238,42 @@ class RouteSink:
             reached, F.lit(route.namespace), F.lit(route.hub), F.lit(route.consumer_group)
         )
         rows = required_columns(control_rows(described, route.control_key))
-        rows.write.mode("overwrite").parquet(batch_folder(self.lake.control, route, batch_id))
+        rows.write.mode("overwrite").parquet(self.batch_folder(self.lake.control, batch_id))
         return seen.get
 
     def write_dead_letters(self, messages: DataFrame, batch_id: int, error: str) -> dict:
         """The messages of a batch that could not be written, with the reason."""
-        folder = batch_folder(self.lake.dead_letters(self.route), self.route, batch_id)
+        folder = f"{self.batch_folder(self.lake.dead_letters(self.route), batch_id)}/reason=write"
         messages.drop("_position").withColumn("error", F.lit(error)).write.mode("overwrite").parquet(folder)
-        written = messages.sparkSession.read.parquet(folder)
-        counts = written.agg(F.count("*").alias("messages"), F.count_distinct("partition_id").alias("partitions"))
+        letters = messages.sparkSession.read.parquet(folder)
+        counts = letters.agg(F.count("*").alias("messages"), F.count_distinct("partition_id").alias("partitions"))
         return counts.first().asDict()
 
+    def write_unplaced(self, batch: DataFrame, batch_id: int) -> None:
+        """Messages of no partition have no checkpoint to reach; they go to the dead letters, with the reason."""
+        unplaced = valid_messages(batch).filter("partition_id IS NULL")
+        if not unplaced.isEmpty():
+            folder = self.batch_folder(self.lake.dead_letters(self.route), batch_id)
+            unplaced.withColumn("error", F.lit("partition_id is NULL")).write.mode("overwrite").parquet(f"{folder}/reason=no_partition")
+
     def write_audit(
-        self, spark: SparkSession, batch_id: int, started: datetime, counts: dict, success: bool, attempts: int, error: str | None
+        self,
+        spark: SparkSession,
+        batch_id: int,
+        started: datetime,
+        counts: dict,
+        success: bool,
+        attempts: int,
+        error: str | None,
+        attempt: str = "final",
     ) -> None:
+        """The audit row of a try, in a folder of that try: one that fails and is replayed stays beside the final one."""
         messages, partitions = counts["messages"], counts["partitions"]
         updated = partitions if success else 0
         row = (self.route.mapping, batch_id, started, _now(), messages, partitions, success, updated, attempts, error)
         frame = spark.createDataFrame([row], schemas.BATCH_AUDIT).coalesce(1)
-        frame.write.mode("overwrite").parquet(f"{self.lake.audit}/source_key={self.route.source_key}/batch={batch_id}")
+        folder = f"{route_folder(self.lake.audit, self.route)}/run={self.run or 'manual'}/batch={batch_id}"
+        frame.write.mode("overwrite").parquet(f"{folder}/attempt={attempt}")
 
     def write_failures(self, spark: SparkSession, errors: list) -> None:
         """One row per failed attempt, to be triaged over all streams."""
@@ -240,4 +284,4 @@ class RouteSink:
             for ts, attempt, error in errors
         ]
         frame = spark.createDataFrame(rows, schemas.FAILURES).coalesce(1)
-        frame.write.mode("append").parquet(f"{self.lake.failures}/source_key={self.route.source_key}")
+        frame.write.mode("append").parquet(route_folder(self.lake.failures, self.route))
