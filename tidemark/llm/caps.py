@@ -21,30 +21,48 @@ from tidemark.llm.components import components
 from tidemark.session import written
 
 BLOCKS = 3
-# Filters for each vector of the table, and filters that a vector passes on average.
+# Filters for each vector of the table; independent codes; and in each, the filters that a vector passes on average, and at least.
 FILTERS_PER_VECTOR = 4
-PASSED = 48
+CODES = 3
+PASSED = 24
+AT_LEAST = 16
 # Rows of one filter that are compared with each other at once; a filter of more rows is cut into squares of this side.
 SIDE = 1024
 SEED = 11
 
 
 @cache
-def _code(dims: int, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def _code(dims: int, words: int, number: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """A rotation, and per block the codewords, all of the same length, such that a filter has length 1."""
-    draw = np.random.default_rng([SEED, dims, words])
+    draw = np.random.default_rng([SEED, dims, words, number])
     rotation = np.linalg.qr(draw.standard_normal((dims, dims)))[0]
     blocks = [draw.standard_normal((words, len(part))) for part in np.array_split(np.arange(dims), min(BLOCKS, dims))]
     return rotation, [b / np.linalg.norm(b, axis=1, keepdims=True) / np.sqrt(len(blocks)) for b in blocks]
 
 
-def passed_filters(unit: np.ndarray, words: int, threshold: float) -> np.ndarray:
+def passed_filters(unit: np.ndarray, words: int) -> np.ndarray:
+    """Numbers of the filters that a vector of length 1 passes, over all codes.
+
+    A vector that lies far from the codewords passes few caps, and so does everything near to it; its caps are widened until it passes enough.
+    """
+    out = []
+    for number in range(CODES):
+        threshold = _threshold(len(unit), words)
+        found = _decoded(unit, words, number, threshold)
+        while len(found) < AT_LEAST and threshold > -np.inf:
+            threshold = 0.93 * threshold if threshold > 1e-3 else -np.inf
+            found = _decoded(unit, words, number, threshold)
+        out.append(found * CODES + number)
+    return np.concatenate(out)
+
+
+def _decoded(unit: np.ndarray, words: int, number: int, threshold: float) -> np.ndarray:
     """Numbers of all filters whose direction has a product of ``threshold`` or more with the vector.
 
     Blocks are decoded one after the other. A choice for the first blocks is kept only if the best codewords of the others can
     still bring it over the threshold.
     """
-    rotation, blocks = _code(len(unit), words)
+    rotation, blocks = _code(len(unit), words, number)
     turned = rotation @ unit
     scores, at = [], 0
     for block in blocks:
@@ -112,7 +130,7 @@ def linked_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embed
                     raw = np.asarray(values.values, np.float64)
                     unit = raw / np.abs(raw).max()
                     unit /= np.linalg.norm(unit)
-                    found = passed_filters(unit, words, _threshold(len(unit), words))
+                    found = passed_filters(unit, words)
                     out[0].append(found * 4096 + len(unit) % 4096)  # lengths do not meet
                     out[1].append(np.full(len(found), node, np.int64))
                     out[2] += [raw.tobytes()] * len(found)
