@@ -82,6 +82,25 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir).select("doc_id", "text"), SHARD_BYTES).drop("text")
 
 
+# Deep enough for 2**24 shards' worth of bytes; a row that needs more bits gets a NULL depth, and the comparison fails.
+_DEPTHS = range(25)
+OP8_SQL = f"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h
+  FROM documents),
+summed AS (
+  SELECT *, {", ".join(f"sum(bytes) OVER (PARTITION BY h >> {60 - k}) AS s{k}" for k in _DEPTHS)} FROM hashed),
+placed AS (
+  SELECT *, CASE {" ".join(f"WHEN s{k} <= {SHARD_BYTES} THEN {k}" for k in _DEPTHS)} END AS depth,
+    CASE {" ".join(f"WHEN s{k} <= {SHARD_BYTES} THEN s{k}" for k in _DEPTHS)} END AS shard_bytes
+  FROM summed)
+SELECT doc_id, substr(to_base(h, 2, 60), 1, depth) AS shard, CAST(depth AS INTEGER) AS depth, CAST(bytes AS BIGINT) AS bytes,
+  CAST(shard_bytes AS BIGINT) AS shard_bytes
+FROM placed
+"""
+
+
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.repeated_spans(_table(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.coalesce(F.sha2("kept", 256), "content").alias("kept_sha256"))
@@ -110,7 +129,7 @@ CATALOG = {
     "op5_jaccard": (op5_jaccard, None),
     "op6_mixing": (op6_mixing, None),
     "op7_bpe": (op7_bpe, None),
-    "op8_sharding": (op8_sharding, None),
+    "op8_sharding": (op8_sharding, OP8_SQL),
     "op9_substrings": (op9_substrings, None),
     "op10_licenses": (op10_licenses, None),
 }
