@@ -49,6 +49,41 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir).select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+OP6_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+keyed AS (
+  SELECT doc_id, source, size,
+    -ln((CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+    / CASE WHEN text IS NULL THEN 0.25::DOUBLE ELSE
+        CASE WHEN length(text)::DOUBLE / greatest(size, 1) BETWEEN 4 AND 11 THEN 0.5::DOUBLE ELSE 0.25::DOUBLE END
+        + CASE WHEN length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::DOUBLE / greatest(size, 1) < 0.1 THEN 0.5::DOUBLE ELSE 0::DOUBLE END
+      END AS es_key
+  FROM sized),
+sources AS (SELECT source, sum(size) AS source_size FROM keyed GROUP BY source),
+weighed AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM sources),
+placed AS (
+  SELECT *, row_number() OVER w AS place, source_size * 2 / weight::DOUBLE AS most,
+    (sum(source_size) OVER () * 1.5::DOUBLE - (sum(source_size) OVER w - source_size) * 2)
+    / (sum(weight) OVER () - sum(weight) OVER w + weight)::DOUBLE AS level
+  FROM weighed
+  WINDOW w AS (ORDER BY source_size * 2 / weight::DOUBLE, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+first AS (SELECT min(place) AS place, arg_min(level, place) AS level FROM placed WHERE level < most),
+targets AS (
+  SELECT p.source, p.source_size,
+    CASE WHEN f.place IS NULL OR p.place < f.place THEN p.source_size * 2::DOUBLE ELSE f.level * p.weight END AS target
+  FROM placed p, first f),
+summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY es_key, doc_id ROWS UNBOUNDED PRECEDING) AS size_to FROM keyed),
+epochs AS (
+  SELECT k.*, t.source_size, t.target, least(floor(t.target / greatest(t.source_size, 1)), 2) AS epochs
+  FROM summed k JOIN targets t ON k.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+  CAST(size * (epochs + CASE WHEN size_to - size / 2::DOUBLE <= target - epochs * source_size AND epochs < 2
+    AND target - epochs * source_size > 0 THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM epochs
+"""
+
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
@@ -127,7 +162,7 @@ CATALOG = {
     "op3_quality": (op3_quality, None),
     "op4_language": (op4_language, None),
     "op5_jaccard": (op5_jaccard, None),
-    "op6_mixing": (op6_mixing, None),
+    "op6_mixing": (op6_mixing, OP6_SQL),
     "op7_bpe": (op7_bpe, None),
     "op8_sharding": (op8_sharding, OP8_SQL),
     "op9_substrings": (op9_substrings, None),
