@@ -5,7 +5,7 @@ from tidemark import schemas
 from tidemark.operators import checkpoints as C
 from tidemark.operators.joins import lookup_join, salted_join
 
-KEY = C.ControlKey("hub1.servicebus.windows.net", "topic1", "lake", "ingest", "table1")
+KEY = C.ControlKey("broker.example", "topic1", "lake", "ingest", "table1")
 
 
 def control(spark, at, rows):
