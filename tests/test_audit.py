@@ -72,7 +72,7 @@ def test_error_rate_and_throughput(spark, at):
     assert [(r.window_start, r.messages) for r in windows] == [(at(0), 5), (at(300), 3)]
 
 
-@pytest.mark.parametrize("cells, cell_values", [(4096, 1 << 20), (4, 3), (2, 1)])
+@pytest.mark.parametrize("cells, cell_values", [(4096, 1 << 20), (64, 3), (4, 40)])
 def test_exact_percentiles(spark, cells, cell_values):
     rng = random.Random(7)
     groups = {
@@ -81,6 +81,8 @@ def test_exact_percentiles(spark, cells, cell_values):
         "same": [4.25] * 50,
         "two": [1.0, 2.0],
         "one": [-3.0],
+        None: [rng.gauss(0, 1) for _ in range(40)],
+        "wide": [-1.7e308, -1e300, 0.0, 1e-320, 1e300, 1.7e308],
         "mostly": [0.0] * 200 + [rng.uniform(0, 1e-6) for _ in range(99)] + [1e12],
     }
     rows = [(g, v) for g, values in groups.items() for v in values] + [("one", None)]

@@ -21,6 +21,21 @@ def points(df):
     return {r.partition_id: r.waterlevel for r in df.collect()}
 
 
+def test_newest_row_is_found_without_sorting(spark, at):
+    rows = [(1, "0", -5), (1, "0", -9), (-4e9, "1", 2**63 - 1), (-4e9, "1", -(2**63)), (3, "2", 4), (2, "2", 9)]
+    latest = C.latest_points(control(spark, at, rows))
+    assert points(latest) == {"0": -5, "1": 2**63 - 1, "2": 4}
+    assert {r.partition_id: r.ts_inserted for r in latest.collect()} == {"0": at(1), "1": at(-4e9), "2": at(3)}
+    for df in (latest, C.resume_disagreements(control(spark, at, rows))):
+        assert "Sort" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_newest_row_with_nulls(spark):
+    empty = dict.fromkeys(schemas.CONTROL.names)
+    rows = [{**empty, "partition_id": "0", "waterlevel": w} for w in (7, None, 3)] + [{**empty, "partition_id": "1"}]
+    assert points(C.latest_points(spark.createDataFrame([tuple(r.values()) for r in rows], schemas.CONTROL))) == {"0": 7, "1": None}
+
+
 def test_three_partitions(spark, at):
     log = control(spark, at, [(0, "0", 100), (0, "1", 150), (0, "2", 120)])
     assert points(C.resume_points(C.entries_of(log, KEY))) == {"0": 100, "1": 150, "2": 120}

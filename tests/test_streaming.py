@@ -14,7 +14,7 @@ from tidemark.sources.streams import file_stream
 from tidemark.streaming.cutting import BatchCutter
 from tidemark.streaming.progress import LatestProgress, recent_progress, statuses
 from tidemark.streaming.retry import RetryPolicy, triaged_retry
-from tidemark.streaming.runner import deduplicated, drain, start_route, start_routes, wait_all
+from tidemark.streaming.runner import Deduplicated, drain, start_route, start_routes, wait_all
 from tidemark.streaming.sink import Lake, Route, RouteSink, read_control, read_table
 
 ROUTE = Route("SOURCE_1", "TARGET_1", "ns", "topic1", "$Default", "lake", "ingest", "table1")
@@ -327,20 +327,46 @@ def test_batches_span_micro_batches_and_survive_a_crash(spark, tmp_path, at):
     assert {(r.k, r.arrival): r.batch_no for r in cutter.rows(spark).collect()} == expected
 
 
+def _deduplicate(spark, tmp_path, stream, checkpoint="cp", fail_at=()):
+    """Lands a deduplicated stream; the batches in ``fail_at`` fail after their rows are written."""
+    failing = set(fail_at)
+    run = uuid.uuid4().hex if checkpoint != "cp" else "first"
+
+    def land(rows, batch_id):
+        rows.write.mode("overwrite").parquet(str(tmp_path / "rows" / run / f"batch_id={batch_id}"))
+        if batch_id in failing:
+            failing.remove(batch_id)
+            raise RuntimeError("lost after the rows")
+
+    sink = Deduplicated(str(tmp_path / "keys"), str(tmp_path / checkpoint), land, "enqueued_time", "1 hour")
+    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / checkpoint)).trigger(availableNow=True).start()
+    assert query.awaitTermination(120)
+
+
+def _landed(spark, tmp_path):
+    return sorted(r.sequence_number for r in spark.read.parquet(str(tmp_path / "rows" / "*" / "*")).collect())
+
+
+def _timed(stream):
+    """Message 6 is hours older than those before it."""
+    time = F.when(F.col("sequence_number") == 6, F.lit("2025-10-17 06:00:00")).otherwise(F.lit("2025-10-17 12:00:00"))
+    return stream.withColumn("enqueued_time", time.cast("timestamp_ntz"))
+
+
 def test_stream_deduplication_across_batches(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in").add(range(5)).add(range(3, 8)).add([6, 7])
+    _deduplicate(spark, tmp_path, _timed(feed.stream()))
+    assert _landed(spark, tmp_path) == list(range(8))
+
+
+def test_stream_deduplication_survives_a_crash_and_a_new_checkpoint(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in").add(range(5)).add(range(3, 8))
-    stream = feed.stream().withColumn("time", F.lit("2025-10-17 12:00:00").cast("timestamp"))
-    name = f"t{uuid.uuid4().hex}"
-    query = (
-        deduplicated(stream, "time", "1 hour")
-        .writeStream.format("memory")
-        .queryName(name)
-        .option("checkpointLocation", str(tmp_path / "cp"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    assert query.awaitTermination(120)
-    assert sorted(r.sequence_number for r in spark.table(name).collect()) == list(range(8))
+    with pytest.raises(StreamingQueryException):
+        _deduplicate(spark, tmp_path, _timed(feed.stream()), fail_at=[1])
+    _deduplicate(spark, tmp_path, _timed(feed.stream()))
+    assert _landed(spark, tmp_path) == list(range(8))
+    _deduplicate(spark, tmp_path, _timed(feed.stream()), "cp2")
+    assert _landed(spark, tmp_path) == list(range(8))
 
 
 def test_waits_grow_and_are_bounded():

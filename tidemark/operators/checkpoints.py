@@ -61,15 +61,36 @@ def latest_points(control: DataFrame, by: list[str] | None = None) -> DataFrame:
     in one task.
     """
     by = by or ["partition_id"]
-    newest = F.max(F.struct("ts_inserted", "waterlevel")).alias("_newest")
     return (
         control.filter(F.col("partition_id").isNotNull())
         .groupBy(*by)
-        .agg(newest)
-        .select(*by, F.col("_newest.ts_inserted").alias("ts_inserted"), F.col("_newest.waterlevel").alias("waterlevel"))
+        .agg(_newest())
+        .select(*by, _newest_time(control).alias("ts_inserted"), _newest_level().alias("waterlevel"))
     )
 
 
+# Time and waterlevel as one number, ordered by time and then waterlevel, NULL first in both. A hash aggregate keeps a
+# decimal in its buffer but no struct, for which it would sort all rows.
+LEVELS = 1 << 65
+NO_TIME = -(1 << 60)
+LOWEST = 1 << 63
+
+
+def _newest() -> Column:
+    micros = F.coalesce(F.unix_micros(F.col("ts_inserted").cast("timestamp")), F.lit(NO_TIME))
+    level = F.coalesce(F.expr(f"cast(waterlevel AS decimal(19,0)) + {LOWEST} + 1"), F.lit(0).cast("decimal(19,0)"))
+    return F.max((micros.cast("decimal(19,0)") * F.expr(f"{LEVELS}") + level).cast("decimal(38,0)")).alias("_newest")
+
+
+def _newest_time(control: DataFrame) -> Column:
+    micros = F.expr(f"(_newest - pmod(_newest, {LEVELS})) div {LEVELS}")
+    return F.when(micros != NO_TIME, F.timestamp_micros(micros)).cast(control.schema["ts_inserted"].dataType)
+
+
+def _newest_level() -> Column:
+    return F.expr(f"CASE WHEN pmod(_newest, {LEVELS}) > 0 THEN cast(pmod(_newest, {LEVELS}) - {LOWEST} - 1 AS bigint) END")
+
+
 def resume_disagreements(control: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Partitions where the two resume rules differ; one pass over the log."""
     by = by or ["partition_id"]
@@ -78,9 +99,9 @@ def resume_disagreements(control: DataFrame, by: list[str] | None = None) -> Dat
         .groupBy(*by)
         .agg(
             F.max("waterlevel").alias("highest_waterlevel"),
-            F.max(F.struct("ts_inserted", "waterlevel")).alias("_newest"),
+            _newest(),
         )
-        .select(*by, "highest_waterlevel", F.col("_newest.waterlevel").alias("latest_waterlevel"))
+        .select(*by, "highest_waterlevel", _newest_level().alias("latest_waterlevel"))
         .filter("highest_waterlevel <> latest_waterlevel")
     )
 

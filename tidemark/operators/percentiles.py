@@ -10,9 +10,8 @@ from tidemark.operators.joins import lookup_join
 from tidemark.session import cut_lineage
 
 CELLS = 4096
-# A cell with more distinct values than this is cut again.
+# A cell with more rows than this is cut again, unless all hold one value.
 CELL_VALUES = 1 << 20
-MAX_ROUNDS = 20
 
 
 def exact_percentiles(
@@ -27,11 +26,13 @@ def exact_percentiles(
 
     The range of every group is cut into equal cells whose counts are partially aggregated, and
     only the cells that hold a wanted rank are looked at more closely: they are cut again while
-    any holds more than ``cell_values`` distinct values, and then ranked. ``by`` must not be NULL;
-    NULL values are left out.
+    any with different values holds more than ``cell_values`` rows, and then ranked. The ends of an
+    interval are cells of their own, so every round closes in on the ranks whatever the values
+    are. Groups with NULL in ``by`` are groups like any other; NULL values are left out.
     """
+    keys, by = by, ["_g"]
     x = F.col(value).cast("double")
-    rows = df.filter(F.col(value).isNotNull()).select(*by, x.alias("_v"))
+    rows = df.filter(F.col(value).isNotNull()).select(F.struct(*keys).alias("_g"), x.alias("_v"))
 
     extent = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     ranks = F.array(
@@ -49,7 +50,7 @@ def exact_percentiles(
     )
 
     wanted = cut_lineage(wanted)
-    for _ in range(MAX_ROUNDS):
+    while True:
         intervals = wanted.select(*by, "_lo", "_hi", "_below").distinct()
         held = lookup_join(rows, intervals, by, "inner", "_v").filter("_v >= _lo AND _v <= _hi")
         counted = held.groupBy(*by, "_lo", "_hi", "_below", _cell(cells).alias("_cell")).agg(
@@ -98,11 +99,13 @@ def exact_percentiles(
         mine = F.when(F.col("_name") == name, F.col("_v"))
         part = F.max(F.when(F.col("_name") == name, position - F.floor(position)))
         aggregates.append((F.min(mine) + (F.max(mine) - F.min(mine)) * part).alias(name))
-    return picked.groupBy(*by).agg(*aggregates)
+    return picked.groupBy(*by).agg(*aggregates).select("_g.*", *probabilities)
 
 
 def _cell(cells: int):
-    width = F.col("_hi") - F.col("_lo")
-    scaled = F.floor((F.col("_v") - F.col("_lo")) / width * cells)
-    return F.when(width > 0, F.least(scaled, F.lit(cells - 1))).otherwise(F.lit(0).cast("bigint"))
-
+    """Number of the cell, not falling with the value: -1 and ``cells`` are the ends of the interval."""
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    # Halves, where the width is beyond the largest double.
+    part = F.when(hi - lo == float("inf"), (v / 2 - lo / 2) / (hi / 2 - lo / 2)).otherwise((v - lo) / (hi - lo))
+    inner = F.least(F.floor(part * cells), F.lit(cells - 1))
+    return F.when(v == lo, F.lit(-1).cast("bigint")).when(v == hi, F.lit(cells).cast("bigint")).otherwise(inner)

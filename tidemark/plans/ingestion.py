@@ -100,14 +100,14 @@ CONCAT_STREAMS = " UNION ALL ".join(
 
 def enqueued_text(spark, sf_dir):
     """P5: ISO text with an offset is brought to UTC; text without one is UTC already."""
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     zone = F.element_at(F.array(F.lit("+02:00"), F.lit("Z"), F.lit(""), F.lit("-05:30")), (F.col("event_id") % 4 + 1).cast("int"))
     texts = I.table(spark, sf_dir, "events").select("event_id", F.concat(stamp, zone).alias("text"))
     return texts.select("event_id", E.utc_timestamp(F.col("text"), texts.schema["text"].dataType).alias("enqueued_time"))
 
 
 ENQUEUED_TEXT = """
-SELECT event_id, date_trunc('second', ts) - to_minutes(([120, 0, 0, -330])[event_id % 4 + 1]) AS enqueued_time FROM events"""
+SELECT event_id, ts - to_minutes(([120, 0, 0, -330])[event_id % 4 + 1]) AS enqueued_time FROM events"""
 
 
 def properties_access(spark, sf_dir):

@@ -12,7 +12,7 @@ from tidemark.plans import inputs as I
 from tidemark.session import shared_folder
 from tidemark.sources.streams import file_stream
 from tidemark.streaming.cutting import BatchCutter
-from tidemark.streaming.runner import deduplicated, start_route, start_routes, wait_all
+from tidemark.streaming.runner import Deduplicated, start_route, start_routes, wait_all
 from tidemark.streaming.sink import Lake, Route, RouteSink, read_table
 
 ROUTES = [
@@ -149,30 +149,27 @@ FROM numbered m LEFT JOIN chain c ON c.event_type = m.event_type AND c.closing =
 
 
 def stream_dedup(spark, sf_dir):
-    """X11: every message delivered twice, a third of them five times; one copy of each lands."""
-    copies = F.when(F.col("event_id") % 3 == 0, F.sequence(F.lit(1), F.lit(5))).otherwise(F.sequence(F.lit(1), F.lit(2)))
-    delivered = _events(spark, sf_dir).select(
-        F.col("ts").cast("timestamp").alias("time"),
-        (F.col("user_id") % 4).cast("string").alias("partition_id"),
-        F.col("event_id").alias("sequence_number"),
-        F.explode(copies).alias("delivery"),
-    )
+    """X11: every message delivered twice, a third of them five times, in micro-batches of no order; one copy of each lands."""
+    events = I.table(spark, sf_dir, "events")
     folder = shared_folder(spark, "dedup")
-    # Longer than the data's whole time span, so that no row of any file counts as late.
-    kept = deduplicated(delivered, "time", "400 days").select("partition_id", "sequence_number")
-    wait_all(
-        [
-            kept.writeStream.format("parquet")
-            .option("path", f"{folder}/rows")
-            .option("checkpointLocation", f"{folder}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-        ]
-    )
-    return spark.read.schema(kept.schema).parquet(f"{folder}/rows")
+    copies = F.when(F.col("sequence_number") % 3 == 0, F.sequence(F.lit(1), F.lit(5))).otherwise(F.sequence(F.lit(1), F.lit(2)))
+    delivered = _messages(events).select("*", F.explode(copies).alias("delivery")).withColumn("batch", F.pmod(F.xxhash64("sequence_number", "delivery"), F.lit(5)))
+    # Five files: one micro-batch each. Copies of a message lie in different ones, and so do early and late times.
+    delivered.repartition(5, "batch").drop("properties").write.partitionBy("batch").parquet(f"{folder}/delivered")
+    stream = file_stream(spark, f"{folder}/delivered/*", delivered.drop("properties", "batch").schema, max_files=1)
+
+    def land(rows, batch_id):
+        rows.drop("delivery").write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch_id}")
+
+    checkpoint = f"{folder}/checkpoint"
+    sink = Deduplicated(f"{folder}/keys", checkpoint, land, "enqueued_time", "1 hour")
+    wait_all([stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()])
+    return read_table(spark, f"{folder}/rows", stream.drop("delivery").schema)
 
 
-STREAM_DEDUP = "SELECT CAST(user_id % 4 AS VARCHAR) AS partition_id, event_id AS sequence_number FROM events"
+STREAM_DEDUP = """
+SELECT concat(event_type, ' ', props) AS body, CAST(user_id % 4 AS VARCHAR) AS partition_id, event_id AS sequence_number,
+  CASE WHEN event_id % 11 = 0 THEN 'invalid' ELSE CAST(event_id * 64 AS VARCHAR) END AS offset, ts AS enqueued_time FROM events"""
 
 
 QUERIES = {

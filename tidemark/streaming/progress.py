@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections import OrderedDict
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -37,19 +35,20 @@ def recent_progress(spark: SparkSession, queries: dict[str, StreamingQuery]) ->
 
 
 class LatestProgress(StreamingQueryListener):
-    """Keeps the newest progress of each named query and how the ended ones ended."""
+    """Keeps the newest progress of each named query and how the ended ones ended.
+
+    One entry per name, so it grows with the mappings and not with their batches. ``forget`` drops
+    a mapping that was given up.
+    """
 
-    def __init__(self, queries: int = 1000):
-        self.queries = queries
-        self.progress: OrderedDict[str, dict] = OrderedDict()
-        self.ended: OrderedDict[str, str | None] = OrderedDict()
+    def __init__(self):
+        self.progress: dict[str, dict] = {}
+        self.ended: dict[str, str | None] = {}
         self._names: dict[str, str] = {}
 
-    def _keep(self, kept: OrderedDict, name: str, value) -> None:
-        kept[name] = value
-        kept.move_to_end(name)
-        while len(kept) > self.queries:
-            kept.popitem(last=False)
+    def forget(self, name: str) -> None:
+        self.progress.pop(name, None)
+        self.ended.pop(name, None)
 
     def onQueryStarted(self, event) -> None:
         self._names[str(event.id)] = event.name
@@ -57,10 +56,10 @@ class LatestProgress(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         facts = {"batch_id": p.batchId, "input_rows": p.numInputRows, "processed_per_second": p.processedRowsPerSecond}
-        self._keep(self.progress, p.name or str(p.id), facts)
+        self.progress[p.name or str(p.id)] = facts
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self._keep(self.ended, self._names.pop(str(event.id), None) or str(event.id), event.exception)
+        self.ended[self._names.pop(str(event.id), None) or str(event.id)] = event.exception

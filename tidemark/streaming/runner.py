@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.streaming.sink import Lake, Route, RouteSink
+from tidemark.streaming.sink import Lake, Route, RouteSink, read_table, run_of
 
 
 def start_route(stream: DataFrame, sink: RouteSink, every: str | None = None) -> StreamingQuery:
@@ -80,9 +84,54 @@ def drain(query: StreamingQuery) -> None:
     query.stop()
 
 
-def deduplicated(stream: DataFrame, time: str, delay: str) -> DataFrame:
-    """Stream without messages delivered again within the delay (X11).
+class Deduplicated:
+    """Function for ``foreachBatch`` that hands on messages without those delivered again within ``delay`` (X11).
 
-    ``time`` must be a timestamp with zone, as watermarks need one.
+    A copy is a message whose keys a message of an earlier micro-batch has, at most ``delay`` away in ``time``, or an earlier one of the same
+    micro-batch. Everything else is handed on, however late it is: a first delivery is never dropped. Messages with a NULL
+    key cannot be told to be copies and stay.
+
+    ``land`` must replace what a failed try of the same batch left behind. The keys of a batch are written after it, in a folder
+    of the run (see ``run_of``) and the batch; a try that fails in between is repeated, so no message is lost. Only keys in reach of the
+    batch's times are read; ``time`` is what the key files are pruned on.
     """
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(["partition_id", "sequence_number"])
+
+    def __init__(self, folder: str, checkpoint: str, land: Callable[[DataFrame, int], None], time: str, delay: str, keys: Iterable[str] = ("partition_id", "sequence_number")):
+        self.folder, self.checkpoint, self.land, self.time, self.keys = folder, checkpoint, land, time, list(keys)
+        self.delay = F.expr(f"INTERVAL '{delay}'")
+        self.run: str | None = None
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if self.run is None or batch_id == 0:
+            self.run = run_of(spark, self.checkpoint)
+        run = self.run
+        batch = batch.persist()
+        try:
+            fresh = self.fresh(batch, run, batch_id).persist()
+            try:
+                self.land(fresh, batch_id)
+                kept = fresh.select(*self.keys, F.col(self.time).alias("_time")).dropna(subset=self.keys)
+                kept.write.mode("overwrite").parquet(f"{self.folder}/run={run}/batch_id={batch_id}")
+            finally:
+                fresh.unpersist()
+        finally:
+            batch.unpersist()
+
+    def fresh(self, batch: DataFrame, run: str, batch_id: int) -> DataFrame:
+        told = reduce(and_, [F.col(k).isNotNull() for k in self.keys])
+        once = batch.filter(told).dropDuplicates(self.keys)
+        reach = batch.agg(F.min(self.time).alias("low"), F.max(self.time).alias("high")).first()
+        if reach["low"] is not None:
+            known = T.StructType([*[batch.schema[k] for k in self.keys], T.StructField("_time", batch.schema[self.time].dataType)])
+            schema = T.StructType([*known, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
+            landed = (
+                read_table(batch.sparkSession, self.folder, schema)
+                .filter((F.col("run") != run) | (F.col("batch_id") != batch_id))
+                .filter(F.col("_time").between(F.lit(reach["low"]) - self.delay, F.lit(reach["high"]) + self.delay))
+                .select(*[F.col(k).alias(f"_seen_{k}") for k in self.keys], "_time")
+            )
+            near = F.col("_time").between(F.col(self.time) - self.delay, F.col(self.time) + self.delay)
+            same = reduce(and_, [F.col(k) == F.col(f"_seen_{k}") for k in self.keys])
+            once = once.join(landed, same & near, "left_anti")
+        return once.unionByName(batch.filter(~told))
