@@ -115,10 +115,17 @@ def test_salted_join_equals_join(spark, how):
     lookup = spark.range(4).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     expected = sorted(map(str, large.join(lookup, ["k"], how).collect()))
     for share in (1, 7, 10_000):  # no key is hot, some are, all are
-        assert sorted(map(str, salted_join(large, lookup, ["k"], how, "id", 5, share).collect())) == expected
+        assert sorted(map(str, salted_join(large, lookup, ["k"], how, "id", share).collect())) == expected
     assert sorted(map(str, lookup_join(large, lookup, ["k"], how).collect())) == expected
 
 
+def test_wide_lookups_are_measured_before_they_are_collected(spark, monkeypatch):
+    wide = spark.range(100).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1 << 20).alias("v"), F.array(F.struct("id")).alias("a"))
+    monkeypatch.setattr(type(wide), "toArrow", lambda self: pytest.fail("collected"))
+    joined = lookup_join(spark.range(300).select((F.col("id") % 150).alias("k")), wide, ["k"], "inner")
+    assert joined.agg(F.count("*"), F.sum(F.length("v"))).first() == (200, 200 << 20)
+
+
 def test_control_rows_with_partial_metadata(spark, at):
     levels = spark.createDataFrame([("0", 100), ("1", 150)], "partition_id string, waterlevel bigint")
     metadata = spark.createDataFrame([("0", '{"sequence_number":100}'), ("9", "{}")], "partition_id string, metadata string")
