@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import audit as A
 from tidemark.operators.batching import batches_by_size
-from tidemark.operators.failures import RULES, UNKNOWN
 from tidemark.session import configure
 
 BATCH = 100
@@ -171,9 +170,9 @@ audit AS (
 
 # Error types and messages that failures are made of.
 ERRORS = [
-    ("TimeoutError", "Connection timed out after 30 seconds"),
-    ("PermissionError", "Invalid credentials: Access denied"),
-    ("ValueError", "Some error"),
+    ("TimeoutError", "Gave up on the broker: timed out while it was rebalancing"),
+    ("PermissionError", "The key of this writer has expired, access denied"),
+    ("ValueError", "Unexpected marker in the second frame"),
     ("HttpError", "503 Service Unavailable from the ingest endpoint"),
     ("HttpError", "429 Too Many Requests: rate limit reached"),
     ("CatalogError", "Table lake.ingest.events does not exist"),
@@ -215,17 +214,22 @@ FAILURES = f"""failures AS (
 signed AS (SELECT *, concat(error_type, ':', left(message, 100)) AS signature FROM failures)"""
 
 
-def _case(field: str, quote: str = "") -> str:
-    branches = " ".join(
-        f"WHEN regexp_matches(said, '{r.pattern}') THEN {quote}{getattr(r, field)}{quote}" for r in RULES
-    )
-    return f"CASE {branches} ELSE {quote}{getattr(UNKNOWN, field)}{quote} END AS {field}"
-
-
+# What each error of ERRORS must lead to, written by hand: how its signature starts, retry or not, why, wait and confidence.
 DECISIONS = f"""{FAILURES},
+expected(start, should_retry, reasoning, suggested_wait_seconds, confidence) AS (VALUES
+  ('TimeoutError:', true, 'network timeout', 2, 0.9::DOUBLE),
+  ('PermissionError:', false, 'authentication or authorization failure', 2, 0.9),
+  ('ValueError:', false, 'no rule matched; stopping for safety', 1, 0.0),
+  ('HttpError:503', true, 'service unavailable', 5, 0.9),
+  ('HttpError:429', true, 'rate limited', 10, 0.9),
+  ('CatalogError:', false, 'resource not found', 2, 0.9),
+  ('ConstraintError:', false, 'schema mismatch or constraint violation', 2, 0.9),
+  ('DatabaseError:', true, 'resource locked or busy', 2, 0.9),
+  ('ConnectionError:', true, 'name resolution failure', 2, 0.9),
+  ('TokenError:', false, 'no rule matched; stopping for safety', 1, 0.0),
+  ('QuotaError:', false, 'quota exceeded', 2, 0.9),
+  ('PoolError:', true, 'connection pool exhausted', 5, 0.9)),
 decided AS (
-  SELECT signature, occurrences, {_case("should_retry")}, {_case("reasoning", "'")},
-    {_case("suggested_wait_seconds")}, CAST({_case("confidence").removesuffix(" AS confidence")} AS DOUBLE) AS confidence
-  FROM (SELECT signature, count(*) AS occurrences,
-          lower(concat(arg_min(error_type, ts), ': ', arg_min(message, ts))) AS said
-        FROM signed GROUP BY signature))"""
+  SELECT signature, occurrences, should_retry, reasoning, suggested_wait_seconds, confidence
+  FROM (SELECT signature, count(*) AS occurrences FROM signed GROUP BY signature)
+  JOIN expected ON starts_with(signature, start))"""
