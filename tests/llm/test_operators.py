@@ -254,6 +254,60 @@ def test_licenses(docs, odd, empty, rows, monkeypatch):
     assert len(licenses.signatures()) > 200
 
 
+# The shortest text of every family.
+SHORTEST = {
+    "gpl": "GPL", "lgpl": "LGPL", "agpl": "AGPL", "gfdl": "GFDL", "apache": "Apache", "mit": "Expat license", "bsd": "BSD-3", "mpl": "MPL", "epl": "EPL", "cddl": "CDDL",
+    "isc": "ISC license", "zlib": "zlib license", "boost": "BSL-1.0", "artistic": "Artistic-2.0", "unlicense": "Unlicense", "wtfpl": "WTFPL", "cc0": "CC0", "cc-by-nc-sa": "CC BY-NC-SA",
+    "cc-by-nc-nd": "CC BY-NC-ND", "cc-by-nc": "CC BY-NC", "cc-by-sa": "CC BY-SA", "cc-by-nd": "CC BY-ND", "cc-by": "CC BY", "ofl": "OFL 1.1", "eupl": "EUPL", "odbl": "ODbL",
+    "python": "PSF-2", "php": "PHP-3.01", "openssl": "OpenSSL license", "public-domain": "public domain",
+}
+
+
+def labels_of(spark, texts):
+    """Labels that a scan finds in each text."""
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    return [r["found"] for r in found.select("doc_id", F.transform("licenses", lambda d: d["label"]).alias("found")).orderBy("doc_id").collect()]
+
+
+def test_license_gate(spark):
+    assert SHORTEST.keys() == {f.label for f in licenses.FAMILIES}
+    assert labels_of(spark, SHORTEST.values()) == [[x] for x in SHORTEST]
+    given = {"Released under MPL 2.0": "mpl", "EUPL 1.2": "eupl", "EPL-2.0": "epl", "PSF-2.0": "python", "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: MIT": "mit"}
+    assert labels_of(spark, given) == [[x] for x in given.values()]
+
+
+def sample(nodes, draw):
+    """A text that a parsed expression matches."""
+    out = ""
+    for kind, value in nodes:
+        name = str(kind)
+        if name == "LITERAL":
+            out += chr(value)
+        elif name == "IN":
+            kind, value = draw.choice(value)
+            out += chr(value if str(kind) == "LITERAL" else draw.randint(*value))
+        elif name == "NOT_LITERAL":
+            out += "w"
+        elif name == "BRANCH":
+            out += sample(draw.choice(value[1]), draw)
+        elif name == "SUBPATTERN":
+            out += sample(value[3], draw)
+        elif name.endswith("REPEAT"):
+            out += "".join(sample(value[2], draw) for _ in range(draw.randint(value[0], min(value[1], value[0] + 3))))
+        else:
+            assert name == "ASSERT", name
+    return out
+
+
+def test_license_keywords():
+    """Whatever a rule matches has one of its keywords, and passes the gate."""
+    draw = random.Random(6)
+    for s in licenses.signatures():
+        for _ in range(30):
+            text = f" {sample(trigrams.parser.parse(s.pattern), draw)} "
+            assert re.search(s.pattern, text) and any(f" {k}" in text for k in s.keywords) and re.search(licenses.gate(), text), (s, text)
+
+
 def test_word_hashes():
     data = "ab  cd e\x0bAB".encode()
     hashes, starts, ends, cuts = word_hashes(np.frombuffer(data, np.uint8), np.array([0, 2, 2, len(data)]), fold=True)

@@ -1,7 +1,7 @@
 """License scans: ordered signature rules behind a keyword prefilter, with DataFrame functions only.
 
 The text is reduced to its words in lower case, joined by one space, so a rule is a regular expression over words. Rules come from a table of
-license families and of the ways in which a license is named, the most specific first. A text without any of a few words is not
+license families and of the ways in which a license is named, the most specific first. A text without any of the rules' keywords is not
 looked at; of the rules, only those whose keyword the text has are matched. Where detections overlap, the one inside another is
 suppressed, and of two that cross the one of lower priority.
 """
@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The phrases and labels that count in any case (fixed values).
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
-# A text has to hold one of these for any rule to match (each keyword below is a part of a text that has one).
-GATE = ("licen", "gpl", "cc by", "cc0", "creative commons", "copyleft", "public domain", "spdx", "wtfpl", "apache", "mozilla", "bsd", "gfdl", "cddl", "ofl ")
-
 
 @dataclass(frozen=True)
 class Family:
@@ -27,7 +24,7 @@ class Family:
     names: tuple[str, ...]  # expressions over words in lower case
     versions: tuple[str, ...] = ()
     short: str = ""  # how identifiers begin
-    keywords: tuple[str, ...] = ()  # a text that matches any of the names, or identifiers, has one of these
+    keywords: tuple[str, ...] = ()  # a text that matches any of the names, or identifiers, has one of these after a space
 
 
 FAMILIES = (
@@ -36,12 +33,12 @@ FAMILIES = (
     Family("agpl", ("gnu affero general public licen[cs]e", "affero general public licen[cs]e", "gnu agpl", "agpl"), ("1", "3"), "agpl", ("affero", "agpl")),
     Family("gfdl", ("gnu free documentation licen[cs]e", "free documentation licen[cs]e", "gfdl"), ("1 1", "1 2", "1 3"), "gfdl", ("free documentation", "gfdl")),
     Family("apache", ("apache software licen[cs]e", "apache licen[cs]e", "apache"), ("1", "1 1", "2", "2 0"), "apache", ("apache",)),
-    Family("mit", ("mit x11 licen[cs]e", "mit licen[cs]e", "expat licen[cs]e"), (), "mit", ("mit ", "expat")),
+    Family("mit", ("mit x11 licen[cs]e", "mit licen[cs]e", "expat licen[cs]e"), (), "mit", ("mit licen", "mit x11 licen", "identifier mit", "expat licen")),
     Family("bsd", ("(?:new |modified |simplified |revised )?bsd licen[cs]e", "bsd (?:2|3|4|two|three|four) clause(?: licen[cs]e)?", "(?:2|3|4|two|three|four) clause bsd(?: licen[cs]e)?"), ("2", "3", "4"), "bsd", ("bsd",)),
     Family("mpl", ("mozilla public licen[cs]e", "mpl"), ("1 0", "1 1", "2 0"), "mpl", ("mozilla", "mpl")),
     Family("epl", ("eclipse public licen[cs]e", "epl"), ("1 0", "2 0"), "epl", ("eclipse", "epl")),
     Family("cddl", ("common development and distribution licen[cs]e", "cddl"), ("1 0", "1 1"), "cddl", ("common development", "cddl")),
-    Family("isc", ("isc licen[cs]e",), (), "isc", ("isc ",)),
+    Family("isc", ("isc licen[cs]e",), (), "isc", ("isc licen", "identifier isc")),
     Family("zlib", ("zlib licen[cs]e", "zlib libpng licen[cs]e"), (), "zlib", ("zlib",)),
     Family("boost", ("boost software licen[cs]e",), ("1 0",), "bsl", ("boost", "bsl")),
     Family("artistic", ("perl artistic licen[cs]e", "artistic licen[cs]e"), ("1 0", "2 0"), "artistic", ("artistic",)),
@@ -99,6 +96,11 @@ def signatures() -> list[Signature]:
     return out
 
 
+def gate() -> str:
+    """An expression that every text matches in which some rule or base phrase does: any keyword, or base phrase, at the beginning of a word."""
+    return f" (?:{'|'.join(sorted({k for f in FAMILIES for k in f.keywords} | {phrase for phrase, _ in BASE}))})"
+
+
 def words_of(text: Column) -> Column:
     """The words in lower case between single spaces, with one before and one after; one space if there are none."""
     return F.regexp_replace(F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" ")), BETWEEN_WORDS, " ")
@@ -126,8 +128,13 @@ def places(plain: Column, pattern: Column) -> Column:
 
 
 def _rules() -> Column:
-    """The rules as one constant array."""
-    return F.from_json(F.lit(json.dumps([asdict(s) for s in signatures()])), "array<struct<priority:int,label:string,keywords:array<string>,pattern:string,confidence:double>>")
+    """The rules as one constant array, those of the same keywords together."""
+    groups: dict[tuple[str, ...], list[dict]] = {}
+    for s in signatures():
+        rule = asdict(s)
+        groups.setdefault(rule.pop("keywords"), []).append(rule)
+    listed = [{"keywords": [f" {k}" for k in keywords], "rules": rules} for keywords, rules in groups.items()]
+    return F.from_json(F.lit(json.dumps(listed)), "array<struct<keywords:array<string>,rules:array<struct<priority:int,label:string,pattern:string,confidence:double>>>>")
 
 
 def _resolved(found: Column) -> Column:
@@ -157,15 +164,13 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     added = ("n_words", "base", "licenses")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).alias("row"), words_of(F.col(text)).alias("plain"))
-    hit = F.lit(False)
-    for word in GATE:
-        hit = hit | F.contains("plain", F.lit(word))
-    gated = rows.select("row", (_spaces(F.col("plain")) - 1).alias("n_words"), F.when(hit, F.col("plain")).alias("plain"))
+    gated = rows.select("row", (_spaces(F.col("plain")) - 1).alias("n_words"), F.when(F.col("plain").rlike(gate()), F.col("plain")).alias("plain"))
     base = []
     for phrase, label in BASE:
         here = places(F.col("plain"), F.lit(f"(?<= ){phrase}(?= )"))
         base.append(F.when(F.contains("plain", F.lit(phrase)), F.transform(here, _labelled(label))).otherwise(F.expr("cast(array() as array<struct<start:bigint,end:bigint,label:string>>)")))
-    matching = F.filter(_rules(), lambda r: F.exists(r["keywords"], lambda k: F.contains(F.col("plain"), k)) & F.rlike(F.col("plain"), r["pattern"]))
+    likely = F.filter(_rules(), lambda g: F.exists(g["keywords"], lambda k: F.contains(F.col("plain"), k)))
+    matching = F.filter(F.flatten(F.transform(likely, lambda g: g["rules"])), lambda r: F.rlike(F.col("plain"), r["pattern"]))
     found = F.flatten(
         F.transform(
             matching,
