@@ -24,12 +24,22 @@ class Rule:
     gate: str | None = None  # for rules that scan every text: a cheaper expression that every kept match has to fulfil
 
 
+# A private key: its header, then all up to the END line, or, with no END line before other dashes, header fields and the base64 run that follows. What
+# stands between two chunks of the run are spaces and line ends, also written as escapes, and the signs of quotes, lists and comments.
+_BEGIN, _END = [rf"-----{word} [A-Z0-9 ]{{0,40}}PRIVATE KEY(?: BLOCK)?-----" for word in ("BEGIN", "END")]
+_BETWEEN = r"""(?:\s|\\[nrt]|["'>+,#*|])"""
+_FIELD = r"(?:Proc-Type:\x20*[0-9],ENCRYPTED|DEK-Info:\x20*[A-Za-z0-9-]++,[0-9A-Fa-f]++|(?:Version|Comment|Hash|Charset|MessageID):[^\r\n]{0,200}?(?=[\r\n]|(?:\x20|\\[nr])+[A-Za-z0-9+/]{40}))"
+_CHUNKS = rf"(?:{_BETWEEN}*+[A-Za-z0-9+/=]{{16,}}+)++"
+# After whole chunks, if they do not end with padding, one short rest, whatever it is; then a checksum.
+_RUN = rf"(?:{_BETWEEN}*+{_FIELD})*+(?:{_CHUNKS}(?:(?<!=){_BETWEEN}++[A-Za-z0-9+/]++={{0,2}})?+(?:{_BETWEEN}*+=[A-Za-z0-9+/]{{4}})?+)?+"
+PRIVATE_KEY = rf"{_BEGIN}(?:(?:[^-]++|-(?!----))*+{_END}|{_RUN})"
+
 # In the order in which spans with the same start are listed.
 RULES = (
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
     Rule("access", r"AKIA[A-Z0-9]+", 16),
     Rule("hex", r"[0-9a-f]+", 32, gate=r"[0-9a-f]{32}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("code_host_2", r"glpat-[A-Za-z0-9_-]{20,}"),
     Rule("package_host", r"npm_[A-Za-z0-9]{36}"),
