@@ -304,6 +304,78 @@ def test_license_gate(spark):
     assert labels_of(spark, given) == [[x] for x in given.values()]
 
 
+DEED = "Attribution — You must give appropriate credit , provide a link to the license, and indicate if changes were made . You may do so in any reasonable manner, but not in any way that suggests the licensor endorses you or your use."
+NC, SA, ND = (
+    " NonCommercial — You may not use the material for commercial purposes .",
+    " ShareAlike — If you remix, transform, or build upon the material, you must distribute your contributions under the same license as the original.",
+    " NoDerivatives — If you remix, transform, or build upon the material, you may not distribute the modified material.",
+)
+# Texts and notices as the licenses have them, and the one label each must get.
+VERBATIM = [
+    ("mit", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal'),
+    ("boost", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice"),
+    ("0bsd", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED"),
+    ("hpnd", "Permission to use, copy, modify, and distribute this software and its documentation for any purpose and without fee"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1."),
+    ("bsd", "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd", "All advertising materials mentioning features or use of this software must display the following acknowledgement: This"),
+    ("apache", "You may obtain a copy of the License at\n\n  http://www.apache.org/licenses/LICENSE-2.0\n\n"),
+    ("apache", "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of,"),
+    ("apache", 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,'),
+    ("gpl", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by"),
+    ("gpl", "You should have received a copy of the GNU General Public License along with this program; if not"),
+    ("gpl", "By contrast, the GNU General Public License is intended to guarantee your freedom to share and change free software"),
+    ("gpl", "The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as"),
+    ("lgpl", "You should have received a copy of the GNU Lesser General Public License along with this library; if not"),
+    ("lgpl", "This license, the Lesser General Public License, applies to some specially designated software packages"),
+    ("lgpl", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of"),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as"),
+    ("agpl", "You should have received a copy of the GNU Affero General Public License along with this program."),
+    ("agpl", "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically"),
+    ("gfdl", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License"),
+    ("gfdl", 'The purpose of this License is to make a manual, textbook, or other functional and useful document "free" in the sense'),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
+    ("mpl", "If a copy of the MPL was not distributed with this file, You can"),
+    ("mpl", "The contents of this file are subject to the Mozilla Public License"),
+    ("cddl", "The contents of this file are subject to the terms of the Common Development and Distribution License"),
+    ("epl", "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE"),
+    ("zlib", "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software."),
+    ("zlib", "The origin of this software must not be misrepresented; you must not claim that you wrote the original software."),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either"),
+    ("wtfpl", "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed."),
+    ("ofl", "The goals of the Open Font License (OFL) are to stimulate worldwide development of collaborative font projects"),
+    ("cc0", "The person who associated a work with this deed has dedicated the work to the public domain by"),
+    ("cc-by", DEED), ("cc-by-nc", DEED + NC), ("cc-by-sa", DEED + SA), ("cc-by-nd", DEED + ND), ("cc-by-nc-sa", DEED + NC + SA), ("cc-by-nc-nd", DEED + NC + ND),
+]
+FOUND_AT = [
+    ("cc-by", "https://creativecommons.org/licenses/by/4.0/"), ("cc-by-nc", "creativecommons.org/licenses/by-nc/2.5"), ("cc-by-sa", "creativecommons.org/licenses/by-sa/4.0"),
+    ("cc-by-nd", "creativecommons.org/licenses/by-nd/3.0"), ("cc-by-nc-sa", "creativecommons.org/licenses/by-nc-sa/4.0"), ("cc-by-nc-nd", "creativecommons.org/licenses/by-nc-nd/4.0"),
+    ("cc0", "creativecommons.org/publicdomain/zero/1.0/"), ("public-domain", "creativecommons.org/publicdomain/mark/1.0/"), ("apache", "http://www.apache.org/licenses/"),
+    ("gpl", "https://www.gnu.org/licenses/gpl-3.0.html"), ("gpl", "www.gnu.org/licenses/old-licenses/gpl-2.0.txt"), ("lgpl", "gnu.org/licenses/lgpl.html"), ("agpl", "gnu.org/licenses/agpl-3.0"),
+    ("gfdl", "gnu.org/licenses/fdl-1.3"), ("mpl", "https://mozilla.org/MPL/2.0/"), ("epl", "http://www.eclipse.org/legal/epl-v10.html"), ("epl", "eclipse.org/legal/epl-2.0"),
+    ("boost", "http://www.boost.org/LICENSE_1_0.txt"), ("unlicense", "https://unlicense.org"), ("wtfpl", "http://www.wtfpl.net/"), ("zlib", "zlib.net/zlib_license.html"),
+    ("isc", "https://www.isc.org/licenses/"), ("ofl", "http://scripts.sil.org/OFL"), ("ofl", "https://openfontlicense.org"), ("php", "http://www.php.net/license/3_01.txt"),
+    ("openssl", "openssl.org/source/license.html"), ("python", "https://docs.python.org/3/license.html"), ("artistic", "dev.perl.org/licenses/artistic.html"), ("odbl", "opendatacommons.org/licenses/odbl/1.0/"),
+    ("mit", "https://opensource.org/licenses/MIT"), ("mit", "http://www.opensource.org/licenses/mit-license.php"), ("bsd", "opensource.org/licenses/BSD-3-Clause"), ("isc", "opensource.org/license/isc"),
+    ("apache", "spdx.org/licenses/Apache-2.0.html"), ("mpl", "choosealicense.com/licenses/mpl-2.0/"), ("artistic", "opensource.org/licenses/Artistic-2.0"), ("zlib", "opensource.org/licenses/Zlib"),
+]
+
+
+def test_license_bodies_and_addresses(spark):
+    texts = VERBATIM + FOUND_AT
+    assert {x for x, _ in VERBATIM} == {b[0] for b in licenses.BODIES} and {x for x, _ in FOUND_AT} >= {a[0] for a in licenses.ADDRESSES}
+    for found, (label, text) in zip(labels_of(spark, [t for _, t in texts]), texts, strict=True):
+        assert set(found) == {label}, (found, label, text)
+    # Every one of these rules is needed for some text.
+    plain_texts = [f" {' '.join(re.findall(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+', plain.folded(t)))} " for _, t in texts]
+    for _, _, pattern in licenses.BODIES + licenses.ADDRESSES:
+        assert any(re.search(f"(?<= )(?:{pattern})(?= )", t) for t in plain_texts), pattern
+    assert labels_of(spark, ["permission to use the boat is hereby granted", "neither the name nor the use in source and binary forms", "gnu.org is a site, so are mozilla.org and apache.org"]) == [[], [], ["apache"]]
+
+
 def sample(nodes, draw):
     """A text that a parsed expression matches."""
     out = ""
@@ -316,6 +388,8 @@ def sample(nodes, draw):
             out += chr(value if str(kind) == "LITERAL" else draw.randint(*value))
         elif name == "NOT_LITERAL":
             out += "w"
+        elif name == "ASSERT_NOT":
+            out += ""
         elif name == "BRANCH":
             out += sample(draw.choice(value[1]), draw)
         elif name == "SUBPATTERN":

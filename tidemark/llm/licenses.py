@@ -1,7 +1,8 @@
 """License scans: ordered signature rules behind a keyword prefilter, with DataFrame functions only.
 
 The text is reduced to its words in lower case, joined by one space, so a rule is a regular expression over words. Rules come from a table of
-license families and of the ways in which a license is named, the most specific first. A text without any of the rules' keywords is not
+license families and of the ways in which a license is named, the most specific first, from characteristic sentences of the licenses' own
+texts and notices, and from the addresses at which licenses are found. A text without any of the rules' keywords is not
 looked at; of the rules, only those whose keyword the text has are matched. Where detections overlap, the one inside another is
 suppressed, and of two that cross the one of lower priority.
 """
@@ -61,6 +62,77 @@ FAMILIES = (
 )
 
 
+# Characteristic sentences: label, keyword that every match begins with or holds, expression over words. The bodies of BSD variants have one label, as their names do.
+BODIES = (
+    ("mit", "permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("boost", "permission is hereby granted", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("isc", "permission to use copy modify", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice"),
+    ("0bsd", "permission to use copy modify", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted(?! provided)"),
+    ("hpnd", "permission to use copy modify", "permission to use copy modify and(?: or)? distribute this software and its documentation for any purpose"),
+    ("bsd", "redistribution and use in source", "redistribution and use in source and binary forms with or without modification are permitted(?: provided that the following conditions are met)?"),
+    ("bsd", "neither the name", "neither the names? of (?:[^ ]+ ){1,20}?may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd", "all advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("apache", "you may obtain a copy of the license at", "you may obtain a copy of the license at (?:https? )?(?:www )?apache org licenses(?: license 2 0)?"),
+    ("apache", "each contributor hereby grants", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable (?:copyright license to reproduce prepare derivative works of|except as stated in this section patent license)"),
+    ("apache", "unless required by applicable law", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("gpl", "this program is free software", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "you should have received a copy", "you should have received a copy of the gnu general public license(?: along with (?:this program|[^ ]+))?"),
+    ("gpl", "by contrast the gnu general public", "by contrast the gnu general public license is intended to guarantee your freedom to share and change"),
+    ("gpl", "is a free copyleft license", "(?:the )?gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("lgpl", "is free software you can redistribute", "(?:this library|this program|[^ ]+) is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license"),
+    ("lgpl", "you should have received a copy", "you should have received a copy of the gnu (?:lesser|library) general public license(?: along with (?:this library|this program|[^ ]+))?"),
+    ("lgpl", "applies to some specially designated", "this license the (?:lesser|library) general public license applies to some specially designated"),
+    ("lgpl", "incorporates the terms and conditions", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3"),
+    ("agpl", "is free software you can redistribute", "(?:this program|[^ ]+) is free software you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("agpl", "you should have received a copy", "you should have received a copy of the gnu affero general public license(?: along with (?:this program|[^ ]+))?"),
+    ("agpl", "is a free copyleft license", "(?:the )?gnu affero general public license is a free copyleft license for software and other kinds of works"),
+    ("gfdl", "permission is granted to copy distribute", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("gfdl", "the purpose of this license", "the purpose of this license is to make a manual textbook or other functional and useful document free"),
+    ("mpl", "this source code form is subject", "this source code form is subject to the terms of the mozilla public license"),
+    ("mpl", "copy of the mpl was not distributed", "if a copy of the mpl was not distributed with this file"),
+    ("mpl", "the contents of this file are subject", "the contents of this file are subject to the mozilla public license"),
+    ("cddl", "the contents of this file are subject", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("epl", "the accompanying program is provided", "the accompanying program is provided under the terms of this eclipse public license"),
+    ("zlib", "altered source versions must be", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("zlib", "the origin of this software", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("unlicense", "this is free and unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "anyone is free to copy modify", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", "everyone is permitted to copy", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed"),
+    ("ofl", "the goals of the open font", "the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects"),
+    ("cc0", "the person who associated a work", "the person who associated a work with this deed has dedicated the work to the public domain"),
+)
+# The deeds begin with the attribution; what else they ask for follows, with a heading between.
+_CREDIT, _HEADING = "you must give appropriate credit provide a link to the licen[cs]e and indicate if changes were made", "(?: [^ ]+){0,40}?"
+_NC = f"{_HEADING} you may not use (?:the material|this work) for commercial purposes"
+_SA = f"{_HEADING} if you remix transform or build upon the material you must distribute your contributions under the same licen[cs]e as the original"
+_ND = f"{_HEADING} if you remix transform or build upon the material you may not distribute the modified material"
+BODIES += tuple((f"cc-by{name}", "you must give appropriate credit", _CREDIT + rest) for name, rest in (("", ""), ("-nc", _NC), ("-sa", _SA), ("-nd", _ND), ("-nc-sa", _NC + _SA), ("-nc-nd", _NC + _ND)))
+
+# Addresses, as words: label, keyword, expression. Besides, lists of licenses name each family by its identifier.
+ADDRESSES = (
+    *[(f"cc-{kind.replace(' ', '-')}", "creativecommons org licen", f"creativecommons org licen[cs]es? {kind}(?: [1-4] [05])?") for kind in ("by", "by nc", "by sa", "by nd", "by nc sa", "by nc nd")],
+    ("cc0", "creativecommons org publicdomain", "creativecommons org publicdomain zero(?: 1 0)?"),
+    ("public-domain", "creativecommons org publicdomain", "creativecommons org publicdomain mark(?: 1 0)?"),
+    ("apache", "apache org licenses", "apache org licenses(?: license(?: [12] [01])?)?"),
+    *[(label, "gnu org", f"gnu org (?:licenses|copyleft) (?:old licenses )?{short}(?: v?[1-3](?: [0-3])?)?") for label, short in (("gpl", "gpl"), ("lgpl", "lgpl"), ("agpl", "agpl"), ("gfdl", "fdl"))],
+    ("mpl", "mozilla org", "mozilla org (?:en us )?(?:foundation licensing )?mpl(?: [12] [01])?"),
+    ("epl", "eclipse org", "eclipse org (?:org )?(?:legal )?(?:documents )?epl(?: ?v?[12] ?0)?"),
+    ("boost", "boost org", "boost org (?:users )?license(?: 1 0)?"),
+    ("unlicense", "unlicense org", "unlicense org"),
+    ("wtfpl", "wtfpl net", "wtfpl net"),
+    ("zlib", "zlib net", "zlib net zlib license"),
+    ("isc", "isc org", "isc org (?:downloads )?(?:software support policy )?(?:isc )?licen[cs]es?"),
+    ("ofl", "sil org", "(?:scripts|openfontlicense) sil org ofl"),
+    ("ofl", "openfontlicense org", "openfontlicense org"),
+    ("php", "php net", "php net license(?: 3 01| 3 0)?"),
+    ("openssl", "openssl org", "openssl org source license"),
+    ("python", "python org", "python org (?:[a-z0-9]+ ){0,3}license"),
+    ("artistic", "perl org", "perl org licenses artistic"),
+    ("odbl", "opendatacommons org", "opendatacommons org licenses odbl(?: 1 0| summary)?"),
+)
+LISTS = ("opensource org licens", "spdx org licens", "choosealicense com licens")
+
+
 @dataclass(frozen=True)
 class Signature:
     priority: int  # lower wins
@@ -93,12 +165,17 @@ def signatures() -> list[Signature]:
             (6, name, 0.75),
         ]
         out += [Signature(p, f.label, f.keywords, f"(?<= )(?:{pattern})(?= )", c) for p, pattern, c in ways]
+        version = f"(?: v?(?:{'|'.join(sorted(f.versions, key=len, reverse=True))})(?: 0)?)?" if f.versions else ""
+        clause = "(?: (?:clause|license))?"  # bsd-3-clause, mit-license.php
+        out.append(Signature(2, f.label, LISTS, f"(?<= )(?:(?:opensource org|spdx org|choosealicense com) licenses? {f.short}{version}{clause})(?= )", 0.95))
+    out += [Signature(1, label, (keyword,), f"(?<= )(?:{pattern})(?= )", 1.0) for label, keyword, pattern in BODIES]
+    out += [Signature(2, label, (keyword,), f"(?<= )(?:{pattern})(?= )", 0.95) for label, keyword, pattern in ADDRESSES]
     return out
 
 
 def gate() -> str:
     """An expression that every text matches in which some rule or base phrase does: any keyword, or base phrase, at the beginning of a word."""
-    return f" (?:{'|'.join(sorted({k for f in FAMILIES for k in f.keywords} | {phrase for phrase, _ in BASE}))})"
+    return f" (?:{'|'.join(sorted({k for s in signatures() for k in s.keywords} | {phrase for phrase, _ in BASE}))})"
 
 
 def words_of(text: Column) -> Column:
