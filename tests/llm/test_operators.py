@@ -376,6 +376,29 @@ def test_license_bodies_and_addresses(spark):
     assert labels_of(spark, ["permission to use the boat is hereby granted", "neither the name nor the use in source and binary forms", "gnu.org is a site, so are mozilla.org and apache.org"]) == [[], [], ["apache"]]
 
 
+def resolved(found):
+    """Plain version of the resolution of (start, end, priority) detections."""
+    kept = []
+    for a, b, p in sorted(found, key=lambda d: (d[2], d[0], -d[1])):
+        if not any(a < y and x < b and not (a <= x and y <= b and (a, b) != (x, y)) for x, y, _ in kept):
+            kept.append((a, b, p))
+    return sorted(d for d in kept if not any((x, y) != d[:2] and x <= d[0] and d[1] <= y for x, y, _ in kept))
+
+
+def test_license_priority(spark):
+    draw = random.Random(9)
+    given = [[(0, 5, 3), (4, 9, 1)], [(0, 5, 1), (4, 9, 3)], [(0, 9, 6), (2, 4, 1)], [(0, 10, 6), (1, 3, 6), (8, 15, 1)], [(0, 5, 2), (4, 9, 1), (8, 12, 2)], []]
+    expected = [[(4, 9, 1)], [(0, 5, 1)], [(0, 9, 6)], [(1, 3, 6), (8, 15, 1)], [(4, 9, 1)], []]
+    for _ in range(300):
+        places = {(a, a + draw.randrange(1, 8)) for a in (draw.randrange(40) for _ in range(draw.randrange(15)))}
+        given.append([(a, b, draw.randrange(4)) for a, b in places])
+    rows = [(i, [(a, -b, p, "x", 1.0) for a, b, p in found]) for i, found in enumerate(given)]
+    made = spark.createDataFrame(rows, f"doc_id int, found array<{licenses._KIND}>").select("doc_id", licenses._resolved(F.col("found")).alias("left")).orderBy("doc_id").collect()
+    left = [[(d["start"], -d["back"], d["priority"]) for d in r["left"]] for r in made]
+    assert left == [resolved(found) for found in given]
+    assert left[: len(expected)] == expected
+
+
 def sample(nodes, draw):
     """A text that a parsed expression matches."""
     out = ""

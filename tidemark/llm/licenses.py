@@ -4,7 +4,7 @@ The text is reduced to its words in lower case, joined by one space, so a rule i
 license families and of the ways in which a license is named, the most specific first, from characteristic sentences of the licenses' own
 texts and notices, and from the addresses at which licenses are found. A text without any of the rules' keywords is not
 looked at; of the rules, only those whose keyword the text has are matched. Where detections overlap, the one inside another is
-suppressed, and of two that cross the one of lower priority.
+suppressed, and of two that cross the one of lower priority, whichever begins first; one that only a suppressed one held is left.
 """
 
 from __future__ import annotations
@@ -214,22 +214,44 @@ def _rules() -> Column:
     return F.from_json(F.lit(json.dumps(listed)), "array<struct<keywords:array<string>,rules:array<struct<priority:int,label:string,pattern:string,confidence:double>>>>")
 
 
+_KIND = "struct<start:bigint,back:bigint,priority:int,label:string,confidence:double>"
+
+
+def _settled(run: Column) -> Column:
+    """What is left of detections, by start: by priority, each that neither crosses one already left nor lies in one; then none that lies in another."""
+    ranked = F.array_sort(F.transform(run, lambda d: F.struct(d["priority"].alias("rank"), d.alias("d"))))
+
+    def step(kept: Column, r: Column) -> Column:
+        d = r["d"]
+        # They overlap, and the one already left does not lie in the new one.
+        beaten = F.exists(kept, lambda k: (d["start"] < -k["back"]) & (k["start"] < -d["back"]) & ~((d["start"] <= k["start"]) & (d["back"] <= k["back"]) & ((d["start"] < k["start"]) | (d["back"] < k["back"]))))
+        return F.when(beaten, kept).otherwise(F.concat(kept, F.array(d)))
+
+    kept = F.aggregate(ranked, F.expr(f"cast(array() as array<{_KIND}>)"), step)
+    # By start, longest first, so that what holds another one comes before it; nothing crosses.
+    nothing = F.struct(F.lit(-1).cast("bigint").alias("reach"), F.expr(f"cast(array() as array<{_KIND}>)").alias("outer"))
+    return F.aggregate(
+        F.array_sort(kept),
+        nothing,
+        lambda so_far, d: F.when(d["start"] < so_far["reach"], so_far).otherwise(F.struct((-d["back"]).alias("reach"), F.concat(so_far["outer"], F.array(d)).alias("outer"))),
+        lambda done: done["outer"],
+    )
+
+
 def _resolved(found: Column) -> Column:
-    """Detections by start, longest first, without those inside an earlier one or crossing one of higher priority."""
-    kind = "struct<start:bigint,back:bigint,priority:int,label:string,confidence:double>"
-    nothing = F.struct(F.lit(-1).cast("bigint").alias("reach"), F.lit(99).alias("priority"), F.expr(f"cast(array() as array<{kind}>)").alias("kept"))
+    """Detections by start, without those inside another one or crossing one of higher priority; runs of overlapping ones are settled one by one."""
+    none = F.expr(f"cast(array() as array<{_KIND}>)")
+    nothing = F.struct(F.lit(-1).cast("bigint").alias("reach"), none.alias("run"), none.alias("kept"))
 
     def step(so_far: Column, d: Column) -> Column:
-        inside = -d["back"] <= so_far["reach"]
-        beaten = (d["start"] < so_far["reach"]) & (d["priority"] > so_far["priority"])
-        kept = ~(inside | beaten)
+        fresh = d["start"] >= so_far["reach"]
         return F.struct(
-            F.when(kept, -d["back"]).otherwise(so_far["reach"]).alias("reach"),
-            F.when(kept, d["priority"]).otherwise(so_far["priority"]).alias("priority"),
-            F.when(kept, F.concat(so_far["kept"], F.array(d))).otherwise(so_far["kept"]).alias("kept"),
+            F.greatest(so_far["reach"], -d["back"]).alias("reach"),
+            F.when(fresh, F.array(d)).otherwise(F.concat(so_far["run"], F.array(d))).alias("run"),
+            F.when(fresh, F.concat(so_far["kept"], _settled(so_far["run"]))).otherwise(so_far["kept"]).alias("kept"),
         )
 
-    return F.aggregate(F.array_sort(found), nothing, step, lambda done: done["kept"])
+    return F.aggregate(F.array_sort(found), nothing, step, lambda done: F.concat(done["kept"], _settled(done["run"])))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
