@@ -111,6 +111,20 @@ def test_private_keys(spark):
     assert clean_texts(spark, [long, long + "\n-----END RSA PRIVATE KEY-----"]) == ["[SECRET]"] * 2
 
 
+def test_secrets_beside_the_base(spark):
+    value = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzzzzzzzzzzz"
+    names = ("aws_secret_access_key = ", "AWS_SECRET_ACCESS_KEY=", "SECRET_KEY = ", "secretKey: ", '"secretAccessKey": "', "secretkey=", "token-value: ", "password_1 => ", "api_key_id := ", "client.secret.key\t=\t")
+    given = [f"before {n}{value} behind" for n in names]
+    given += [f"before ASIA{'Q' * 16} behind", "before postgres://me:pa55:w@rd@host.example/db behind", "see redis://:hunter22@10.0.0.1:6379"]
+    for text, out in zip(given, clean_texts(spark, given), strict=True):
+        assert "[SECRET]" in out and value not in out and not re.search("ASIA|pa55|w@rd|hunter22", out), (text, out)
+        assert text.startswith("see") or out.startswith("before") and out.endswith("behind")
+    others = ["the secretary: Elizabeth", "tokens: abcdefghij", "EURASIAABCDEFGHIJKLMNOP", "https://example.org:8080/a/b@c", "mail me: x@example.org", "ftp://me@example.org/a:b@c", "secret_key: short"]
+    assert clean_texts(spark, others) == others
+    found = secrets.find_secrets(spark.createDataFrame(list(enumerate(given)), "doc_id int, text string"))
+    assert not {s["kind"] for r in found.collect() for s in r["secrets"]} & set(queries.BASE_KINDS)
+
+
 def test_trigram_queries():
     assert trigrams.query_of("[0-9a-f]+") == ()
     assert trigrams.query_of("AKIA[A-Z]+") == (frozenset({"akia"}),)

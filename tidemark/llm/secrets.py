@@ -49,6 +49,10 @@ RULES = (
     Rule("signed_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("bearer", r"(?i)bearer\x20+[A-Za-z0-9._~+/-]{16,}=*"),
     Rule("storage_key", r"AccountKey=[A-Za-z0-9+/]{40,}=*"),
+    # Keywords of assign with something behind them: secret_access_key, SECRET_KEY, secretKey, token-value.
+    Rule("assign_more", r"""((?i:password|passwd|secret|token|api_?key)(?:[_.-][A-Za-z0-9]{1,30}|[A-Z][A-Za-z0-9]{0,30}|(?i:key))(?:[_.-][A-Za-z0-9]{1,30}){0,4}["']?[\x20\t]*(?:[:=]=?|=>)[\x20\t]*["']?)([A-Za-z0-9+/_.=-]+)""", 8, 2),
+    Rule("temporary_access", r"(?<![A-Za-z0-9])ASIA[A-Z0-9]+", 16),
+    Rule("address", r"""://[^\s/:@"'<>]*:[^\s/"'<>]+@(?=[A-Za-z0-9\[])"""),
 )
 SPAN = "struct<kind:string,start:bigint,end:bigint>"
 
