@@ -159,6 +159,23 @@ def test_quality(docs, odd, empty, rows):
     assert "Python" not in quality.judge(docs)._jdf.queryExecution().toString()
 
 
+def test_quality_of_other_languages(spark):
+    """Texts in languages without a stop word in the first lists are not rejected for it; texts without a sentence still are."""
+    clean = [
+        "Старый рыбак каждое утро выходил из дома и шёл вдоль реки к маленькой лодке, чтобы проверить сети.",
+        "Stary rybak wychodził rano z domu, ale nie zawsze było już widno, i szedł przez las do łodzi, która stała przy brzegu.",
+        "Vanha kalastaja lähti aamulla kotoa, mutta hän ei ollut vielä syönyt, kun vene jo odotti rannalla ja aurinko nousi.",
+        "Ο γέρος ψαράς έβγαινε κάθε πρωί από το σπίτι και πήγαινε κοντά στο ποτάμι για να δει τα δίχτυα του.",
+        "Az öreg halász reggel elindult otthonról, és már nem volt sötét, hogy a csónak csak egy folt legyen még.",
+    ]
+    junk = ["buy cheap watches online store discount shipping offer deal best price now click here", "lorem qwerty zxcvb asdfg hjkl poiuy trewq mnbvc lkjhg fdsa"]
+    rows = [(i, " ".join(f"{t} {k}." for k, t in enumerate([text] * 3)) + f" {' '.join(t + str(k) for k, t in enumerate(text.split() * 4))}") for i, text in enumerate([*clean, *junk])]
+    judged = quality.judge(spark.createDataFrame(rows, "doc_id int, text string"))
+    assert "other_language" not in judged.columns
+    found = by_id(judged, "ok_stop_words")
+    assert [found[i][0] for i in range(len(rows))] == [True] * len(clean) + [False] * len(junk)
+
+
 def test_language(spark, empty):
     alphabet = {"aa": "the of and with thing", "bb": "der und die nicht mit", "cc": "que los para una con", "dd": "ção não uma você são"}
     rows = [(i, " ".join(random.Random(i).choices(alphabet[x].split(), k=20)), x) for i, x in enumerate([*alphabet] * 40)]

@@ -16,6 +16,32 @@ STOP_WORDS = (
     "le la les de des du et en un une que dans pour qui sur est par plus au avec ne se pas",
     "el la los las de que y en un una por con para del se al lo como más su es no",
 )
+# The same for further languages, for texts that hold too few of the above: without words of one letter, and not counted in n_stop_words.
+OTHER_STOP_WORDS = (
+    "nie na się do to że jest jak za od po ale tak przez dla przy być który ich już tylko był była oraz",  # Polish
+    "ja on ei se että hän oli mutta ovat ole kun niin kuin myös jos sen tai joka mitä vain voi",  # Finnish
+    "di che il non per una sono con del della le si dei da alla gli anche più nel ma come",  # Italian
+    "de que não para uma com os no se na por mais as dos como mas foi ao ele das tem à seu",  # Portuguese
+    "de het een van en in is dat op te zijn met voor niet aan er om ook als door maar bij",  # Dutch
+    "och att det som en på är av för med den till inte ett om har de jag men var sig",  # Swedish
+    "og at det som en på er af for med den til ikke et om har de jeg men var sig av å",  # Danish, Norwegian
+    "na se že je ve za do to jako by ale si po jsem který jsou od pro co tak aby sa nie ako",  # Czech, Slovak
+    "az egy és hogy nem is ez volt meg csak de ha mint már kell van el még azt",  # Hungarian
+    "și în de la cu nu că pe din este un mai care au fost pentru prin sau ca",  # Romanian
+    "bir ve bu için da de ile çok gibi daha ne kadar olarak olan değil ama var sonra",  # Turkish
+    "je da se na za su od što koji ali kao ne bi iz nije to sam ili biti bio",  # Croatian, Serbian, Bosnian
+    "in je da se na za so ki pa ne bi tudi ali kot od po iz ni še biti",  # Slovenian
+    "ir kad tai su yra iš kaip bet ne buvo jis į apie per savo tik dar nuo",  # Lithuanian
+    "un ir ka no uz par ar nav bet kas tas lai bija pie viņš jau arī vai",  # Latvian
+    "ja on ei ta et see oli ka kui oma mis aga nii ning ma seda siis või kes",  # Estonian
+    "yang dan di ini itu dengan untuk tidak dari dalam akan pada ke karena ada juga oleh saya",  # Indonesian, Malay
+    "và của là có được cho không một những người trong các này đã với để khi như từ",  # Vietnamese
+    "ang ng sa na mga at ay hindi para ito kung ko siya niya mo nang ni",  # Tagalog
+    "na ya wa kwa ni katika la za kuwa hii hiyo au yake lakini kama cha",  # Swahili
+    "dhe në të një për me nga që është si nuk ka por",  # Albanian
+    "og að það er sem ekki var til um við en með hann af því fyrir",  # Icelandic
+    "els les amb per que una no és del dels més com però aquest són",  # Catalan
+)
 
 
 @dataclass(frozen=True)
@@ -29,24 +55,44 @@ class Threshold:
     most: float = float("inf")
 
 
+FEW_STOP_WORDS = 0.005
 # Lenient on purpose: a rule has to leave clean texts alone.
 THRESHOLDS = (
     Threshold("word_length", "word_chars", "n_words", 1.5, 20.0),
     Threshold("symbols", "n_symbols", "n_words", most=0.7),
     Threshold("letters", "n_letters", "word_chars", 0.5),
-    Threshold("stop_words", "n_stop_words", "n_words", 0.005),
+    Threshold("stop_words", "n_stop_words", "n_words", FEW_STOP_WORDS),
     Threshold("dup_lines", "n_dup_lines", "n_lines", most=0.5),
     Threshold("bullet_lines", "n_bullet_lines", "n_lines", most=0.95),
     Threshold("ellipsis_lines", "n_ellipsis_lines", "n_lines", most=0.6),
 )
 
 
+def _listed(lists: tuple[str, ...]) -> str:
+    """An expression for a word of the lists, between what may stand beside it."""
+    return r"(?iu)(?<![^\x20\x09-\x0D])(?:" + "|".join(sorted({w for words in lists for w in words.split()})) + r")(?![\p{L}\p{N}])"
+
+
+def _other_language(text: str, n_words: Column) -> Column:
+    """Whether a text is in a language of which STOP_WORDS can tell nothing: no more than half of its letters are Latin ones, or 3 per cent of its
+    words are stop words of a further language. Latin texts in a language of neither list are judged like those of STOP_WORDS."""
+    letters, latin = F.regexp_count(text, F.lit(r"\p{L}")), F.regexp_count(text, F.lit(r"\p{IsLatin}"))
+    # Only texts short of the stop words above are looked at again.
+    few = F.col("n_stop_words") < n_words * FEW_STOP_WORDS
+    further = [F.regexp_count(text, F.lit(_listed((words,)))) >= n_words * 0.03 for words in OTHER_STOP_WORDS]
+    found = latin * 2 <= letters
+    for one in further:
+        found = found | one
+    return F.when(few & (n_words > 0), found).otherwise(F.lit(False))
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """The row as one struct column ``row``, and the counts that the rules compare."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     cut = rows.withColumns(
         {
             "words": F.regexp_extract_all("text", F.lit(WORD), F.lit(0)),
+            "n_stop_words": F.regexp_count("text", F.lit(_listed(STOP_WORDS))).cast("bigint"),
             "lines": F.filter(F.split("text", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]")),
         }
     )
@@ -63,7 +109,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.char_length(F.regexp_replace("text", f"[^{SYMBOLS}]+", "")).cast("bigint").alias("n_symbols"),
         F.char_length(F.regexp_replace("text", r"[^\p{L}]+", "")).cast("bigint").alias("n_letters"),
-        F.regexp_count("text", F.lit(r"(?iu)(?<![^\x20\x09-\x0D])(?:" + "|".join(sorted({w for words in STOP_WORDS for w in words.split()})) + r")(?![\p{L}\p{N}])")).cast("bigint").alias("n_stop_words"),
+        "n_stop_words",
+        _other_language("text", n).alias("other_language"),
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.size(F.filter("lines", lambda line: line.rlike(r"^[\x20\t]*[-*•]"))).cast("bigint").alias("n_bullet_lines"),
@@ -93,6 +140,8 @@ def verdict(thresholds: tuple[Threshold, ...] = THRESHOLDS) -> dict[str, Column]
     for t in thresholds:
         ratio = F.col(t.count) / F.col(t.of)
         inside = ratio >= t.least if t.most == float("inf") else (ratio >= t.least) & (ratio <= t.most)
+        if t.name == "stop_words":
+            inside = inside | F.col("other_language")
         out[f"ok_{t.name}"] = F.when(F.col(t.of) > 0, inside).otherwise(True)
     return out
 
