@@ -36,6 +36,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told: those with a letter in their text."""
     configure(spark)
     model = language.learn(docs, ~language.held_out(F.col("doc_id")))
+    if model is None:  # no row has a language to learn from
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     found = language.identify(_packed(docs, "text"), model)
     return found.where(F.col("lang_pred") != language.UNDETERMINED).select("row.*")
 

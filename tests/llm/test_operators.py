@@ -192,6 +192,12 @@ def test_language(spark, empty):
         assert code.shape[0] == n and len({tuple(c) for c in code}) == n
 
 
+def test_language_stage_without_languages(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, "12 !!", None), (3, None, None), (4, "текст", None)], "doc_id bigint, text string, lang string")
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {1, 4}
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
 def test_jaccard(docs, rows, size, percent):
     found = by_id(jaccard.similar_groups(docs, size=size, percent=percent), "n_shingles", "component_id")
