@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -112,3 +113,43 @@ def licenses(text):
     found = [(i, label) for phrase, label in PHRASES.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
     starts = [i for i, _ in found]
     return len(words), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in found}))
+
+
+def merkle(docs):
+    """``docs`` of (doc_id, text, lang, source, n_chars): sorted rows of the manifest's contract, and the root."""
+
+    def leaf(row, more=0):
+        key, text, lang, source, n = row
+        fields = [key, source, lang, None if n is None else n + more, text]
+        return sha("".join("-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields))
+
+    def tree(level):
+        """Root, and for each leaf its siblings as (left, right), upwards."""
+        members, paths = [[i] for i in range(len(level))], [[] for _ in level]
+        while len(level) > 1:
+            runs = [(level[i : i + 2], members[i : i + 2]) for i in range(0, len(level), 2)]
+            for run, below in runs:
+                for k, held in enumerate(below):
+                    for i in held:
+                        paths[i].append(("".join(run[:k]), "".join(run[k + 1 :])))
+            level, members = [sha("".join(run)) for run, _ in runs], [sum(below, []) for _, below in runs]
+        return (level or [None])[0], paths
+
+    groups = defaultdict(list)
+    for row in docs:
+        groups[row[2]].append(row)
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    grown = {}
+    for g in order:
+        groups[g].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        grown[g] = tree([leaf(r) for r in groups[g]])
+    root, tops = tree([grown[g][0] for g in order])
+    out = []
+    for g, top in zip(order, tops, strict=True):
+        subroot, paths = grown[g]
+        for row, path in zip(groups[g], paths, strict=True):
+            node = leaf(row, int(row[0] is not None and zlib.crc32(str(row[0]).encode()) % 7 == 0))
+            for left, right in path + top:
+                node = sha(left + node + right)
+            out.append((row[0], leaf(row), subroot, root, sha("".join(a + b for a, b in path + top)), node, node == root))
+    return sorted(out, key=str)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, caps, jaccard, language, licenses, mixing, quality, secrets, sharding, substrings
+from tidemark.llm import bpe, caps, jaccard, language, licenses, merkle, mixing, quality, secrets, sharding, substrings
 from tidemark.session import configure
 
 
@@ -155,6 +155,68 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.greatest(F.coalesce(F.array_max(F.transform("licenses", lambda p: p["confidence"])), F.lit(0.0)), F.when(F.size("base") > 0, 0.75).otherwise(0.0)).alias("score"),
     )
 
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir).select(*LEAF_FIELDS)
+    # The tampered leaf, where there is one.
+    more = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in LEAF_FIELDS]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, merkle.leaf_digest(more))
+    made = merkle.build(docs, LEAF_FIELDS, "lang", "doc_id", {"tampered": tampered})
+    proofs = merkle.prove(made, made.leaves.select("tree", "rank", "doc_id", "leaf", "tampered"))
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    told = proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _sql_field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || {value} END"
+
+
+# CRC-32 of the decimal key: each byte (>= 0) is XORed in, each -1 shifts by one bit.
+_CRC_STEPS = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_concat([ord(c)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))"
+_CRC = f"""xor(list_reduce(list_concat([4294967295::BIGINT], {_CRC_STEPS}), lambda c, x:
+  CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END), 4294967295::BIGINT)"""
+OP12_SQL = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT doc_id, lang, sha256({" || ".join(_sql_field(c) for c in LEAF_FIELDS)}) AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_CRC} % 7 = 0 THEN sha256({" || ".join(_sql_field("(n_chars + 1)" if c == "n_chars" else c) for c in LEAF_FIELDS)}) END AS tampered
+  FROM documents),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+grown AS (
+  SELECT lang, 0 AS lvl, r, n, leaf AS d FROM placed
+  UNION ALL
+  SELECT lang, lvl + 1, r // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY r)) FROM grown WHERE n > 1 GROUP BY lang, lvl, r // 2, n),
+nodes AS MATERIALIZED (SELECT * FROM grown),
+subroots AS MATERIALIZED (
+  SELECT lang, lvl AS height, d, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS r, count(*) OVER () AS n FROM nodes WHERE n = 1),
+crown AS (
+  SELECT 0 AS lvl, r, n, d FROM subroots
+  UNION ALL
+  SELECT lvl + 1, r // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY r)) FROM crown WHERE n > 1 GROUP BY lvl, r // 2, n),
+tops AS MATERIALIZED (SELECT * FROM crown),
+root AS (SELECT d, lvl AS height FROM tops WHERE n = 1),
+requests AS MATERIALIZED (
+  SELECT p.*, row_number() OVER () AS request, s.height, s.r AS tree_rank, s.d AS subroot, root.d AS root, s.height + root.height AS steps
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang, root),
+siblings AS MATERIALIZED (
+  SELECT q.request, n.lvl AS step, n.d, n.r < q.r >> n.lvl AS before
+  FROM requests q JOIN nodes n ON q.lang IS NOT DISTINCT FROM n.lang AND n.r = xor(q.r >> n.lvl, 1)
+  UNION ALL
+  SELECT q.request, q.height + t.lvl, t.d, t.r < q.tree_rank >> t.lvl
+  FROM requests q JOIN tops t ON t.r = xor(q.tree_rank >> t.lvl, 1)),
+proofs AS (SELECT request, sha256(string_agg(d, '' ORDER BY step)) AS proof_sha256 FROM siblings GROUP BY request),
+folded AS (
+  SELECT request, steps, 0 AS step, coalesce(tampered, leaf) AS d FROM requests
+  UNION ALL
+  SELECT f.request, f.steps, f.step + 1, sha256(CASE WHEN s.before THEN s.d ELSE '' END || f.d || CASE WHEN s.before THEN '' ELSE coalesce(s.d, '') END)
+  FROM folded f LEFT JOIN siblings s ON f.request = s.request AND f.step = s.step WHERE f.step < f.steps)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, f.d AS folded_root, f.d = root AS verified
+FROM requests q JOIN folded f ON q.request = f.request AND f.step = q.steps LEFT JOIN proofs p ON q.request = p.request
+"""
+
 
 CATALOG = {
     "op1_secrets": (op1_secrets, None),
@@ -167,4 +229,5 @@ CATALOG = {
     "op8_sharding": (op8_sharding, OP8_SQL),
     "op9_substrings": (op9_substrings, None),
     "op10_licenses": (op10_licenses, None),
+    "op12_manifest": (op12_manifest, OP12_SQL),
 }
