@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, caps, jaccard, language, licenses, merkle, mixing, quality, secrets, sharding, substrings
-from tidemark.session import configure
+from tidemark.llm import alignment, bpe, caps, classifier, jaccard, language, licenses, merkle, mixing, quality, secrets, sharding, substrings
+from tidemark.session import configure, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -155,6 +155,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.greatest(F.coalesce(F.array_max(F.transform("licenses", lambda p: p["confidence"])), F.lit(0.0)), F.when(F.size("base") > 0, 0.75).otherwise(0.0)).alias("score"),
     )
 
+def op11_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = written(classifier.statistics(_table(spark, sf_dir).select("doc_id", "text")), "statistics")
+    out = classifier.held_out(F.col("doc_id"))
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = classifier.learn(stats.where(~out).join(labels, "doc_id"))
+    return classifier.score(stats, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -218,6 +226,14 @@ FROM requests q JOIN folded f ON q.request = f.request AND f.step = q.steps LEFT
 """
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir).select("doc_id", "text")
+    found = alignment.alignments(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    scored = alignment.with_scores(found.withColumn("groups_sha256", digest).drop("groups"))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 CATALOG = {
     "op1_secrets": (op1_secrets, None),
     "op2_vectors": (op2_vectors, None),
@@ -229,5 +245,7 @@ CATALOG = {
     "op8_sharding": (op8_sharding, OP8_SQL),
     "op9_substrings": (op9_substrings, None),
     "op10_licenses": (op10_licenses, None),
+    "op11_quality_score": (op11_quality_score, None),
     "op12_manifest": (op12_manifest, OP12_SQL),
+    "op13_alignment": (op13_alignment, None),
 }
