@@ -2,7 +2,8 @@
 
 Tokenizer A is a byte-level BPE file of the tokenizers library, B a sentencepiece model whose pieces start at spaces; A reads a space and
 the text, B adds that space itself. Both texts are cut before each run of spaces that follows a character that is not white space: no
-token of either crosses such a place, so every distinct stretch between two of them is encoded once per worker and remembered.
+token of either crosses such a place, so both have a token end there. Every distinct stretch between two such places is encoded and aligned
+once per worker and remembered, many new ones behind each other as one text; a text's alignment is that of its stretches.
 
 Tokens are compared by the bytes at which they end. While the ends at the current index shift agree, tokens are one to one: the
 stretch is measured by exponential probing and jumped. Where they do not, the group is resolved by merging the two lists of ends up to
@@ -31,36 +32,14 @@ STRETCH = re.compile(f" *(?:[^ ]+(?:(?<=[{OTHER_SPACE}]) +)?)+| +")
 # Characters of stretches that a worker remembers the tokens of.
 REMEMBERED = 4 << 20
 SPACE = "▁"
+# Stretches that are encoded as one text.
+TOGETHER = 500
 # A pair of ids met more than once in so many links is broadcast; there can be no more such pairs than this.
 HOT_PAIRS = 1 << 16
 
 
-class _Side:
-    """Ids and byte lengths of the remembered stretches' tokens, end to end."""
-
-    def __init__(self, lengths: np.ndarray):
-        self.of_id = lengths
-        self.clear()
-
-    def clear(self):
-        self.ids, self.begins, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def add(self, found: list[list[int]]):
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(counts) - counts])
-        self.counts = np.concatenate([self.counts, counts])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.int32, int(counts.sum()))])
-
-    def tokens(self, places: np.ndarray) -> tuple[np.ndarray, list[int]]:
-        """Ids of the stretches in a row, and the byte at which each token ends."""
-        counts = self.counts[places]
-        ends = np.cumsum(counts)
-        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.begins[places] - (ends - counts), counts)]
-        return ids, np.cumsum(self.of_id[ids]).tolist()
-
-
-class Pair:
-    """Both tokenizers, made once per worker."""
+class Aligner:
+    """Both tokenizers and what is known of the stretches met so far, made once per worker."""
 
     def __init__(self, json_a: bytes, model_b: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,43 +51,100 @@ class Pair:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
         back = {c: i for i, c in enumerate(byte_characters())}
         vocabulary = self.a.get_vocab()
-        size_a = max(vocabulary.values()) + 1
-        self.bytes_a = [b""] * size_a
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_a[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.sizes_a, self.sizes_b = (np.fromiter(map(len, t), np.int64, len(t)) for t in (self.bytes_a, self.bytes_b))
+        self.names_a, self.names_b = (list(map(str, range(len(t)))) for t in (self.bytes_a, self.bytes_b))
         self.space_b = pieces.index(SPACE)
-        self.side_a, self.side_b = (_Side(np.fromiter(map(len, t), np.int64, len(t))) for t in (self.bytes_a, self.bytes_b))
+        self.forget()
+
+    def forget(self):
         self.known: dict[str, int] = {}
-        self.whole = np.zeros(0, bool)
         self.held = 0
+        self.groups: list[str] = []  # of each stretch, as text
+        self.codes = np.zeros(0, np.int64)  # of the stretches' links, end to end
+        # Per stretch: tokens of A, tokens of B, groups, links, and whether both sides give its bytes back.
+        self.counts = np.zeros((0, 5), np.int64)
+        self.begins = np.zeros(0, np.int64)
+
+    def ids(self, stretches: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of A and of B for stretches that follow one another in a text."""
+        text = "".join(stretches)
+        b = [self.space_b] if text == " " else self.b.encode(text[1:], num_threads=1)  # B adds the first space
+        return self.a.encode(text, add_special_tokens=False).ids, b
+
+    def same(self, ids_a: list[int], ids_b: list[int], text: str) -> bool:
+        raw = text.encode()
+        return b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b))
 
     def learn(self, stretches: list[str]):
-        """Encode stretches not met before. Each begins with a space, which B adds by itself."""
-        a = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
-        b = self.b.encode([s[1:] for s in stretches], num_threads=1)
-        b = [[self.space_b] if s == " " else ids for s, ids in zip(stretches, b, strict=True)]
-        self.known.update(zip(stretches, range(len(self.known), len(self.known) + len(stretches)), strict=True))
-        self.side_a.add(a)
-        self.side_b.add(b)
-        same = [b"".join(map(self.bytes_a.__getitem__, x)) == (raw := s.encode()) == b"".join(map(self.bytes_b.__getitem__, y)) for s, x, y in zip(stretches, a, b, strict=True)]
-        self.whole = np.concatenate([self.whole, np.array(same, bool)])
-        self.held += sum(map(len, stretches))
-
-    def encode(self, texts: list[str]):
-        """For each text, ids and ends of A and of B; None if it is empty or either side does not give its bytes back."""
+        """Encode and align stretches not met before. Many of them make one text, as no token crosses from one to the next."""
+        done: list[str] = []
+        all_a: list[int] = []
+        all_b: list[int] = []
+        whole: list[bool] = []
+        # A stretch that ends in white space is the last of its text, and runs into any that is put behind it.
+        alone = [s for s in stretches if s[-1] in OTHER_SPACE or s[-1] == " " or SPACE in s]
+        rest = list(set(stretches).difference(alone))
+        runs = [[s] for s in alone] + [rest[i : i + TOGETHER] for i in range(0, len(rest), TOGETHER)]
+        while runs:
+            run = runs.pop()
+            a, b = self.ids(run)
+            same = self.same(a, b, "".join(run))
+            if not same and len(run) > 1:  # find out which
+                runs += [[s] for s in run]
+                continue
+            done += run
+            whole += [same] * len(run)
+            if same:
+                all_a += a
+                all_b += b
+        ids_a, ids_b = np.array(all_a, np.int64), np.array(all_b, np.int64)
+        ends_a, ends_b = np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b])
+        cuts_a, cuts_b, links_a, links_b = align(ends_a.tolist(), ends_b.tolist())
+        shown = group_texts([self.names_a[i] for i in all_a], [self.names_b[i] for i in all_b], cuts_a, cuts_b)
+        group_ends = ends_a[np.array(cuts_a, np.int64) - 1]
+        links_a, links_b = np.array(links_a, np.int64), np.array(links_b, np.int64)
+        link_ends = np.minimum(ends_a[links_a], ends_b[links_b])
+        # What belongs to each stretch, by the byte at which it ends.
+        kept = np.array(whole, bool)
+        upto = np.cumsum(np.where(kept, np.fromiter((len(s.encode()) for s in done), np.int64, len(done)), 0))
+        places = np.column_stack([np.searchsorted(ends, upto, "right") for ends in (ends_a, ends_b, group_ends, link_ends)])
+        counts = np.diff(places, axis=0, prepend=np.zeros((1, 4), np.int64))
+        last = places[:, 2].tolist()
+        self.groups += [";".join(shown[i:j]) for i, j in zip([0, *last], last, strict=False)]
+        self.begins = np.concatenate([self.begins, len(self.codes) + places[:, 3] - counts[:, 3]])
+        self.codes = np.concatenate([self.codes, ids_a[links_a] << 32 | ids_b[links_b]])
+        self.counts = np.concatenate([self.counts, np.column_stack([counts, kept])])
+        self.known.update(zip(done, range(len(self.known), len(self.known) + len(done)), strict=True))
+        self.held += sum(map(len, done))
+
+    def aligned(self, texts: list[str]):
+        """For each text, the values of ``ADDED``."""
         if self.held > REMEMBERED:
-            self.known, self.whole, self.held = {}, self.whole[:0], 0
-            self.side_a.clear()
-            self.side_b.clear()
+            self.forget()
         cut = [STRETCH.findall(" " + t) if t else [] for t in texts]
         fresh = list({s for found in cut for s in found} - self.known.keys())
         if fresh:
             self.learn(fresh)
+        nothing = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32))
         for found in cut:
-            places = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
-            yield (*self.side_a.tokens(places), *self.side_b.tokens(places)) if len(places) and self.whole[places].all() else None
+            at = [self.known[s] for s in found]
+            places = np.array(at, np.int64)
+            counts = self.counts[places]
+            if not at or not counts[:, 4].all():
+                yield nothing
+                continue
+            links = counts[:, 3]
+            ends = np.cumsum(links)
+            codes = self.codes[np.arange(ends[-1]) + np.repeat(self.begins[places] - (ends - links), links)]
+            codes.sort()
+            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            times = np.diff(np.append(first, len(codes))).astype(np.int32)
+            yield (*counts[:, :4].sum(0).tolist(), ";".join([self.groups[i] for i in at]), codes[first], times)
 
 
 def run_length(a: list[int], b: list[int], i: int, j: int) -> int:
@@ -160,21 +196,18 @@ def align(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int],
     return cuts_a, cuts_b, links_a, links_b
 
 
-def shown(ids_a: list[str], ids_b: list[str], cuts_a: list[int], cuts_b: list[int]) -> str:
-    """Groups as ``a1,a2|b1;a3|b2,b3``."""
+def group_texts(ids_a: list[str], ids_b: list[str], cuts_a: list[int], cuts_b: list[int]) -> list[str]:
+    """Each group as ``a1,a2|b1``."""
     out, p, q = [], 0, 0
     for x, y in zip(cuts_a, cuts_b, strict=True):
-        if x - p == 1 and y - q == 1:
-            out.append(ids_a[p] + "|" + ids_b[q])
-        else:
-            out.append(",".join(ids_a[p:x]) + "|" + ",".join(ids_b[q:y]))
+        out.append(",".join(ids_a[p:x]) + "|" + ",".join(ids_b[q:y]))
         p, q = x, y
-    return ";".join(out)
+    return out
 
 
 @cache
-def pair(json_a: bytes, model_b: bytes) -> Pair:
-    return Pair(json_a, model_b)
+def aligner(json_a: bytes, model_b: bytes) -> Aligner:
+    return Aligner(json_a, model_b)
 
 
 ADDED = {"n_a": T.LongType(), "n_b": T.LongType(), "n_groups": T.LongType(), "n_links": T.LongType(), "groups": T.StringType(), "pairs": T.ArrayType(T.LongType()), "times": T.ArrayType(T.IntegerType())}
@@ -198,19 +231,10 @@ def alignments(docs: DataFrame, path_a: str, path_b: str, text: str = "text") ->
     shape = T.StructType([rows.schema["row"], *[T.StructField(name, kind) for name, kind in ADDED.items()]])
 
     def run(batches):
-        own = pair(*shared.value)
-        names_a, names_b = (list(map(str, range(len(t)))) for t in (own.bytes_a, own.bytes_b))
+        own = aligner(*shared.value)
         for batch in batches:
             for piece, _, _ in text_pieces(batch, "used"):
-                out: dict[str, list] = {name: [] for name in ADDED}
-                for found in own.encode(piece.column("used").fill_null("").to_pylist()):
-                    ids_a, ends_a, ids_b, ends_b = found or (np.zeros(0, np.int32), [], np.zeros(0, np.int32), [])
-                    cuts_a, cuts_b, links_a, links_b = align(ends_a, ends_b)
-                    codes = (ids_a[links_a].astype(np.int64) << 32 | ids_b[links_b]) if links_a else np.zeros(0, np.int64)
-                    pairs, times = np.unique(codes, return_counts=True)
-                    groups = shown([names_a[i] for i in ids_a.tolist()], [names_b[i] for i in ids_b.tolist()], cuts_a, cuts_b)
-                    for name, value in zip(ADDED, (len(ids_a), len(ids_b), len(cuts_a), len(links_a), groups, pairs, times.astype(np.int32)), strict=True):
-                        out[name].append(value)
+                out = dict(zip(ADDED, zip(*own.aligned(piece.column("used").fill_null("").to_pylist()), strict=True), strict=True))
                 columns = [_lists(out[n], kind) if isinstance(kind, T.ArrayType) else pa.array(out[n], pa.string() if n == "groups" else pa.int64()) for n, kind in ADDED.items()]
                 yield pa.RecordBatch.from_arrays([piece.column("row"), *columns], ["row", *ADDED])
 
