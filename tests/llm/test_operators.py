@@ -258,6 +258,14 @@ def test_bpe(docs, odd, empty, rows):
             assert library.decode_single_token_bytes(i) in text[a:b].encode()
 
 
+def test_bpe_in_one_pass(odd):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    one = bpe.encode(odd, path, public_tokenizers.PATTERN, decoded=True, keep=["doc_id", "row"])
+    assert one.columns == ["doc_id", "row", "ids", "decoded"]
+    two = bpe.decode(bpe.encode(odd, path, public_tokenizers.PATTERN), path).select(*one.columns)
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+
 def test_bpe_like_the_library():
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     blob = Path(path).read_bytes()
@@ -493,3 +501,22 @@ def test_pipeline(spark, docs, rows):
             assert {r["doc_id"] for r in now.collect()} == {r["doc_id"] for r in before.collect()}
             assert all(plain.secrets(r["text"])[:3] == (0, 0, 0) and r["n_chars"] == len(r["text"]) for r in now.collect())
     assert now.columns[:3] == ["doc_id", "ids", "n_tokens"] and now.count() > 0
+
+
+def test_pipeline_on_odd_rows_and_an_empty_table(spark, odd, empty):
+    for given in (odd, empty):
+        left = given
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            left = spark.createDataFrame(stage(spark, left, "").collect(), given.schema)
+            assert left.columns == given.columns, name
+        tokens = corpus_pipeline.STAGES[-1][1](spark, left, "")
+        assert tokens.count() == left.count()
+        assert (left.count() > 0) == (given is odd)
+
+
+def test_near_duplicates_keep_the_same_row_in_every_run(spark):
+    base = " ".join(words(80, 9))
+    given = [(1, base, "en", f"s{i}", i) for i in range(20)] + [(None, None, None, f"n{i}", None) for i in range(3)]
+    shape = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    kept = [sorted(map(str, corpus_pipeline.near_duplicates(spark, spark.createDataFrame(given[::step], shape).repartition(n), "").collect())) for step, n in ((1, 1), (-1, 5))]
+    assert kept[0] == kept[1] and len(kept[0]) == 4  # one of the equal texts, and every row without words

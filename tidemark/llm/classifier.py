@@ -34,6 +34,9 @@ FARTHEST = 6.0
 TASK_ROWS = 50_000
 SCORE, THRESHOLD = 0.5, 0.3
 
+# Bytes of text worked on at a time; the arrays beside them take some sixty times as much.
+PIECE_BYTES = 1 << 18
+
 # Classes of bytes whose shares are statistics.
 CLASSES = {
     "lower": b"abcdefghijklmnopqrstuvwxyz",
@@ -54,7 +57,7 @@ STATISTICS = [
 
 
 def _class_table() -> np.ndarray:
-    table = np.full(256, len(CLASSES), np.int64)  # all else: bytes of longer characters and control bytes
+    table = np.full(256, len(CLASSES), np.int32)  # all else: bytes of longer characters and control bytes
     for k, members in enumerate(CLASSES.values()):
         table[list(members)] = k
     return table
@@ -84,7 +87,7 @@ def text_statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Texts x statistics, from texts that lie end to end. All are finite; a text without words has zeros where words are asked for."""
     n, k = len(offsets) - 1, len(CLASSES) + 1
     sizes = np.diff(offsets)
-    owner = np.repeat(np.arange(n), sizes)
+    owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
     kinds = CLASS_OF[data]
     shares = np.bincount(owner * k + kinds, minlength=n * k).reshape(n, k) / np.maximum(sizes, 1)[:, None]
     hashes, starts, ends, cuts = word_hashes(data, offsets)
@@ -137,7 +140,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for piece, data, offsets in text_pieces(batch, "used"):
+            for piece, data, offsets in text_pieces(batch, "used", PIECE_BYTES):
                 found = text_statistics(data, offsets)
                 places = pa.array(np.arange(0, found.size + 1, found.shape[1], dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([piece.column("row"), pa.ListArray.from_arrays(places, pa.array(found.ravel()))], ["row", "stats"])

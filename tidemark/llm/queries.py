@@ -90,8 +90,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 def coded(docs: DataFrame) -> DataFrame:
     """``doc_id`` and digests of the ids of each text and of the bytes they decode to."""
     vocabulary = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).select("doc_id", "ids")
-    plain = bpe.decode(ids, vocabulary, public_tokenizers.PATTERN)
+    plain = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, decoded=True, keep=["doc_id"])
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
     return plain.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -30,18 +30,24 @@ def byte_values(fold: bool) -> np.ndarray:
     return values
 
 
-_powers: list[tuple[np.ndarray, np.ndarray]] = []
+# Bytes of text that powers are kept for; those for a longer text are made for it and dropped.
+KEPT_POWERS = 1 << 20
+
+
+def _made(n: int) -> tuple[np.ndarray, np.ndarray]:
+    bases = [np.full(n, U64(b), U64) for b in (BASE, pow(BASE, -1, 1 << 64))]
+    for b in bases:
+        b[0] = 1
+        np.cumprod(b, dtype=U64, out=b)
+    return bases[0], bases[1]
+
+
+_kept_powers = cache(_made)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    if not _powers or len(_powers[0][0]) < n:
-        size = 1 << max(20, n.bit_length())
-        bases = [np.full(size, U64(b), U64) for b in (BASE, pow(BASE, -1, 1 << 64))]
-        for b in bases:
-            b[0] = 1
-        _powers[:] = [tuple(np.cumprod(b, dtype=U64) for b in bases)]
-    return _powers[0]
+    return _kept_powers(KEPT_POWERS) if n <= KEPT_POWERS else _made(n)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
