@@ -17,6 +17,8 @@ SQL_SETTINGS = {
     # Two byte keys may decode to the same text; the later one wins.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A batch of long texts is held by the JVM and by the Python worker at once.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     # Keys seen by a deduplicating stream live on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
