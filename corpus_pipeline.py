@@ -23,13 +23,19 @@ def _packed(docs: DataFrame, *used: str) -> DataFrame:
 
 
 def _picked(docs: DataFrame, name: Column, picks: DataFrame) -> DataFrame:
-    """Rows by name, as often as ``picks(row_id, n, copies)`` says: of the ``n`` equal rows of a name, ``copies`` in all."""
+    """Rows by name, as often as ``picks(row_id, n, copies)`` says: of the ``n`` rows of a name, ``copies`` in all.
+
+    Every row of a name comes equally often; what is left over are copies of the one whose digest over all columns is the smallest, so
+    rows that share a name but differ elsewhere have the same result in every run.
+    """
     wanted = written(picks.where("copies > 0"), "picks")
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name.alias("row_id")).join(wanted, "row_id")
-    rows = marked.where("n = 1")
-    if not wanted.where("n > 1").isEmpty():
-        rows = rows.unionByName(marked.where("n > 1").dropDuplicates(["row_id"]))
-    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    rows = marked.where("copies >= n").select("row", F.expr("copies div n").alias("times"))
+    uneven = wanted.where("copies % n > 0")
+    if not uneven.isEmpty():
+        first = F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")
+        rows = rows.unionByName(marked.where("copies % n > 0").groupBy("row_id").agg(first, F.max(F.expr("copies % n")).alias("times")).select("row", "times"))
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times").cast("bigint")))).select("row.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,8 +78,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, their number, and the digests of the ids and of the bytes they decode to."""
     configure(spark)
     vocabulary = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode(docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN).select("doc_id", "ids")
-    plain = bpe.decode(ids, vocabulary, public_tokenizers.PATTERN)
+    plain = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, decoded=True, keep=["doc_id"])
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
     return plain.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
