@@ -10,10 +10,12 @@ from tidemark.functions.envelope import metadata_field
 from tidemark.operators import checkpoints as C
 from tidemark.plans import inputs as I
 from tidemark.session import shared_folder
+from tidemark.sources.partitioned import partitioned_stream, write_partitioned
 from tidemark.sources.streams import file_stream
 from tidemark.streaming.cutting import BatchCutter
-from tidemark.streaming.runner import Deduplicated, start_route, start_routes, wait_all
-from tidemark.streaming.sink import Lake, Route, RouteSink, read_table
+from tidemark.streaming.runner import Deduplicated, drain, start_route, start_routes, wait_all
+from tidemark.streaming.sink import Lake, Route, RouteSink, read_control, read_table
+from tidemark.streaming.ticker import closed_batches
 
 ROUTES = [
     Route(f"SOURCE_{n}", f"TARGET_{n}", "ns0", kind, "$Default", "lake", "ingest", f"{kind}_events")
@@ -122,12 +124,23 @@ SELECT concat(event_type, ' ', props) AS event_body, CAST(user_id % 4 AS VARCHAR
   event_id AS sequence_number, ts AS enqueued_time FROM events"""
 
 
+def _replayed(spark, sf_dir, folder, files):
+    """The events as a stream of several micro-batches in the order of their ids: one file of consecutive events after the other."""
+    events = I.table(spark, sf_dir, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    if low is None:
+        low, high = 0, 0
+    part = F.floor((F.col("event_id") - low) * files / (high - low + 1))
+    for n in range(files):  # written one by one: the file source goes by the time of writing
+        events.filter(part == n).coalesce(1).write.parquet(f"{folder}/replay/part={n}")
+    return file_stream(spark, f"{folder}/replay/*", events.schema, max_files=1)
+
+
 def stream_batches(spark, sf_dir):
-    """A stream cut into batches of at most 80 messages or eight hours per event type."""
+    """A stream cut into batches of at most 80 messages or eight hours per event type, across several micro-batches."""
     folder = shared_folder(spark, "cut")
     cutter = BatchCutter(folder, ["event_type"], "event_id", "ts", size=80, max_wait_seconds=8 * 3600)
-    # All files at once: those of one table are in no particular order.
-    events = _events(spark, sf_dir, max_files=None)
+    events = _replayed(spark, sf_dir, folder, files=3)
     checkpoint = f"{folder}/checkpoint"
     started = events.writeStream.foreachBatch(cutter).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     wait_all([started.start()])
@@ -148,6 +161,68 @@ SELECT m.event_type, m.event_id,
 FROM numbered m LEFT JOIN chain c ON c.event_type = m.event_type AND c.closing = m.n"""
 
 
+def stream_partitions(spark, sf_dir):
+    """A partitioned source read by offsets, at most a quarter of it in a micro-batch, stopped and restarted after three partitions have grown and a fourth has appeared."""
+    folder = shared_folder(spark, "partitions")
+    route = Route("SOURCE_P", "TARGET_P", "ns0", "partitions", "$Default", "lake", "ingest")
+    lake = Lake(f"{folder}/lake")
+    messages = _messages(I.table(spark, sf_dir, "events"))
+    low, high = messages.agg(F.min("sequence_number"), F.max("sequence_number")).first()
+    low, high = low or 0, high or 0
+    late = F.col("sequence_number") > F.lit((low + high) // 2)
+    for arrived in (~late & (F.col("partition_id") != "3"), late):
+        write_partitioned(messages.filter(arrived), f"{folder}/in", span=max(1, (high - low) // 10))
+        stream = partitioned_stream(spark, f"{folder}/in", lake.checkpoint(route), max_messages=high - low + 1)
+        drain(start_route(stream, RouteSink(route, lake), every="0 seconds"))
+    rows = read_table(spark, lake.target(route), schemas.TARGET).select("event_body", "partition_id", "sequence_number", "enqueued_time")
+    reached = C.typed_metadata(read_control(spark, lake, route)).groupBy("partition_id").agg(F.max("sequence_number").alias("reached"))
+    return rows.join(F.broadcast(reached), "partition_id")
+
+
+STREAM_PARTITIONS = """
+SELECT concat(event_type, ' ', props) AS event_body, CAST(user_id % 4 AS VARCHAR) AS partition_id, event_id AS sequence_number,
+  ts AS enqueued_time, max(event_id) OVER (PARTITION BY user_id % 4) AS reached FROM events
+WHERE user_id % 4 <> 3 OR event_id > (SELECT (min(event_id) + max(event_id)) // 2 FROM events)"""
+
+
+def stream_ticker(spark, sf_dir):
+    """Batches of 200 streams closed by size (4 messages), age (a day) or a tick (every six hours), replayed on event time."""
+    folder = shared_folder(spark, "ticker")
+    events = _replayed(spark, sf_dir, folder, files=6).withColumn("stream", F.concat_ws("-", "event_type", (F.col("user_id") % 40).cast("string")))
+    closed = closed_batches(events, ["stream"], "event_id", "ts", size=4, max_wait_seconds=86400, tick_seconds=21600)
+    started = closed.writeStream.format("parquet").option("path", f"{folder}/closed").option("checkpointLocation", f"{folder}/checkpoint")
+    wait_all([started.trigger(availableNow=True).start()])
+    return read_table(spark, f"{folder}/closed", closed.schema)
+
+
+# Message by message: a tick that is due closes the open batch before the message, then the message joins the batch and may close it.
+_DUE = "make_timestamp(CAST(ceil(epoch_us(opened + INTERVAL 1 DAY) / 21600000000::DOUBLE) AS BIGINT) * 21600000000::BIGINT)"
+STREAM_TICKER = f"""WITH RECURSIVE numbered AS MATERIALIZED (
+  SELECT concat_ws('-', event_type, user_id % 40) AS stream, event_id, ts AS t,
+    row_number() OVER (PARTITION BY concat_ws('-', event_type, user_id % 40) ORDER BY event_id) AS n FROM events),
+chain AS (
+  SELECT stream, 0::BIGINT AS n, min(t) AS opened, 0::BIGINT AS pending, -1::BIGINT AS batch_no, 0::BIGINT AS next_no, NULL::TIMESTAMP AS opened_at,
+    NULL::TIMESTAMP AS closed_at, NULL::VARCHAR AS closed_by, NULL::TIMESTAMP AS ticked_at FROM numbered GROUP BY stream
+  UNION ALL
+  SELECT stream, n, CASE WHEN closed_by IS NOT NULL THEN t ELSE begun END, CASE WHEN closed_by IS NOT NULL THEN 0 ELSE held + 1 END, no,
+    CASE WHEN closed_by IS NOT NULL THEN no + 1 ELSE no END, begun, CASE WHEN closed_by IS NOT NULL THEN t END, closed_by, ticked_at
+  FROM (
+    SELECT *, CASE WHEN held + 1 >= 4 THEN 'size' WHEN t >= begun + INTERVAL 1 DAY THEN 'age' END AS closed_by
+    FROM (
+      SELECT c.stream, m.n, m.t, CASE WHEN c.pending > 0 AND {_DUE} <= m.t THEN {_DUE} END AS ticked_at,
+        coalesce(CASE WHEN c.pending > 0 AND {_DUE} <= m.t THEN {_DUE} END, c.opened) AS begun,
+        CASE WHEN c.pending > 0 AND {_DUE} <= m.t THEN 0 ELSE c.pending END AS held,
+        CASE WHEN c.pending > 0 AND {_DUE} <= m.t THEN c.next_no + 1 ELSE c.next_no END AS no
+      FROM chain c JOIN numbered m ON c.stream = m.stream AND m.n = c.n + 1) AS told) AS judged),
+told AS (SELECT c.*, m.event_id, lead(c.ticked_at) OVER (PARTITION BY c.stream ORDER BY c.n) AS next_tick, c.n = max(c.n) OVER (PARTITION BY c.stream) AS is_last
+  FROM chain c JOIN numbered m ON c.stream = m.stream AND c.n = m.n),
+ended AS (
+  SELECT *, CASE WHEN is_last AND pending > 0 AND {_DUE} < (SELECT date_trunc('milliseconds', max(ts)) FROM events) THEN {_DUE} ELSE next_tick END AS tick_close FROM told)
+SELECT stream, batch_no, count(*) AS messages, min(event_id) AS first_arrival, max(event_id) AS last_arrival, min(opened_at) AS opened_at,
+  coalesce(max(closed_at), max(tick_close)) AS closed_at, coalesce(max(closed_by), CASE WHEN max(tick_close) IS NOT NULL THEN 'tick' END) AS closed_by
+FROM ended GROUP BY stream, batch_no HAVING coalesce(max(closed_at), max(tick_close)) IS NOT NULL"""
+
+
 def stream_dedup(spark, sf_dir):
     """X11: every message delivered twice, a third of them five times, in micro-batches of no order; one copy of each lands."""
     events = I.table(spark, sf_dir, "events")
@@ -174,6 +249,8 @@ SELECT concat(event_type, ' ', props) AS body, CAST(user_id % 4 AS VARCHAR) AS p
 
 QUERIES = {
     "stream_batches": (stream_batches, STREAM_BATCHES),
+    "stream_partitions": (stream_partitions, STREAM_PARTITIONS),
+    "stream_ticker": (stream_ticker, STREAM_TICKER),
     "stream_replay": (stream_replay, STREAM_REPLAY),
     "stream_dedup": (stream_dedup, STREAM_DEDUP),
     "stream_target": (stream_target, STREAM_TARGET),
