@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.envelope import metadata_field
 from tidemark.operators import checkpoints as C
 from tidemark.plans import inputs as I
-from tidemark.session import shared_folder
+from tidemark.session import shared_folder, written
 from tidemark.sources.partitioned import partitioned_stream, write_partitioned
 from tidemark.sources.streams import file_stream
 from tidemark.streaming.cutting import BatchCutter
-from tidemark.streaming.runner import Deduplicated, drain, start_route, start_routes, wait_all
-from tidemark.streaming.sink import Lake, Route, RouteSink, read_control, read_table
+from tidemark.streaming.fanout import FanOut, start_fan_out
+from tidemark.streaming.manifest import Manifest
+from tidemark.streaming.runner import Deduplicated, drain, start_route, wait_all
+from tidemark.streaming.sink import Lake, Route, RouteSink, read_control, read_landed, read_table
 from tidemark.streaming.ticker import closed_batches
 
 ROUTES = [
@@ -29,8 +34,9 @@ def _events(spark, sf_dir, max_files=1000):
     return file_stream(spark, f"{sf_dir}/events.parque[t]", schema, max_files=max_files)
 
 
-def _messages(events):
+def _messages(events, *more):
     return events.selectExpr(
+        *more,
         "concat(event_type, ' ', props) AS body",
         "cast(user_id % 4 AS string) AS partition_id",
         "event_id AS sequence_number",
@@ -40,27 +46,27 @@ def _messages(events):
     )
 
 
-def _run(spark, sf_dir) -> Lake:
-    """One streaming query per event type over the events files, all at once, until they are drained."""
+def _fan_out(spark, sf_dir, lake, make_sink=RouteSink):
+    """One scan of the events, each type landing in its route, until they are drained."""
+    events = _events(spark, sf_dir)
+    messages = _messages(events, "event_type")
+    wait_all([start_fan_out(messages, FanOut(ROUTES, lake, lambda r: F.col("event_type") == r.hub, f"{lake.root}/checkpoints/events", make_sink))])
 
-    def open_stream(route):
-        return _messages(_events(spark, sf_dir).filter(F.col("event_type") == route.hub))
 
+def _run(spark, sf_dir) -> Lake:
     lake = Lake(shared_folder(spark, "lake"))
-    wait_all(start_routes(ROUTES, lake, open_stream).values())
+    _fan_out(spark, sf_dir, lake)
     return lake
 
 
+def _landed(spark, lake):
+    landed = [read_landed(spark, lake, r).withColumn("target_table", F.lit(r.table)) for r in ROUTES]
+    return reduce(DataFrame.unionByName, landed).drop("ingestion_timestamp")
+
+
 def stream_target(spark, sf_dir):
     """Rows of all targets."""
-    lake = _run(spark, sf_dir)
-    landed = [
-        read_table(spark, lake.target(r), schemas.TARGET).withColumn("target_table", F.lit(r.table)) for r in ROUTES
-    ]
-    rows = landed[0]
-    for more in landed[1:]:
-        rows = rows.unionByName(more)
-    return rows.drop("ingestion_timestamp")
+    return _landed(spark, _run(spark, sf_dir))
 
 
 STREAM_TARGET = """
@@ -98,6 +104,35 @@ SELECT concat('SOURCE_', n, '->TARGET_', n) AS mapping, true AS success, message
     count(DISTINCT user_id % 4) AS partitions FROM events GROUP BY event_type)"""
 
 
+class _HalfSink(RouteSink):
+    """Loses the third route's batch between the target rows and the control rows."""
+
+    def write_control(self, messages, batch_id):
+        if self.route == ROUTES[2]:
+            raise RuntimeError("crash before the control rows")
+        return super().write_control(messages, batch_id)
+
+
+def fan_out_replay(spark, sf_dir):
+    """One of five routes of a scan fails; the replay lands it alone. Every route's rows, and how often its batch landed."""
+    lake = Lake(shared_folder(spark, "lake"))
+    try:
+        _fan_out(spark, sf_dir, lake, _HalfSink)
+    except StreamingQueryException as error:
+        if "crash before the control rows" not in str(error):
+            raise
+    _fan_out(spark, sf_dir, lake)
+    audit = read_table(spark, lake.audit, schemas.BATCH_AUDIT).filter("success").groupBy("mapping").agg(F.count("*").alias("landings"))
+    tables = spark.createDataFrame([(r.table, r.mapping) for r in ROUTES], "target_table string, mapping string")
+    return _landed(spark, lake).join(F.broadcast(tables), "target_table").join(F.broadcast(audit), "mapping").drop("properties", "system_properties")
+
+
+FAN_OUT_REPLAY = """
+SELECT concat(event_type, ' ', props) AS event_body, CAST(user_id % 4 AS VARCHAR) AS partition_id, event_id AS sequence_number, ts AS enqueued_time,
+  concat(event_type, '_events') AS target_table, concat('SOURCE_', n, '->TARGET_', n) AS mapping, 1::BIGINT AS landings
+FROM (SELECT *, list_position(['click', 'view', 'purchase', 'signup', 'error'], event_type) - 1 AS n FROM events)"""
+
+
 class _CrashingSink(RouteSink):
     """Loses its first micro-batch between the target rows and the control rows."""
 
@@ -115,7 +150,7 @@ def stream_replay(spark, sf_dir):
         if "crash before the control rows" not in str(error):
             raise
     wait_all([start_route(_messages(_events(spark, sf_dir)), RouteSink(everything, lake))])
-    rows = read_table(spark, lake.target(everything), schemas.TARGET)
+    rows = read_landed(spark, lake, everything)
     return rows.select("event_body", "partition_id", "sequence_number", "enqueued_time")
 
 
@@ -174,7 +209,7 @@ def stream_partitions(spark, sf_dir):
         write_partitioned(messages.filter(arrived), f"{folder}/in", span=max(1, (high - low) // 10))
         stream = partitioned_stream(spark, f"{folder}/in", lake.checkpoint(route), max_messages=high - low + 1)
         drain(start_route(stream, RouteSink(route, lake), every="0 seconds"))
-    rows = read_table(spark, lake.target(route), schemas.TARGET).select("event_body", "partition_id", "sequence_number", "enqueued_time")
+    rows = read_landed(spark, lake, route).select("event_body", "partition_id", "sequence_number", "enqueued_time")
     reached = C.typed_metadata(read_control(spark, lake, route)).groupBy("partition_id").agg(F.max("sequence_number").alias("reached"))
     return rows.join(F.broadcast(reached), "partition_id")
 
@@ -185,6 +220,48 @@ SELECT concat(event_type, ' ', props) AS event_body, CAST(user_id % 4 AS VARCHAR
 WHERE user_id % 4 <> 3 OR event_id > (SELECT (min(event_id) + max(event_id)) // 2 FROM events)"""
 
 
+class _DyingSink(RouteSink):
+    """Dies in its fourth micro-batch, between the target rows and the control rows."""
+
+    def write_control(self, messages, batch_id):
+        if batch_id == 3:
+            raise RuntimeError("crash before the control rows")
+        return super().write_control(messages, batch_id)
+
+
+def landed_resume(spark, sf_dir):
+    """What readers see of a run that dies in its fourth micro-batch, and, after it was merged, restarted and merged again, what lies beyond resume points."""
+    folder = shared_folder(spark, "landed")
+    route = Route("SOURCE_L", "TARGET_L", "ns0", "landed", "$Default", "lake", "ingest")
+    lake = Lake(f"{folder}/lake")
+    stream = _messages(_replayed(spark, sf_dir, folder, files=6))
+    try:
+        wait_all([start_route(stream, _DyingSink(route, lake))])
+    except StreamingQueryException as error:
+        if "crash before the control rows" not in str(error):
+            raise
+    manifest = Manifest(spark, lake, route)
+    wanted = ["event_body", "partition_id", "sequence_number", "enqueued_time"]
+    seen = written(read_landed(spark, lake, route).select(F.lit("crash").alias("seen"), *wanted), "seen")
+    manifest.compact(file_messages=1000)
+    wait_all([start_route(stream, RouteSink(route, lake))])
+    manifest.compact(file_messages=1000)
+    manifest.expire()
+    points = read_control(spark, lake, route).groupBy("partition_id").agg(F.max(metadata_field(F.col("metadata"), "sequence_number").cast("bigint")).alias("last"))
+    half = points.select("partition_id", F.expr("last div 2").alias("sequence_number"))
+    return seen.unionByName(read_landed(spark, lake, route, after=half).select(F.lit("resume").alias("seen"), *wanted))
+
+
+LANDED_RESUME = """
+WITH bounds AS (SELECT min(event_id) AS low, max(event_id) AS high FROM events),
+points AS (SELECT user_id % 4 AS p, max(event_id) // 2 AS reached FROM events GROUP BY 1),
+landed AS (SELECT concat(event_type, ' ', props) AS event_body, CAST(user_id % 4 AS VARCHAR) AS partition_id, event_id AS sequence_number,
+  ts AS enqueued_time, user_id % 4 AS p FROM events)
+SELECT 'crash' AS seen, event_body, partition_id, sequence_number, enqueued_time FROM landed, bounds
+WHERE floor((sequence_number - low) * 6 / (high - low + 1)::DOUBLE) < 3
+UNION ALL SELECT 'resume', event_body, partition_id, sequence_number, enqueued_time FROM landed JOIN points USING (p) WHERE sequence_number > reached"""
+
+
 def stream_ticker(spark, sf_dir):
     """Batches of 200 streams closed by size (4 messages), age (a day) or a tick (every six hours), replayed on event time."""
     folder = shared_folder(spark, "ticker")
@@ -249,6 +326,8 @@ SELECT concat(event_type, ' ', props) AS body, CAST(user_id % 4 AS VARCHAR) AS p
 
 QUERIES = {
     "stream_batches": (stream_batches, STREAM_BATCHES),
+    "fan_out_replay": (fan_out_replay, FAN_OUT_REPLAY),
+    "landed_resume": (landed_resume, LANDED_RESUME),
     "stream_partitions": (stream_partitions, STREAM_PARTITIONS),
     "stream_ticker": (stream_ticker, STREAM_TICKER),
     "stream_replay": (stream_replay, STREAM_REPLAY),

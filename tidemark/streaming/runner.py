@@ -23,6 +23,17 @@ def start_route(stream: DataFrame, sink: RouteSink, every: str | None = None) ->
     committed batch (X5).
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
+    # The query's jobs run in a pool of their own, which counts if the session's scheduler mode is FAIR.
+    context = stream.sparkSession.sparkContext
+    pool = context.getLocalProperty("spark.scheduler.pool")
+    context.setLocalProperty("spark.scheduler.pool", sink.route.mapping)
+    try:
+        return _started(stream, sink, trigger)
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", pool)
+
+
+def _started(stream: DataFrame, sink: RouteSink, trigger: dict) -> StreamingQuery:
     return (
         stream.writeStream.queryName(sink.route.mapping)
         .foreachBatch(sink)

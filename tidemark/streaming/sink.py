@@ -1,4 +1,4 @@
-"""Micro-batch sink: target rows, then control rows, then the audit row.
+"""Micro-batch sink: target rows, then control rows, the audit row, and the entry in the manifest.
 
 Every write of a micro-batch replaces one folder named after the mapping, the run and the batch. Spark
 replays a batch that was not committed under the same number, so a replay replaces what the
@@ -8,112 +8,40 @@ Spark checkpoint; the run, which is the checkpoint's own id, keeps such batches
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.envelope import parse_offset, to_target_rows, valid_messages
 from tidemark.operators.batching import highest_message
 from tidemark.operators.checkpoints import (
-    ControlKey,
     control_rows,
     required_columns,
     unseen_messages,
     with_checkpoint_metadata,
 )
 from tidemark.session import written
+from tidemark.streaming.lake import Lake, Route, read_table, route_folder, run_of
+from tidemark.streaming.manifest import Manifest
 from tidemark.streaming.retry import RetryPolicy
 
 
-@dataclass(frozen=True)
-class Route:
-    """One stream and the table it lands in."""
-
-    source_key: str
-    target_key: str
-    namespace: str
-    hub: str
-    consumer_group: str
-    database: str
-    schema: str
-    table: str = "events"
-
-    @property
-    def mapping(self) -> str:
-        return f"{self.source_key}->{self.target_key}"
-
-    @property
-    def control_key(self) -> ControlKey:
-        return ControlKey(self.namespace, self.hub, self.database, self.schema, self.table)
-
-
-@dataclass(frozen=True)
-class Lake:
-    """Folders of the tables below one root that all executors can reach."""
-
-    root: str
-
-    def target(self, route: Route) -> str:
-        return f"{self.root}/target/{route.database}/{route.schema}/{route.table}"
-
-    @property
-    def control(self) -> str:
-        return f"{self.root}/control"
-
-    @property
-    def audit(self) -> str:
-        return f"{self.root}/audit"
-
-    @property
-    def failures(self) -> str:
-        return f"{self.root}/failures"
-
-    def dead_letters(self, route: Route) -> str:
-        return f"{self.root}/dead_letters/{route.database}/{route.schema}/{route.table}"
-
-    def checkpoint(self, route: Route) -> str:
-        return f"{self.root}/checkpoints/{route.source_key}/{route.target_key}"
-
-
-def route_folder(table: str, route: Route) -> str:
-    return f"{table}/source_key={route.source_key}/target_key={route.target_key}"
-
-
-def run_of(spark: SparkSession, checkpoint: str) -> str:
-    """The id that Spark keeps in a checkpoint: the same after every restart on it. Without a checkpoint, ``manual``."""
-    try:
-        return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return "manual"
-        raise
-
-
-def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """All batches of a table; empty before the first one is written."""
-    try:
-        return spark.read.schema(schema).parquet(folder).select(*schema.names)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
-
-
 def _now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
 def read_control(spark: SparkSession, lake: Lake, route: Route) -> DataFrame:
-    """Control rows one route wrote, from its own folder only; input of ``entries_of`` (F2)."""
-    return read_table(spark, route_folder(lake.control, route), schemas.CONTROL)
+    """Control rows of the committed batches of one route; input of ``entries_of`` (F2)."""
+    return Manifest(spark, lake, route).read(table="control")
+
+
+def read_landed(spark: SparkSession, lake: Lake, route: Route, after: DataFrame | None = None) -> DataFrame:
+    """Target rows of the committed batches of one route; with ``after`` those beyond resume points."""
+    return Manifest(spark, lake, route).read(after)
 
 
 class RouteSink:
@@ -156,6 +84,7 @@ class RouteSink:
         self.resume = None if resume is None else written(resume, "resume")
         self.checkpoint = checkpoint or lake.checkpoint(route)
         self.run: str | None = None
+        self.zones: DataFrame | None = None
         self.start_position = start_position
 
     def batch_folder(self, table: str, batch_id: int) -> str:
@@ -163,7 +92,10 @@ class RouteSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.run is None or batch_id == 0:
-            self.run = run_of(batch.sparkSession, self.checkpoint)
+            first, self.run = self.run is None, run_of(batch.sparkSession, self.checkpoint)
+            # Only the first batch after a start can be one that landed whole before Spark noted it.
+            if first and self.run != "manual" and Manifest(batch.sparkSession, self.lake, self.route).is_committed(self.run, batch_id):
+                return
         self.write_unplaced(batch, batch_id)
         messages = self.accepted(batch)
         if messages.isEmpty():
@@ -179,7 +111,7 @@ class RouteSink:
             messages.unpersist()
 
     def land(self, messages: DataFrame, batch_id: int) -> None:
-        """Target rows, control rows and audit row of one micro-batch, in this order."""
+        """Target rows, control rows, audit row and manifest entry of one micro-batch, in this order."""
         spark = messages.sparkSession
         started = _now()
         rows = to_target_rows(messages, F.lit(started))
@@ -207,6 +139,7 @@ class RouteSink:
         self.write_failures(spark, errors)
         counts = self.write_control(messages, batch_id)
         self.write_audit(spark, batch_id, started, counts, True, attempts, None)
+        self.commit(spark, batch_id)
 
     def accepted(self, batch: DataFrame) -> DataFrame:
         """Messages of the batch to land: valid, and not seen before the start."""
@@ -229,11 +162,18 @@ class RouteSink:
         seen = Observation()
         reached = (
             messages.groupBy("partition_id")
-            .agg(highest_message(["sequence_number", "offset"], "_position").alias("_m"), F.count("*").alias("messages"))
-            .select("partition_id", "_m.*", "messages")
+            .agg(
+                highest_message(["sequence_number", "offset"], "_position").alias("_m"),
+                F.count("*").alias("messages"),
+                F.min("sequence_number").alias("low"),
+                F.max("sequence_number").alias("high"),
+            )
+            .select("partition_id", "_m.*", "messages", "low", "high")
             .withColumn("waterlevel", parse_offset(F.col("offset"), F.col("sequence_number")))
             .observe(seen, F.sum("messages").alias("messages"), F.count("*").alias("partitions"))
+            .persist()  # one row per partition, for the control rows and for the manifest
         )
+        self.zones = reached
         described = with_checkpoint_metadata(
             reached, F.lit(route.namespace), F.lit(route.hub), F.lit(route.consumer_group)
         )
@@ -241,6 +181,13 @@ class RouteSink:
         rows.write.mode("overwrite").parquet(self.batch_folder(self.lake.control, batch_id))
         return seen.get
 
+    def commit(self, spark: SparkSession, batch_id: int) -> None:
+        """Enter the batch in the manifest, which makes it visible to readers: the last write of a batch."""
+        if self.zones is not None:
+            Manifest(spark, self.lake, self.route).commit(self.zones, self.run or "manual", batch_id)
+            self.zones.unpersist()
+            self.zones = None
+
     def write_dead_letters(self, messages: DataFrame, batch_id: int, error: str) -> dict:
         """The messages of a batch that could not be written, with the reason."""
         folder = f"{self.batch_folder(self.lake.dead_letters(self.route), batch_id)}/reason=write"
