@@ -87,7 +87,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, at = _located(spark, path)
+    return files.exists(at)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders in a folder; none if it is not there."""
+    files, at = _located(spark, path)
+    return [s.getPath().toString() for s in files.listStatus(at) if s.isDirectory()] if files.exists(at) else []
+
+
 def remove_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder that nothing is computed from any more, in whatever file system it lies; whether it was there."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    files, at = _located(spark, path)
+    return files.delete(at, True)

@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators.checkpoints import ControlKey
+from tidemark.session import folder_exists
 
 
 @dataclass(frozen=True)
@@ -68,19 +68,13 @@ def route_folder(table: str, route: Route) -> str:
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark keeps in a checkpoint: the same after every restart on it. Without a checkpoint, ``manual``."""
-    try:
-        return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return "manual"
-        raise
+    if not folder_exists(spark, f"{checkpoint}/metadata"):
+        return "manual"
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """All folders of a table, whether their batches are committed or not (see ``Manifest``); empty before the first one is written."""
-    try:
-        return spark.read.schema(schema).parquet(folder).select(*schema.names)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+    if not folder_exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder).select(*schema.names)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators.joins import lookup_join
-from tidemark.session import remove_folder
+from tidemark.session import remove_folder, subfolders
 from tidemark.streaming.lake import Lake, Route, read_table, route_folder
 
 TARGET, CONTROL = "target", "control"
@@ -140,9 +140,5 @@ class Manifest:
 
     def _below(self, folder: str) -> list[tuple[str, str]]:
         """Values and paths of the folders in a folder that are named ``key=value``."""
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(at):
-            return []
-        found = [s.getPath() for s in files.listStatus(at) if s.isDirectory()]
-        return [(p.getName().split("=", 1)[1], p.toString()) for p in found if "=" in p.getName()]
+        named = [(path.rsplit("/", 1)[-1], path) for path in subfolders(self.spark, folder)]
+        return [(name.split("=", 1)[1], path) for name, path in named if "=" in name]
