@@ -153,3 +153,72 @@ def merkle(docs):
                 node = sha(left + node + right)
             out.append((row[0], leaf(row), subroot, root, sha("".join(a + b for a, b in path + top)), node, node == root))
     return sorted(out, key=str)
+
+
+class Tokenizers:
+    """Both tokenizers over whole texts, and the bytes of their ids."""
+
+    def __init__(self, json_a, model_b):
+        import sentencepiece
+        from tokenizers import Tokenizer
+
+        self.a, self.b = Tokenizer.from_file(json_a), sentencepiece.SentencePieceProcessor(model_file=model_b)
+        self.a.encode_special_tokens = True
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in own]
+        back = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+        self.bytes_a = {i: bytes(back[c] for c in t) for t, i in self.a.get_vocab().items() if all(c in back for c in t)}
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)]
+
+    def encode(self, text):
+        """Ids of A and of B, or none if they do not give the text back."""
+        if not text:
+            return [], []
+        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        whole = (" " + text).encode()
+        if b"".join(self.bytes_a[i] for i in a) != whole or b"".join(self.bytes_b[i] for i in b) != whole:
+            return [], []
+        return a, b
+
+
+def merged(ends_a, ends_b):
+    """Groups as (from, to, from, to) and links as (i, j), token by token."""
+    i = j = p = q = 0
+    groups, links = [], []
+    while i < len(ends_a):
+        links.append((i, j))
+        end = ends_a[i] - ends_b[j]
+        i, j = i + (end <= 0), j + (end >= 0)
+        if end == 0:
+            groups.append((p, i, q, j))
+            p, q = i, j
+    return groups, links
+
+
+def alignment(docs, tokenizers):
+    """``docs`` of (id, text): rows of the alignment's contract."""
+    found, counts = [], Counter()
+    for key, text in docs:
+        a, b = tokenizers.encode(text)
+        ends = [_ends(table, ids) for table, ids in ((tokenizers.bytes_a, a), (tokenizers.bytes_b, b))]
+        groups, links = merged(*ends)
+        pairs = [(a[i], b[j]) for i, j in links]
+        counts.update(pairs)
+        shown = ";".join(",".join(map(str, a[p:x])) + "|" + ",".join(map(str, b[q:y])) for p, x, q, y in groups)
+        found.append((key, len(a), len(b), len(groups), pairs, shown))
+    best = {}
+    for (_, b), n in counts.items():
+        best[b] = max(best.get(b, 0), n)
+    return [
+        (key, n_a, n_b, n_groups, len(pairs), sum(counts[p] == best[p[1]] for p in pairs), sum(counts[p] for p in pairs), sha(shown) if n_a else "")
+        for key, n_a, n_b, n_groups, pairs, shown in found
+    ]
+
+
+def _ends(table, ids):
+    out, at = [], 0
+    for i in ids:
+        at += len(table[i])
+        out.append(at)
+    return out
