@@ -21,13 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow import text_pieces
+from tidemark.llm.caps import _groups
 from tidemark.llm.components import components
 from tidemark.llm.shingles import shingle_set, shingles_of, word_hashes
 from tidemark.session import written
 
 LEVELS = 3
-# Counters that estimate how many texts hold a shingle, up to 255. Their size is fixed: 8 MB are broadcast whatever the input is.
+# Counters that estimate how many texts hold a shingle. Their size is fixed: 32 MB are broadcast whatever the input is.
 SKETCH_BITS = 23
+MOST = np.iinfo(np.uint32).max
 SKETCH_PARTS = 64
 # Cost of verifying a candidate, in units of reading one entry of a posting list.
 VERIFY_COST = 50.0
@@ -79,13 +81,13 @@ def _members(docs: DataFrame, size: int) -> DataFrame:
     """
 
     def run(batches):
-        counters = np.zeros(1 << SKETCH_BITS, np.uint8)
+        counters = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             for piece, data, offsets in text_pieces(batch, "text"):
                 sets = _sets(piece, data, offsets, size)
                 for s in sets:
                     cells = _cells(s)  # two shingles of a text in one cell count once
-                    counters[cells] += counters[cells] < 255
+                    counters[cells] += counters[cells] < MOST
                 nodes = pa.array([_node_of(s) if len(s) else None for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("key"), piece.column("row_id"), nodes, pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(piece), pa.int32()), pa.array([_signature(s) for s in sets], pa.binary())],
@@ -106,28 +108,35 @@ def _sketch(members: DataFrame) -> np.ndarray:
     tasks = parts.groupBy("part").count().agg(F.max("count")).first()[0] or 0
 
     def add(frame):
-        total = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.uint8)
+        total = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.uint32)
         for blob in frame["counters"]:
-            more = np.frombuffer(pa.decompress(blob, len(total), "zstd", asbytes=True), np.uint8)
-            total += np.minimum(more, 255 - total)
+            more = np.frombuffer(pa.decompress(blob, total.nbytes, "zstd", asbytes=True), np.uint32)
+            total += np.minimum(more, MOST - total)
         return frame.iloc[:1][["part"]].assign(counters=[pa.compress(total.tobytes(), "zstd", asbytes=True)])
 
     while tasks > 64:
         tasks = -(-tasks // 64)
         parts = parts.withColumn("deal", F.pmod(F.xxhash64("counters"), F.lit(tasks))).groupBy("part", "deal").applyInPandas(add, "part int, counters binary")
-    out = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint8)
-    for row in parts.groupBy("part").applyInPandas(add, "part int, counters binary").collect():  # 8 MB at most
-        out[row["part"]] = np.frombuffer(pa.decompress(row["counters"], out.shape[1], "zstd", asbytes=True), np.uint8)
+    out = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint32)
+    for row in parts.groupBy("part").applyInPandas(add, "part int, counters binary").collect():  # 32 MB at most
+        out[row["part"]] = np.frombuffer(pa.decompress(row["counters"], out[0].nbytes, "zstd", asbytes=True), np.uint32)
     return out.reshape(-1)
 
 
+def _noise(sketch: np.ndarray) -> tuple[float, float]:
+    """What a counter may hold of shingles that nobody asks for, and the least difference that tells.
+
+    However many shingles share a counter, a frequent one stands out of the spread of the others: counters are wide enough not to fill up, and the
+    limit is four times that spread above the middle.
+    """
+    middle, high = np.quantile(sketch, [0.5, 0.84])
+    spread = max(float(high - middle), float(np.sqrt(middle)))
+    return max(2.0, float(middle) + 4 * spread), max(2.0, 4 * spread)
+
+
 def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
     """``token``, ``node``, set size ``n``, the ``level`` from which the token is in the prefix, and the chosen level ``l`` of the node."""
-    floor = max(1.0, float(sketch.mean()))  # what a counter holds of other shingles
-    # Rarity in octaves above the floor: smaller differences are noise.
-    counts = np.arange(256)
-    octaves = np.maximum(0, np.ceil(np.log2(np.maximum(counts, 1) / (2 * floor)))).astype(np.uint8)
-    above = np.maximum(0, counts - 2 * floor).astype(np.float32)
+    noise, unit = _noise(sketch)
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches):
@@ -141,9 +150,10 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
                         continue
                     first = n - needed(n, percent) + 1
                     top = min(LEVELS, needed(n, percent))
-                    counted = counters[_cells(s)]
-                    order = np.lexsort((s, octaves[counted]))[: first + top - 1]
-                    reading = np.cumsum(above[counted[order]])[first - 1 :]
+                    above = np.maximum(0, counters[_cells(s)] - noise)
+                    # Rarity in octaves above the noise: smaller differences mean nothing.
+                    order = np.lexsort((s, np.ceil(np.log2(1 + above / unit))))[: first + top - 1]
+                    reading = np.cumsum(above[order])[first - 1 :]
                     # Each further match asked for leaves about a quarter of the candidates.
                     cost = reading * (1 + VERIFY_COST * 0.25 ** np.arange(top))
                     level = int(np.argmin(cost)) + 1
@@ -165,10 +175,8 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("signature_a", "signature_b"))
-            most = np.minimum(x, y).sum(1, dtype=np.int64)
             total = np.asarray(batch.column("n_a")) + np.asarray(batch.column("n_b"))
-            open_ended = (x == FULL).any(1) | (y == FULL).any(1)
-            yield batch.select(["a", "b"]).filter(pa.array((100 * most >= percent * (total - most)) | open_ended))
+            yield batch.select(["a", "b"]).filter(pa.array(_may_link(x, y, total, percent)))
 
     left, right = (nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("signature").alias(f"signature_{c}")) for c in "ab")
     return pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(run, "a bigint, b bigint")
@@ -199,9 +207,8 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return written(passed.join(wanted, "row_id").select("node", "text").distinct(), "texts")
 
 
-def _verified(candidates: DataFrame, rows: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose texts are similar enough, by their whole shingle sets."""
-    pairs = written(_likely(candidates, nodes, percent), "likely-pairs")
+def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of nodes, from a written table, whose texts are similar enough, by their whole shingle sets."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     texts = _texts(rows, nodes.select("row_id", "node").join(ends, "node"))
 
@@ -259,7 +266,7 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", siz
     nodes = written(people.select("row_id", "n", "signature").join(speakers, "row_id").distinct(), "nodes")
 
     links, open_lists = _pivot_links(lists, rows, nodes, size, percent)
-    pairs = written(_open_pairs(open_lists, percent), "pairs")
+    pairs = written(_open_pairs(open_lists, nodes, percent), "pairs")
     late = _verified(pairs, rows, nodes, size, percent)
     groups = components(links.unionByName(late) if links is not None else late)
 
@@ -287,7 +294,7 @@ def _pivot_links(lists: DataFrame, rows: DataFrame, nodes: DataFrame, size: int,
         pairs = pairs.where("root <> a") if links is None else pairs.join(groups.toDF("a", "root_a"), "a", "left").where(F.col("root") != F.coalesce("root_a", "a"))
         pairs = pairs.select("a", F.col("node").alias("b")).distinct()
         pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pivot-pairs")
-        found = _verified(pairs, rows, nodes, size, percent)
+        found = _verified(written(_likely(pairs, nodes, percent), "likely-pairs"), rows, nodes, size, percent)
         fresh = not found.isEmpty()
         if fresh:
             links = found if links is None else links.unionByName(found)
@@ -305,17 +312,54 @@ def _pivot_links(lists: DataFrame, rows: DataFrame, nodes: DataFrame, size: int,
             return links, open_lists
 
 
-def _open_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes in different components that share enough of their prefixes, each once."""
-    others = lists.where("root <> main").select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "level", "l", "root")])
-    every = lists.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "level", "l", "root")])
-    asked = F.least("l_a", "l_b")
-    met = others.join(every, "token").where(
-        (F.col("root_a") != F.col("root_b"))
-        & ((F.col("root_b") == F.col("main")) | (F.col("node_a") < F.col("node_b")))
-        & _near_in_size("n_a", "n_b", percent)
-        & (F.col("level_a") <= asked)
-        & (F.col("level_b") <= asked)
-    )
-    counted = met.groupBy(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).agg(F.count("*").alias("shared"), F.first(asked).alias("asked"))
-    return counted.where("shared >= asked").select("a", "b")
+# Postings on one side of a rectangle that one task compares at a time.
+SIDE = 512
+
+
+def _open_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes in different components that share enough of their prefixes and may be similar enough by their signatures, each once.
+
+    A list is cut into rectangles of bounded side, of its nodes outside the main component against all its nodes, and pairs are
+    compared there: only those that the signatures cannot refute become rows.
+    """
+    sized = lists.groupBy("token").agg(F.ceil(F.sum((F.col("root") != F.col("main")).cast("int")) / SIDE).cast("int").alias("ups"), F.ceil(F.count("*") / SIDE).cast("int").alias("downs"))
+    rows = lists.join(nodes.select("node", "signature"), "node").join(sized, "token").withColumn("hash", F.xxhash64("node", "token"))
+
+    def dealt(of: DataFrame, own: str, other: str, first: bool) -> DataFrame:
+        place = F.pmod("hash", F.col(f"{own}s")).cast("int").alias(own)
+        return of.select("token", place, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other), F.lit(first).alias("first"), "node", "n", "level", "l", "root", "main", "signature")
+
+    both = dealt(rows.where("root <> main"), "up", "down", True).unionByName(dealt(rows, "down", "up", False))
+
+    def compare(batches):
+        for group in _groups(batches, ["token", "up", "down"]):
+            first = np.asarray(group.column("first"))
+            left, right = (_side(group.filter(pa.array(side))) for side in (first, ~first))
+            for begin in range(0, len(left["node"]), 64):
+                some = {name: column[begin : begin + 64, None] for name, column in left.items() if name != "signature"}
+                asked = np.minimum(some["l"], right["l"])
+                apart = (some["root"] != right["root"]) & ((right["root"] == right["main"]) | (some["node"] < right["node"]))
+                apart &= (some["level"] <= asked) & (right["level"] <= asked)
+                apart &= np.minimum(some["n"], right["n"]) * 100 >= np.maximum(some["n"], right["n"]) * percent
+                x, y = np.nonzero(apart)
+                for at in range(0, len(x), 1 << 14):  # 8 MB of signatures at a time
+                    i, j = x[at : at + (1 << 14)] + begin, y[at : at + (1 << 14)]
+                    kept = _may_link(left["signature"][i], right["signature"][j], left["n"][i] + right["n"][j], percent)
+                    i, j = i[kept], j[kept]
+                    a, b = left["node"][i], right["node"][j]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.minimum(left["l"][i], right["l"][j]), pa.int8())], ["a", "b", "asked"])
+
+    met = both.repartition("token", "up", "down").sortWithinPartitions("token", "up", "down").mapInArrow(compare, "a bigint, b bigint, asked byte")
+    return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where("shared >= asked").select("a", "b")
+
+
+def _side(rows: pa.Table) -> dict[str, np.ndarray]:
+    out = {name: np.asarray(rows.column(name)).astype(np.int64) for name in ("node", "n", "level", "l", "root", "main")}
+    out["signature"] = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+    return out
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets with these signatures, of ``total`` shingles together, may be similar enough. A full bucket says nothing."""
+    most = np.minimum(x, y).sum(1, dtype=np.int64)
+    return (100 * most >= percent * (total - most)) | (x == FULL).any(1) | (y == FULL).any(1)
