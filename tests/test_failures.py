@@ -79,3 +79,87 @@ def test_hot_signature_beyond_the_broadcast_bound(spark, monkeypatch):
 )
 def test_error_kind(spark, message, kind):
     assert spark.createDataFrame([(message,)], "m string").select(T.error_kind(F.col("m"))).first()[0] == kind
+
+
+@pytest.mark.parametrize(
+    "pattern, literals",
+    [
+        ("timed out|timeout", ["timed out", "timeout"]),
+        (r"\b503\b|service unavailable", ["503", "service unavailable"]),
+        (r"pool exhaust(ed|ion)", ["pool exhaust"]),
+        (r"erro?r code", ["r code"]),
+        (r"ab+c deadlock", ["c deadlock"]),
+        (r"x{2,3}quota", ["quota"]),
+        (r"key: \"k\" = 7\}$", ['key: "k" = 7}']),
+        (r"[abc]+locked", ["locked"]),
+        (r"(timeout)", None),
+        (r"timeout|\d+", None),
+        (r"(?i)timeout", None),
+        (r"a.b.c", None),
+        ("", None),
+        (r"abc\Qd|e\E", None),
+        (r"time[out", None),
+    ],
+)
+def test_required_literals(pattern, literals):
+    assert T.required_literals(pattern) == literals
+
+
+def test_a_match_always_holds_a_required_literal():
+    """Every built-in rule, and patterns made of pieces, on texts made of their letters."""
+    import random
+    import re
+
+    draw = random.Random(2)
+    pieces = ["lock", "ed", "time", "out", "a?", "b*", "c+", "d{0,2}", "(x|y)", "[pq]", ".", r"\d", r"\.", "|", "quota"]
+    words = ["lock", "ed", "time", "out", "a", "b", "c", "d", "x", "p", "1", ".", "quota", " "]
+    patterns = [r.pattern for r in T.RULES] + ["".join(draw.choices(pieces, k=draw.randrange(1, 6))) for _ in range(400)]
+    matched = 0
+    for pattern in patterns:
+        literals = T.required_literals(pattern)
+        if literals is None:
+            continue
+        for _ in range(60):
+            text = "".join(draw.choices(words, k=draw.randrange(1, 8)))
+            if re.search(pattern, text):
+                matched += 1
+                assert any(x in text for x in literals), (pattern, text, literals)
+    assert matched > 300
+
+
+RULE_SCHEMA = "priority int, pattern string, should_retry boolean, confidence double, reasoning string"
+
+
+def errors(spark, *messages):
+    return spark.createDataFrame([(i, "E", m) for i, m in enumerate(messages)], SCHEMA)
+
+
+def test_rule_tables_decide_by_priority(spark):
+    rules = [(2, "disk full", False, 0.8, "disk"), (1, "disk (full|slow)", True, 0.7, "second glance"), (1, r"\d\d", True, 0.6, "digits"), (0, None, True, 1.0, "never"), (5, "^e: x", False, 0.4, "x")]
+    table = spark.createDataFrame(rules, RULE_SCHEMA)
+    found = {r.message: (r.should_retry, r.reasoning, r.confidence, r.suggested_wait_seconds) for r in T.classify_failures(errors(spark, "DISK FULL", "disk full 42", "x", "nothing", "x"), rules=table).collect()}
+    assert found["DISK FULL"] == (True, "second glance", 0.7, 2)
+    assert found["disk full 42"] == (True, "digits", 0.6, 2)  # of two rules of one priority, the smaller pattern
+    assert found["x"] == (False, "x", 0.4, 2)
+    assert (found["nothing"][0], found["nothing"][2]) == (False, 0.0)
+
+
+def test_a_table_of_the_built_in_rules_decides_as_they_do(spark):
+    rows = errors(spark, "Connection timed out", "503 Service Unavailable", "401 while connection was open", "404", "Some error", "Quota exceeded", "deadlock", "misconfigured")
+    table = T.rule_table(spark)
+    columns = ["message", "should_retry", "reasoning", "confidence", "suggested_wait_seconds"]
+    one, two = (sorted(map(tuple, T.classify_failures(rows, rules=r).select(*columns).collect())) for r in (None, table))
+    assert one == two
+    assert T.decision_stats(rows, rules=table).first() == T.decision_stats(rows).first()
+
+
+def test_many_rules_meet_few_errors(spark):
+    rules = spark.range(5000).selectExpr("cast(id AS int) AS priority", "concat('code-', id, ' failed') AS pattern", "id % 2 = 0 AS should_retry", "0.5D AS confidence", "concat('rule ', id) AS reasoning")
+    found = {r.message: r.reasoning for r in T.classify_failures(errors(spark, "code-7 failed", "code-77 failed", "code-4999 FAILED!", "code-9"), rules=rules).collect()}
+    assert found == {"code-7 failed": "rule 7", "code-77 failed": "rule 77", "code-4999 FAILED!": "rule 4999", "code-9": "no rule matched; stopping for safety"}
+
+
+def test_no_errors_and_no_rules(spark):
+    table = T.rule_table(spark, [])
+    assert T.classify_failures(errors(spark, "a").limit(0), rules=T.rule_table(spark)).count() == 0
+    assert T.classify_failures(errors(spark, "timeout"), rules=table).first().confidence == 0.0

@@ -1,15 +1,28 @@
-"""Failure triage: what kind of error, and is it worth another attempt."""
+"""Failure triage: what kind of error, and is it worth another attempt.
+
+Rules are a short list, tried one after the other in one expression, or a table of any size (``priority, pattern, should_retry, confidence,
+reasoning``). A table is not tried rule by rule: from each pattern, literals are read of which a match must hold one; the rarest
+three characters of each meet the errors' in a join, and only what meets is matched.
+"""
 
 from __future__ import annotations
 
 import re
+import sys
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.text import error_signature
 from tidemark.operators.joins import lookup_join
+from tidemark.session import written
+
+# The functions of this module travel to the executors by value, so these need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Keywords of authentication failures and of missing permissions.
 CREDENTIAL_KEYWORDS = [
@@ -69,6 +82,8 @@ RULES = [
     Rule(r"transient", True, "transient database error"),
 ]
 
+# Seconds to wait where a rule table does not say.
+DEFAULT_WAIT = 2
 # In doubt, stop.
 UNKNOWN = Rule("", False, "no rule matched; stopping for safety", confidence=0.0, suggested_wait_seconds=1)
 
@@ -110,24 +125,123 @@ def _verdict(rule: Rule) -> Column:
     )
 
 
-def signature_decisions(failures: DataFrame, order: str = "ts", rules: list[Rule] | None = None) -> DataFrame:
+# Characters of a literal that are looked up.
+GRAM = 3
+# Rules of a table without a literal are tried on every error; more of them than this are refused.
+MOST_SCANNED = 500
+_TEXT = "_text"
+
+
+def required_literals(pattern: str) -> list[str] | None:
+    """Literals of which every match of a regular expression holds at least one, one for each alternative; None if they cannot be told.
+
+    Reads the pattern from the outside only: groups, classes and anything repeated or optional count as unknown, so a literal is never claimed
+    that a match could lack.
+    """
+    if "(?" in pattern or "\\Q" in pattern:
+        return None
+    alternatives: list[list[str]] = [[""]]
+    depth, i = 0, 0
+    while i < len(pattern):
+        c, plain = pattern[i], None
+        if c == "\\" and i + 1 < len(pattern):
+            plain = pattern[i + 1] if not pattern[i + 1].isalnum() else None
+            i += 1
+        elif c == "[":
+            close = pattern.find("]", i + 2 if pattern[i + 1 : i + 2] != "^" else i + 3)
+            if close < 0 or "[" in pattern[i + 1 : close] or "\\" in pattern[i + 1 : close]:
+                return None
+            i = close
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c in "*?{" and depth == 0:  # what stands before may be missing
+            alternatives[-1][-1] = alternatives[-1][-1][:-1]
+            i = pattern.find("}", i) if c == "{" else i
+            if i < 0:
+                return None
+        elif c == "|" and depth == 0:
+            alternatives.append([""])
+            i += 1
+            continue
+        elif c not in ".^$+|*?{}":
+            plain = c
+        if plain is not None and depth == 0:
+            alternatives[-1][-1] += plain
+        else:
+            alternatives[-1].append("")
+        i += 1
+    longest = [max(runs, key=len) for runs in alternatives]
+    return longest if depth == 0 and all(len(run) >= GRAM for run in longest) else None
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _literals(patterns: pd.Series) -> pd.Series:
+    return patterns.map(required_literals)
+
+
+def _grams(text: Column) -> Column:
+    """The distinct runs of three characters of a text."""
+    count = F.char_length(text) - GRAM + 1
+    places = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(GRAM))))
+
+
+def _by_table(texts: DataFrame, rules: DataFrame) -> DataFrame:
+    """``signature`` and the verdict of the first matching rule of a table for ``texts(signature, _text)``; no row where none matches."""
+    wait = F.col("suggested_wait_seconds") if "suggested_wait_seconds" in rules.columns else F.lit(DEFAULT_WAIT)
+    verdict = F.struct("should_retry", "reasoning", wait.cast("bigint").alias("suggested_wait_seconds"), F.col("confidence").cast("double").alias("confidence"))
+    # Of rules with one priority the smaller pattern comes first.
+    known = written(rules.where("pattern IS NOT NULL").select(F.struct(F.col("priority").cast("bigint").alias("priority"), "pattern").alias("rule"), "pattern", verdict.alias("verdict"), _literals("pattern").alias("literals")), "triage-rules")
+    texts = written(texts, "triage-texts")
+    grams = texts.select("signature", F.explode(_grams(F.col(_TEXT))).alias("gram"))
+    frequent = grams.groupBy("gram").agg(F.count("*").alias("texts"))
+    # A literal whose rarest gram no text holds asks for nothing.
+    asked = known.where("literals IS NOT NULL").select("rule", "pattern", F.explode("literals").alias("literal")).withColumn("gram", F.explode(_grams(F.col("literal"))))
+    rarest = asked.join(frequent, "gram", "left").groupBy("rule", "pattern", "literal").agg(F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "gram")).alias("g")).where("g.texts > 0")
+    wanted = rarest.select(F.col("g.gram").alias("gram"), "rule", "pattern", "literal")
+    met = grams.join(wanted, "gram").join(texts, "signature").where(F.contains(_TEXT, "literal")).select("signature", "rule", "pattern", _TEXT).distinct()
+    hits = met.where(F.expr(f"{_TEXT} rlike pattern")).select("signature", "rule")
+
+    scanned = [r["pattern"] for r in known.where("literals IS NULL").select("pattern").distinct().limit(MOST_SCANNED + 1).collect()]
+    if len(scanned) > MOST_SCANNED:
+        raise ValueError(f"more than {MOST_SCANNED} rules without a literal of {GRAM} characters")
+    if scanned:
+        found = F.array_compact(F.array(*[F.when(F.col(_TEXT).rlike(p), F.lit(p)) for p in scanned]))
+        matched = texts.select("signature", F.explode(found).alias("pattern"))
+        hits = hits.unionByName(matched.join(known.where("literals IS NULL").select("pattern", "rule"), "pattern").select("signature", "rule"))
+    first = hits.groupBy("signature").agg(F.min("rule").alias("rule"))
+    return first.join(known.groupBy("rule").agg(F.first("verdict").alias("_d")), "rule").select("signature", "_d")
+
+
+def signature_decisions(failures: DataFrame, order: str = "ts", rules: list[Rule] | DataFrame | None = None) -> DataFrame:
     """One decision per error signature, made on its first occurrence.
 
     Failures with one signature are merged before the shuffle, so an error repeated a billion
-    times is classified once and moves one row per input partition.
+    times is classified once and moves one row per input partition. Rules given as a table have ``priority``
+    (the smallest match decides), ``pattern``, ``should_retry``, ``confidence``, ``reasoning`` and, if wanted, ``suggested_wait_seconds``; a rule with a
+    NULL pattern never matches.
     """
     signature = error_signature(F.col("error_type"), F.col("message"))
     first = F.min(F.struct(order, "error_type", "message"))
-    return (
-        failures.groupBy(signature.alias("signature"))
-        .agg(first.alias("_first"), F.count("*").alias("occurrences"))
-        .select("signature", "occurrences", decision(F.col("_first.error_type"), F.col("_first.message"), rules).alias("_d"))
-        .select("signature", "occurrences", "_d.*")
-    )
+    known = failures.groupBy(signature.alias("signature")).agg(first.alias("_first"), F.count("*").alias("occurrences"))
+    kind, message = F.col("_first.error_type"), F.col("_first.message")
+    if isinstance(rules, DataFrame):
+        known = written(known, "signatures")
+        found = _by_table(known.select("signature", F.lower(F.concat(kind, F.lit(": "), message)).alias(_TEXT)), rules)
+        decided = known.join(found, "signature", "left").withColumn("_d", F.coalesce("_d", _verdict(UNKNOWN)))
+    else:
+        decided = known.withColumn("_d", decision(kind, message, rules))
+    return decided.select("signature", "occurrences", "_d.*")
+
+
+def rule_table(spark: SparkSession, rules: list[Rule] | None = None, first: int = 0) -> DataFrame:
+    """A list of rules as a table; their order becomes the priority, from ``first`` on."""
+    rows = [(first + i, r.pattern, r.should_retry, r.confidence, r.reasoning, r.suggested_wait_seconds) for i, r in enumerate(RULES if rules is None else rules)]
+    return spark.createDataFrame(rows, "priority bigint, pattern string, should_retry boolean, confidence double, reasoning string, suggested_wait_seconds bigint")
 
 
 def classify_failures(
-    failures: DataFrame, order: str = "ts", rules: list[Rule] | None = None, spread: str | None = None
+    failures: DataFrame, order: str = "ts", rules: list[Rule] | DataFrame | None = None, spread: str | None = None
 ) -> DataFrame:
     """Failures with the decision of their signature and whether it was already known."""
     decisions = signature_decisions(failures, order, rules).drop("occurrences")
@@ -135,7 +249,7 @@ def classify_failures(
     return lookup_join(marked, decisions, ["signature"], "left", spread or order)
 
 
-def decision_stats(failures: DataFrame, order: str = "ts", rules: list[Rule] | None = None) -> DataFrame:
+def decision_stats(failures: DataFrame, order: str = "ts", rules: list[Rule] | DataFrame | None = None) -> DataFrame:
     """Analyses made, decisions reused, verdicts, mean confidence and hit rate."""
     known = signature_decisions(failures, order, rules)
     n = F.sum("occurrences")

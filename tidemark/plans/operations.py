@@ -162,6 +162,31 @@ SELECT event_id, signature, should_retry, reasoning, CAST(suggested_wait_seconds
   confidence FROM signed JOIN decided USING (signature)"""
 
 
+def triage_rules(spark, sf_dir):
+    """Failures judged by a table of one rule for each customer's key, before the built-in ones."""
+    customers = I.table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS priority",
+        """concat('"k": ', c_custkey, '\\\\}$') AS pattern""",
+        "c_custkey % 2 = 1 AS should_retry",
+        "0.5D AS confidence",
+        "concat('customer ', c_custkey) AS reasoning",
+        "c_custkey % 30 AS suggested_wait_seconds",
+    )
+    rules = customers.unionByName(T.rule_table(spark, first=1 << 40))
+    decided = T.classify_failures(I.failures(spark, sf_dir), rules=rules, spread="event_id")
+    return decided.select("event_id", "signature", "should_retry", "reasoning", "suggested_wait_seconds", "confidence")
+
+
+TRIAGE_RULES = f"""WITH {I.DECISIONS},
+first AS (SELECT signature, arg_min(message, (ts, message)) AS message FROM signed GROUP BY signature),
+judged AS (
+  SELECT d.signature, c_custkey, coalesce(c_custkey % 2 = 1, d.should_retry) AS should_retry, coalesce(concat('customer ', c_custkey), reasoning) AS reasoning,
+    CAST(coalesce(c_custkey % 30, suggested_wait_seconds) AS BIGINT) AS suggested_wait_seconds,
+    CASE WHEN c_custkey IS NULL THEN confidence ELSE 0.5::DOUBLE END AS confidence
+  FROM decided d JOIN first USING (signature) LEFT JOIN customer ON c_custkey = TRY_CAST(regexp_extract(message, '"k": (\\d+)\\}}$', 1) AS BIGINT))
+SELECT event_id, signature, should_retry, reasoning, suggested_wait_seconds, confidence FROM signed JOIN judged USING (signature)"""
+
+
 def decision_stats(spark, sf_dir):
     """A12"""
     return T.decision_stats(I.failures(spark, sf_dir))
@@ -189,5 +214,6 @@ QUERIES = {
     "latency_percentiles": (latency_percentiles, LATENCY_PERCENTILES),
     "error_triage": (error_triage, ERROR_TRIAGE),
     "failure_decisions": (failure_decisions, FAILURE_DECISIONS),
+    "triage_rules": (triage_rules, TRIAGE_RULES),
     "decision_stats": (decision_stats, DECISION_STATS),
 }

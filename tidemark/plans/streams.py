@@ -18,6 +18,7 @@ from tidemark.sources.streams import file_stream
 from tidemark.streaming.cutting import BatchCutter
 from tidemark.streaming.fanout import FanOut, start_fan_out
 from tidemark.streaming.manifest import Manifest
+from tidemark.streaming.retry import triaged_retry
 from tidemark.streaming.runner import Deduplicated, drain, start_route, wait_all
 from tidemark.streaming.sink import Lake, Route, RouteSink, read_control, read_landed, read_table
 from tidemark.streaming.ticker import closed_batches
@@ -196,6 +197,45 @@ SELECT m.event_type, m.event_id,
 FROM numbered m LEFT JOIN chain c ON c.event_type = m.event_type AND c.closing = m.n"""
 
 
+class _Flaky:
+    """Processor (G1) that fails on the first try of every batch, and on every try of the batch it cannot take."""
+
+    def __init__(self, write, dead_batch):
+        self.write, self.dead_batch, self.tried = write, dead_batch, set()
+
+    def __call__(self, rows, batch_id):
+        if batch_id == self.dead_batch:
+            raise ValueError("schema mismatch")
+        if batch_id not in self.tried:
+            self.tried.add(batch_id)
+            raise TimeoutError("timed out")
+        self.write(rows, batch_id)
+
+
+def guarded_sink(spark, sf_dir):
+    """Batches whose first write times out are tried again; one with a fatal error is not, and goes to the dead letters. Messages, tries and errors by how their batch ended."""
+    folder = shared_folder(spark, "guarded")
+    route = Route("SOURCE_G", "TARGET_G", "ns0", "guarded", "$Default", "lake", "ingest")
+    lake = Lake(f"{folder}/lake")
+    stream = _messages(_replayed(spark, sf_dir, folder, files=4))
+    sink = RouteSink(route, lake, retry=triaged_retry(3, sleep=lambda seconds: None), on_failure="dead_letter")
+    sink.processor = _Flaky(sink.write_target, dead_batch=2)
+    wait_all([start_route(stream, sink)])
+    landed = read_landed(spark, lake, route).select(F.lit(True).alias("success"), "event_body", "sequence_number")
+    letters = spark.read.parquet(lake.dead_letters(route)).select(F.lit(False).alias("success"), F.col("body").alias("event_body"), "sequence_number")
+    audit = read_table(spark, lake.audit, schemas.BATCH_AUDIT).groupBy("success").agg(F.count("*").alias("batches"), F.max("attempts").alias("attempts"), F.max("error").alias("error"))
+    noted = read_table(spark, lake.failures, schemas.FAILURES).withColumn("success", F.col("error_type") == "TimeoutError").groupBy("success").agg(F.count("*").alias("failures"))
+    return landed.unionByName(letters).join(F.broadcast(audit), "success").join(F.broadcast(noted), "success")
+
+
+GUARDED_SINK = """
+WITH bounds AS (SELECT min(event_id) AS low, max(event_id) AS high FROM events),
+placed AS (SELECT *, floor((event_id - low) * 4 / (high - low + 1)::DOUBLE) <> 2 AS success FROM events, bounds)
+SELECT success, concat(event_type, ' ', props) AS event_body, event_id AS sequence_number, CASE WHEN success THEN 3 ELSE 1 END::BIGINT AS batches,
+  CASE WHEN success THEN 2 ELSE 1 END AS attempts, CASE WHEN success THEN NULL ELSE 'schema mismatch' END AS error,
+  CASE WHEN success THEN 3 ELSE 1 END::BIGINT AS failures FROM placed"""
+
+
 def stream_partitions(spark, sf_dir):
     """A partitioned source read by offsets, at most a quarter of it in a micro-batch, stopped and restarted after three partitions have grown and a fourth has appeared."""
     folder = shared_folder(spark, "partitions")
@@ -327,6 +367,7 @@ SELECT concat(event_type, ' ', props) AS body, CAST(user_id % 4 AS VARCHAR) AS p
 QUERIES = {
     "stream_batches": (stream_batches, STREAM_BATCHES),
     "fan_out_replay": (fan_out_replay, FAN_OUT_REPLAY),
+    "guarded_sink": (guarded_sink, GUARDED_SINK),
     "landed_resume": (landed_resume, LANDED_RESUME),
     "stream_partitions": (stream_partitions, STREAM_PARTITIONS),
     "stream_ticker": (stream_ticker, STREAM_TICKER),
