@@ -267,7 +267,7 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", siz
 
     links, open_lists = _pivot_links(lists, rows, nodes, size, percent)
     pairs = written(_open_pairs(open_lists, nodes, percent), "pairs")
-    late = _verified(pairs, rows, nodes, size, percent)
+    late = _verified(written(_likely(pairs, nodes, percent), "likely-pairs"), rows, nodes, size, percent)
     groups = components(links.unionByName(late) if links is not None else late)
 
     speaks = F.struct(F.col("key").isNull(), "key", "row_id")
@@ -314,20 +314,57 @@ def _pivot_links(lists: DataFrame, rows: DataFrame, nodes: DataFrame, size: int,
 
 # Postings on one side of a rectangle that one task compares at a time.
 SIDE = 512
+# A list with at most this many nodes outside its main component is joined as it is: its pairs are so many times its postings at most.
+FEW = 16
+# What a signature is cut to for the rectangles: four bits a bucket.
+NIBBLE = 15
+
+
+def _brief(nodes: DataFrame) -> DataFrame:
+    """``node`` and its signature, each bucket in four bits."""
+
+    def run(batches):
+        for batch in batches:
+            counts = np.minimum(np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, BUCKETS), NIBBLE).astype(np.uint8)
+            packed = counts[:, 0::2] | counts[:, 1::2] << 4
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([p.tobytes() for p in packed], pa.binary())], ["node", "brief"])
+
+    return nodes.select("node", "signature").mapInArrow(run, "node bigint, brief binary")
 
 
 def _open_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes in different components that share enough of their prefixes and may be similar enough by their signatures, each once.
+    """Pairs of nodes in different components that share enough of their prefixes and may be similar enough, each once.
 
-    A list is cut into rectangles of bounded side, of its nodes outside the main component against all its nodes, and pairs are
-    compared there: only those that the signatures cannot refute become rows.
+    Lists with few nodes outside the main component are joined as they are. A longer one is cut into rectangles of bounded side, of these nodes
+    against all, and its pairs are compared there: only those that the signatures cannot refute become rows.
     """
-    sized = lists.groupBy("token").agg(F.ceil(F.sum((F.col("root") != F.col("main")).cast("int")) / SIDE).cast("int").alias("ups"), F.ceil(F.count("*") / SIDE).cast("int").alias("downs"))
-    rows = lists.join(nodes.select("node", "signature"), "node").join(sized, "token").withColumn("hash", F.xxhash64("node", "token"))
+    others = F.sum((F.col("root") != F.col("main")).cast("int"))
+    sized = lists.join(lists.groupBy("token").agg(others.alias("others"), F.count("*").alias("all")), "token")
+    met = _joined(sized.where(F.col("others") <= FEW), percent).unionByName(_compared(sized.where(F.col("others") > FEW), nodes, percent))
+    return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where("shared >= asked").select("a", "b")
+
+
+def _joined(lists: DataFrame, percent: int) -> DataFrame:
+    others = lists.where("root <> main").select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "level", "l", "root")])
+    every = lists.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "level", "l", "root")])
+    asked = F.least("l_a", "l_b")
+    met = others.join(every, "token").where(
+        (F.col("root_a") != F.col("root_b"))
+        & ((F.col("root_b") == F.col("main")) | (F.col("node_a") < F.col("node_b")))
+        & _near_in_size("n_a", "n_b", percent)
+        & (F.col("level_a") <= asked)
+        & (F.col("level_b") <= asked)
+    )
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"), asked.alias("asked"))
+
+
+def _compared(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    rows = lists.join(_brief(nodes), "node").withColumn("hash", F.xxhash64("node", "token"))
+    rows = rows.withColumns({"ups": F.ceil(F.col("others") / SIDE).cast("int"), "downs": F.ceil(F.col("all") / SIDE).cast("int")})
 
     def dealt(of: DataFrame, own: str, other: str, first: bool) -> DataFrame:
         place = F.pmod("hash", F.col(f"{own}s")).cast("int").alias(own)
-        return of.select("token", place, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other), F.lit(first).alias("first"), "node", "n", "level", "l", "root", "main", "signature")
+        return of.select("token", place, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other), F.lit(first).alias("first"), "node", "n", "level", "l", "root", "main", "brief")
 
     both = dealt(rows.where("root <> main"), "up", "down", True).unionByName(dealt(rows, "down", "up", False))
 
@@ -336,26 +373,28 @@ def _open_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             first = np.asarray(group.column("first"))
             left, right = (_side(group.filter(pa.array(side))) for side in (first, ~first))
             for begin in range(0, len(left["node"]), 64):
-                some = {name: column[begin : begin + 64, None] for name, column in left.items() if name != "signature"}
+                some = {name: column[begin : begin + 64, None] for name, column in left.items() if name != "brief"}
                 asked = np.minimum(some["l"], right["l"])
                 apart = (some["root"] != right["root"]) & ((right["root"] == right["main"]) | (some["node"] < right["node"]))
                 apart &= (some["level"] <= asked) & (right["level"] <= asked)
                 apart &= np.minimum(some["n"], right["n"]) * 100 >= np.maximum(some["n"], right["n"]) * percent
                 x, y = np.nonzero(apart)
-                for at in range(0, len(x), 1 << 14):  # 8 MB of signatures at a time
+                for at in range(0, len(x), 1 << 14):  # 8 MB of buckets at a time
                     i, j = x[at : at + (1 << 14)] + begin, y[at : at + (1 << 14)]
-                    kept = _may_link(left["signature"][i], right["signature"][j], left["n"][i] + right["n"][j], percent)
+                    gone = left["brief"][i] - right["brief"][j]  # counts of one that the other lacks, at least
+                    most = np.minimum(left["n"][i] - np.maximum(gone, 0).sum(1, dtype=np.int64), right["n"][j] + np.minimum(gone, 0).sum(1, dtype=np.int64))
+                    kept = 100 * most >= percent * (left["n"][i] + right["n"][j] - most)
                     i, j = i[kept], j[kept]
                     a, b = left["node"][i], right["node"][j]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.minimum(left["l"][i], right["l"][j]), pa.int8())], ["a", "b", "asked"])
 
-    met = both.repartition("token", "up", "down").sortWithinPartitions("token", "up", "down").mapInArrow(compare, "a bigint, b bigint, asked byte")
-    return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where("shared >= asked").select("a", "b")
+    return both.repartition("token", "up", "down").sortWithinPartitions("token", "up", "down").mapInArrow(compare, "a bigint, b bigint, asked byte")
 
 
 def _side(rows: pa.Table) -> dict[str, np.ndarray]:
     out = {name: np.asarray(rows.column(name)).astype(np.int64) for name in ("node", "n", "level", "l", "root", "main")}
-    out["signature"] = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+    packed = np.frombuffer(b"".join(rows.column("brief").to_pylist()), np.uint8).reshape(-1, BUCKETS // 2)
+    out["brief"] = np.stack([packed & NIBBLE, packed >> 4], 2).reshape(-1, BUCKETS).astype(np.int8)
     return out
 
 
