@@ -369,6 +369,30 @@ def test_stream_deduplication_survives_a_crash_and_a_new_checkpoint(spark, tmp_p
     assert _landed(spark, tmp_path) == list(range(8))
 
 
+def test_stream_deduplication_reads_the_keys_of_batches_it_meets_only(spark, tmp_path, at):
+    shape = "partition_id string, sequence_number bigint, enqueued_time timestamp_ntz"
+    sink = Deduplicated(str(tmp_path / "keys"), str(tmp_path / "none"), lambda rows, batch_id: None, "enqueued_time", "1 hour")
+    met = []
+    inner = sink.met
+    sink.met = lambda *args: met.append([f.rsplit("=", 1)[-1] for f in inner(*args)]) or inner(*args)
+    batches = [
+        [("0", i, at(i)) for i in range(10)],
+        [("0", i, at(i)) for i in range(10, 20)],  # in order: nothing to look up
+        [("1", 5, at(5)), ("0", 25, at(25))],  # the same number in another partition
+        [("0", 15, at(15)), ("0", 30, at(30))],  # a copy, between batches 1 and 2
+        [("0", 12, at(90_000))],  # the same number a day later is a message of its own
+        [("0", None, at(12))],
+    ]
+    fresh = []
+    sink.land = lambda rows, batch_id: fresh.append(sorted(-1 if r["sequence_number"] is None else r["sequence_number"] for r in rows.collect()))
+    for k, rows in enumerate(batches):
+        sink(spark.createDataFrame(rows, shape), k)
+    assert met == [[], [], [], ["1", "2"], [], []]
+    assert fresh == [list(range(10)), list(range(10, 20)), [5, 25], [30], [12], [-1]]
+    sink(spark.createDataFrame(batches[3], shape), 3)  # a replay does not take its own keys for others'
+    assert fresh[-1] == [30]
+
+
 def test_waits_grow_and_are_bounded():
     policy = RetryPolicy()
     assert [policy.wait_after(n) for n in (1, 2, 3, 4, 5)] == [1, 2, 4, 8, 10]
