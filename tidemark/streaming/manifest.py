@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators.joins import lookup_join
-from tidemark.session import remove_folder, subfolders
+from tidemark.session import folder_exists, remove_folder, subfolders
 from tidemark.streaming.lake import Lake, Route, read_table, route_folder
 
 TARGET, CONTROL = "target", "control"
@@ -48,7 +48,10 @@ class Manifest:
         zones.select(*ZONE).coalesce(1).write.mode("overwrite").parquet(f"{self.log}/run={run}/batch_id={batch_id}")
 
     def is_committed(self, run: str, batch_id: int) -> bool:
-        return not self.logged().filter((F.col("run") == run) & (F.col("batch_id") == batch_id)).isEmpty() or not self.merged().filter((F.col("run") == run) & (F.col("upto") >= batch_id)).isEmpty()
+        """Whether a batch is in the log, whole, or merged."""
+        if folder_exists(self.spark, f"{self.log}/run={run}/batch_id={batch_id}/_SUCCESS"):
+            return True
+        return folder_exists(self.spark, self.generations) and not self.merged().filter((F.col("run") == run) & (F.col("upto") >= batch_id)).isEmpty()
 
     def generation(self) -> DataFrame:
         """Rows of the last generation; none before the first."""
