@@ -318,6 +318,8 @@ SIDE = 512
 FEW = 16
 # What a signature is cut to for the rectangles: four bits a bucket.
 NIBBLE = 15
+# Tokens of a node, the smallest of those in long lists, by which a pair that meets in many rectangles becomes a row in one of them.
+FIRST = 16
 
 
 def _brief(nodes: DataFrame) -> DataFrame:
@@ -336,12 +338,13 @@ def _open_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes in different components that share enough of their prefixes and may be similar enough, each once.
 
     Lists with few nodes outside the main component are joined as they are. A longer one is cut into rectangles of bounded side, of these nodes
-    against all, and its pairs are compared there: only those that the signatures cannot refute become rows.
+    against all, and its pairs are compared there: only those that the signatures cannot refute become rows, most of them once however many lists
+    they share.
     """
     others = F.sum((F.col("root") != F.col("main")).cast("int"))
     sized = lists.join(lists.groupBy("token").agg(others.alias("others"), F.count("*").alias("all")), "token")
     met = _joined(sized.where(F.col("others") <= FEW), percent).unionByName(_compared(sized.where(F.col("others") > FEW), nodes, percent))
-    return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where("shared >= asked").select("a", "b")
+    return met.groupBy("a", "b").agg(F.sum("met").alias("shared"), F.first("asked").alias("asked")).where("shared >= asked").select("a", "b")
 
 
 def _joined(lists: DataFrame, percent: int) -> DataFrame:
@@ -355,25 +358,43 @@ def _joined(lists: DataFrame, percent: int) -> DataFrame:
         & (F.col("level_a") <= asked)
         & (F.col("level_b") <= asked)
     )
-    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"), asked.alias("asked"))
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"), asked.alias("asked"), F.lit(1).alias("met"))
+
+
+def _firsts(lists: DataFrame) -> DataFrame:
+    """``node`` and its ``FIRST`` smallest tokens that count whatever level a partner asks for, as 64-bit numbers behind each other."""
+
+    def run(batches):
+        for batch in batches:
+            firsts = [np.array(tokens, np.int64).tobytes() for tokens in batch.column("firsts").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(firsts, pa.binary())], ["node", "firsts"])
+
+    # No more than a text's own prefix is collected.
+    own = lists.where("level = 1").groupBy("node").agg(F.slice(F.array_sort(F.collect_list("token")), 1, FIRST).alias("firsts"))
+    return own.mapInArrow(run, "node bigint, firsts binary")
 
 
 def _compared(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    rows = lists.join(_brief(nodes), "node").withColumn("hash", F.xxhash64("node", "token"))
+    """Pairs ``a, b`` and how many shared tokens a row stands for, ``met``, of the ``asked`` ones.
+
+    Two nodes that have at least as many of their first tokens in common as they are asked for become a row in the list of the smallest of
+    these only, which stands for all of them. Others become a row in every list they share.
+    """
+    rows = lists.join(_brief(nodes), "node").join(_firsts(lists), "node", "left").withColumn("hash", F.xxhash64("node", "token"))
     rows = rows.withColumns({"ups": F.ceil(F.col("others") / SIDE).cast("int"), "downs": F.ceil(F.col("all") / SIDE).cast("int")})
 
     def dealt(of: DataFrame, own: str, other: str, first: bool) -> DataFrame:
         place = F.pmod("hash", F.col(f"{own}s")).cast("int").alias(own)
-        return of.select("token", place, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other), F.lit(first).alias("first"), "node", "n", "level", "l", "root", "main", "brief")
+        return of.select("token", place, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other), F.lit(first).alias("first"), "node", "n", "level", "l", "root", "main", "brief", "firsts")
 
     both = dealt(rows.where("root <> main"), "up", "down", True).unionByName(dealt(rows, "down", "up", False))
 
     def compare(batches):
         for group in _groups(batches, ["token", "up", "down"]):
-            first = np.asarray(group.column("first"))
+            token, first = group.column("token")[0].as_py(), np.asarray(group.column("first"))
             left, right = (_side(group.filter(pa.array(side))) for side in (first, ~first))
             for begin in range(0, len(left["node"]), 64):
-                some = {name: column[begin : begin + 64, None] for name, column in left.items() if name != "brief"}
+                some = {name: column[begin : begin + 64, None] for name, column in left.items() if column.ndim == 1}
                 asked = np.minimum(some["l"], right["l"])
                 apart = (some["root"] != right["root"]) & ((right["root"] == right["main"]) | (some["node"] < right["node"]))
                 apart &= (some["level"] <= asked) & (right["level"] <= asked)
@@ -385,16 +406,27 @@ def _compared(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                     most = np.minimum(left["n"][i] - np.maximum(gone, 0).sum(1, dtype=np.int64), right["n"][j] + np.minimum(gone, 0).sum(1, dtype=np.int64))
                     kept = 100 * most >= percent * (left["n"][i] + right["n"][j] - most)
                     i, j = i[kept], j[kept]
+                    least = np.minimum(left["l"][i], right["l"][j])
+                    own = left["firsts"][i]
+                    common = ((own[:, :, None] == right["firsts"][j][:, None, :]) & left["known"][i][:, :, None] & right["known"][j][:, None, :]).any(2)
+                    met = common.sum(1)
+                    here = np.where(common, own, np.iinfo(np.int64).max).min(1) == token
+                    met = np.where(met < least, 1, np.where(here, met, 0))
+                    i, j, least, met = i[met > 0], j[met > 0], least[met > 0], met[met > 0]
                     a, b = left["node"][i], right["node"][j]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.minimum(left["l"][i], right["l"][j]), pa.int8())], ["a", "b", "asked"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(least, pa.int8()), pa.array(met, pa.int32())], ["a", "b", "asked", "met"])
 
-    return both.repartition("token", "up", "down").sortWithinPartitions("token", "up", "down").mapInArrow(compare, "a bigint, b bigint, asked byte")
+    return both.repartition("token", "up", "down").sortWithinPartitions("token", "up", "down").mapInArrow(compare, "a bigint, b bigint, asked byte, met int")
 
 
 def _side(rows: pa.Table) -> dict[str, np.ndarray]:
     out = {name: np.asarray(rows.column(name)).astype(np.int64) for name in ("node", "n", "level", "l", "root", "main")}
     packed = np.frombuffer(b"".join(rows.column("brief").to_pylist()), np.uint8).reshape(-1, BUCKETS // 2)
     out["brief"] = np.stack([packed & NIBBLE, packed >> 4], 2).reshape(-1, BUCKETS).astype(np.int8)
+    firsts = [np.frombuffer(f or b"", np.int64) for f in rows.column("firsts").to_pylist()]
+    out["known"] = np.arange(FIRST) < np.array([len(f) for f in firsts], np.int64)[:, None]
+    out["firsts"] = np.zeros((len(firsts), FIRST), np.int64)
+    out["firsts"][out["known"]] = np.concatenate([np.zeros(0, np.int64), *firsts])
     return out
 
 
