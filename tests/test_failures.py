@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import failures as T
+from tidemark.session import written
 
 SCHEMA = "ts bigint, error_type string, message string"
 
@@ -159,6 +160,26 @@ def test_many_rules_meet_few_errors(spark):
     assert found == {"code-7 failed": "rule 7", "code-77 failed": "rule 77", "code-4999 FAILED!": "rule 4999", "code-9": "no rule matched; stopping for safety"}
 
 
+def test_grams_of_literals_are_merged_without_sorting_them(spark, monkeypatch):
+    """A rule has as many grams as its literals are long: none of them is sorted, nor are they dealt by grams that all rules have."""
+    plans = []
+    monkeypatch.setattr(T, "written", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or written(df, label))
+    rules = spark.range(3000).selectExpr("cast(id AS int) AS priority", "concat('customer ', id, ' is gone') AS pattern", "true AS should_retry", "0.5D AS confidence", "concat('rule ', id) AS reasoning")
+    rows = errors(spark, "customer 12 is gone", "Customer 2999 is gone", "customer 3000 is gone", "gone", "", None)
+    found = T.signature_decisions(rows, rules=rules)
+    assert {r.signature: r.reasoning for r in found.collect() if r.confidence == 0.5} == {"E:customer 12 is gone": "rule 12", "E:Customer 2999 is gone": "rule 2999"}
+    of_literals = [p for p in [*plans, found._jdf.queryExecution().toString()] if "literal#" in p]
+    aggregates = [line for p in of_literals for line in p.splitlines() if "Aggregate(key" in line and "literal#" in line.split("]")[0]]
+    assert aggregates and not any("SortAggregate" in line for line in aggregates)
+
+
+def test_rarest_grams(spark):
+    grams = spark.createDataFrame([(i, g) for i, g in enumerate(["abc", "abc", "abc", "bcd", "bcd", "xyz"])], "signature int, gram string")
+    literals = spark.createDataFrame([("abcd",), ("abcd",), ("abc",), ("abcde",), ("xyz",)], "literal string")
+    name = {r["gram"]: r["name"] for r in grams.select("gram", T._gram_name(F.col("gram")).alias("name")).distinct().collect()}
+    assert {tuple(r) for r in T._rarest(literals, grams).collect()} == {("abcd", name["bcd"]), ("abc", name["abc"]), ("xyz", name["xyz"])}
+
+
 def test_no_errors_and_no_rules(spark):
     table = T.rule_table(spark, [])
     assert T.classify_failures(errors(spark, "a").limit(0), rules=T.rule_table(spark)).count() == 0

@@ -186,6 +186,29 @@ def _grams(text: Column) -> Column:
     return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(GRAM))))
 
 
+# Bits of the number that stands for a gram in the lookup. Grams that share one only meet more errors, which then do not hold the literal.
+GRAM_BITS = 31
+
+
+def _gram_name(gram: Column) -> Column:
+    return F.xxhash64(gram).bitwiseAND(F.lit((1 << GRAM_BITS) - 1))
+
+
+def _rarest(literals: DataFrame, grams: DataFrame) -> DataFrame:
+    """``literal`` and the name of that of its grams that the fewest texts hold; no row where no text holds one of them.
+
+    The grams of a literal are merged as they are read: count and name are one number, whose minimum needs neither a sort nor a row for each
+    gram in a shuffle. The rules of a table may have most of their grams in common, so the counts are brought to them by ``lookup_join``.
+    """
+    frequent = grams.groupBy("gram").agg(F.count("*").alias("texts"))
+    sought = literals.select("literal", F.explode(_grams(F.col("literal"))).alias("gram"))
+    counted = lookup_join(sought, frequent, ["gram"], "left", "literal")
+    texts = F.coalesce("texts", F.lit(0)).cast("bigint")
+    best = counted.groupBy("literal").agg(F.min(F.shiftleft(texts, GRAM_BITS).bitwiseOR(_gram_name(F.col("gram")))).alias("best"))
+    # A literal whose rarest gram no text holds asks for nothing.
+    return best.where(F.shiftright("best", GRAM_BITS) > 0).select("literal", F.col("best").bitwiseAND(F.lit((1 << GRAM_BITS) - 1)).alias("gram"))
+
+
 def _by_table(texts: DataFrame, rules: DataFrame) -> DataFrame:
     """``signature`` and the verdict of the first matching rule of a table for ``texts(signature, _text)``; no row where none matches."""
     wait = F.col("suggested_wait_seconds") if "suggested_wait_seconds" in rules.columns else F.lit(DEFAULT_WAIT)
@@ -194,13 +217,10 @@ def _by_table(texts: DataFrame, rules: DataFrame) -> DataFrame:
     known = written(rules.where("pattern IS NOT NULL").select(F.struct(F.col("priority").cast("bigint").alias("priority"), "pattern").alias("rule"), "pattern", verdict.alias("verdict"), _literals("pattern").alias("literals")), "triage-rules")
     texts = written(texts, "triage-texts")
     grams = texts.select("signature", F.explode(_grams(F.col(_TEXT))).alias("gram"))
-    frequent = grams.groupBy("gram").agg(F.count("*").alias("texts"))
-    # A literal whose rarest gram no text holds asks for nothing.
-    asked = known.where("literals IS NOT NULL").select("rule", "pattern", F.explode("literals").alias("literal")).withColumn("gram", F.explode(_grams(F.col("literal"))))
-    rarest = asked.join(frequent, "gram", "left").groupBy("rule", "pattern", "literal").agg(F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "gram")).alias("g")).where("g.texts > 0")
-    wanted = rarest.select(F.col("g.gram").alias("gram"), "rule", "pattern", "literal")
-    met = grams.join(wanted, "gram").join(texts, "signature").where(F.contains(_TEXT, "literal")).select("signature", "rule", "pattern", _TEXT).distinct()
-    hits = met.where(F.expr(f"{_TEXT} rlike pattern")).select("signature", "rule")
+    asked = known.where("literals IS NOT NULL").select("rule", F.explode("literals").alias("literal"))
+    wanted = asked.join(written(_rarest(asked.select("literal"), grams), "triage-grams"), "literal")
+    met = grams.select("signature", _gram_name(F.col("gram")).alias("gram")).join(wanted, "gram").join(texts, "signature").where(F.contains(_TEXT, "literal")).select("signature", "rule", _TEXT).distinct()
+    hits = met.where(F.expr(f"{_TEXT} rlike rule.pattern")).select("signature", "rule")
 
     scanned = [r["pattern"] for r in known.where("literals IS NULL").select("pattern").distinct().limit(MOST_SCANNED + 1).collect()]
     if len(scanned) > MOST_SCANNED:
@@ -209,8 +229,9 @@ def _by_table(texts: DataFrame, rules: DataFrame) -> DataFrame:
         found = F.array_compact(F.array(*[F.when(F.col(_TEXT).rlike(p), F.lit(p)) for p in scanned]))
         matched = texts.select("signature", F.explode(found).alias("pattern"))
         hits = hits.unionByName(matched.join(known.where("literals IS NULL").select("pattern", "rule"), "pattern").select("signature", "rule"))
-    first = hits.groupBy("signature").agg(F.min("rule").alias("rule"))
-    return first.join(known.groupBy("rule").agg(F.first("verdict").alias("_d")), "rule").select("signature", "_d")
+    first = written(hits.groupBy("signature").agg(F.min("rule").alias("rule")), "triage-hits")
+    # Joined before the verdicts of equal rules are merged, so that only those of rules that decide are.
+    return first.join(known.select("rule", "verdict"), "rule").groupBy("signature").agg(F.first("verdict").alias("_d"))
 
 
 def signature_decisions(failures: DataFrame, order: str = "ts", rules: list[Rule] | DataFrame | None = None) -> DataFrame:
