@@ -10,6 +10,7 @@ from tidemark.operators import audit as A
 from tidemark.operators import checkpoints as C
 from tidemark.operators.age_batches import batches_by_size_or_age
 from tidemark.operators.failures import decide
+from tidemark.plans import streams
 from tidemark.sources.streams import file_stream
 from tidemark.streaming.cutting import BatchCutter
 from tidemark.streaming.progress import LatestProgress, recent_progress, statuses
@@ -359,6 +360,19 @@ def test_stream_deduplication_across_batches(spark, tmp_path):
     assert _landed(spark, tmp_path) == list(range(8))
 
 
+def test_deliveries_are_written_by_the_tasks_that_read_them(spark, tmp_path, monkeypatch, at):
+    """A delivery holds a share of all messages: dealt to one task, that task grows with the input."""
+    rows = [(i, at(i), i % 3, ["click", "view"][i % 2], 1.0, '{"k": 1}') for i in range(400)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string").repartition(7).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(streams, "shared_folder", lambda spark, label: str(tmp_path / label))
+    landed = streams.stream_dedup(spark, str(tmp_path))
+    assert sorted(r["sequence_number"] for r in landed.collect()) == list(range(400))
+    delivered = spark.read.parquet(str(tmp_path / "dedup" / "delivered"))
+    assert delivered.count() == sum(5 if i % 3 == 0 else 2 for i in range(400))
+    assert len(list((tmp_path / "dedup" / "delivered").rglob("*.parquet"))) > 5
+    assert len(list((tmp_path / "dedup" / "rows").glob("batch_id=*"))) == 5
+
+
 def test_stream_deduplication_survives_a_crash_and_a_new_checkpoint(spark, tmp_path):
     feed = Feed(spark, tmp_path / "in").add(range(5)).add(range(3, 8))
     with pytest.raises(StreamingQueryException):
