@@ -27,9 +27,15 @@ from tidemark.llm.shingles import shingle_set, shingles_of, word_hashes
 from tidemark.session import written
 
 LEVELS = 3
-# Counters that estimate how many texts hold a shingle. Their size is fixed: 32 MB are broadcast whatever the input is.
+# Counters that estimate how many texts hold a shingle. Their size is fixed: 8 MB of codes are broadcast whatever the input is.
 SKETCH_BITS = 23
 MOST = np.iinfo(np.uint32).max
+# Texts that a task counts in 16 bits before it hands its counters on and begins anew.
+COUNTED = np.iinfo(np.uint16).max
+# Bytes of text hashed at a time: a worker keeps what its arrays took, and each of them is many times the text.
+HASHED_BYTES = 1 << 18
+# Steps that codes of counters have in an octave.
+STEPS = 8
 SKETCH_PARTS = 64
 # Cost of verifying a candidate, in units of reading one entry of a posting list.
 VERIFY_COST = 50.0
@@ -77,26 +83,35 @@ def _cells(shingles: np.ndarray) -> np.ndarray:
 def _members(docs: DataFrame, size: int) -> DataFrame:
     """Per row its node, set size and signature, and per task the counters of its shingles in parts, as one written table.
 
-    ``counters`` has the signature in the rows of texts and the part's counters in those of parts.
+    ``counters`` has the signature in the rows of texts and the part's counters in those of parts. A task has a further row for each part
+    after every ``COUNTED`` texts.
     """
+    names = ["key", "row_id", "node", "n", "part", "counters"]
+
+    def parts(counters: np.ndarray):
+        for part, cells in enumerate(counters.reshape(SKETCH_PARTS, -1)):
+            if cells.any():
+                empty = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64())]
+                blob = pa.compress(cells.astype(np.uint32).tobytes(), "zstd", asbytes=True)
+                yield pa.RecordBatch.from_arrays([*empty, pa.array([part], pa.int32()), pa.array([blob], pa.binary())], names)
 
     def run(batches):
-        counters = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counters, texts = np.zeros(1 << SKETCH_BITS, np.uint16), 0
         for batch in batches:
-            for piece, data, offsets in text_pieces(batch, "text"):
+            for piece, data, offsets in text_pieces(batch, "text", HASHED_BYTES):
                 sets = _sets(piece, data, offsets, size)
                 for s in sets:
-                    cells = _cells(s)  # two shingles of a text in one cell count once
-                    counters[cells] += counters[cells] < MOST
+                    if texts == COUNTED:
+                        yield from parts(counters)
+                        counters[:], texts = 0, 0
+                    counters[_cells(s)] += 1  # two shingles of a text in one cell count once
+                    texts += 1
                 nodes = pa.array([_node_of(s) if len(s) else None for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("key"), piece.column("row_id"), nodes, pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(piece), pa.int32()), pa.array([_signature(s) for s in sets], pa.binary())],
-                    ["key", "row_id", "node", "n", "part", "counters"],
+                    names,
                 )
-        for part, cells in enumerate(counters.reshape(SKETCH_PARTS, -1)):
-            if cells.any():
-                empty = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64())]
-                yield pa.RecordBatch.from_arrays([*empty, pa.array([part], pa.int32()), pa.array([pa.compress(cells.tobytes(), "zstd", asbytes=True)], pa.binary())], ["key", "row_id", "node", "n", "part", "counters"])
+        yield from parts(counters)
 
     wanted = docs.select(F.col("key").cast("bigint").alias("key"), "row_id", "text")
     return written(wanted.mapInArrow(run, "key bigint, row_id bigint, node bigint, n bigint, part int, counters binary"), "shingle-members")
@@ -134,15 +149,24 @@ def _noise(sketch: np.ndarray) -> tuple[float, float]:
     return max(2.0, float(middle) + 4 * spread), max(2.0, 4 * spread)
 
 
+def _codes(sketch: np.ndarray, noise: float, unit: float) -> np.ndarray:
+    """What each counter holds above the noise, in steps of ``STEPS`` an octave of ``unit``, rounded up. They fit in a byte, as ``unit`` is 2 at least."""
+    codes = np.zeros(len(sketch), np.uint8)
+    for begin in range(0, len(sketch), 1 << 18):
+        above = np.maximum(0, sketch[begin : begin + (1 << 18)] - noise)
+        codes[begin : begin + (1 << 18)] = np.ceil(STEPS * np.log2(1 + above / unit))
+    return codes
+
+
 def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
     """``token``, ``node``, set size ``n``, the ``level`` from which the token is in the prefix, and the chosen level ``l`` of the node."""
     noise, unit = _noise(sketch)
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    shared = docs.sparkSession.sparkContext.broadcast(_codes(sketch, noise, unit))
 
     def run(batches):
-        counters = shared.value
+        codes = shared.value
         for batch in batches:
-            for piece, data, offsets in text_pieces(batch, "text"):
+            for piece, data, offsets in text_pieces(batch, "text", HASHED_BYTES):
                 columns: list[list[np.ndarray]] = [[], [], [], [], []]
                 for s in _sets(piece, data, offsets, size):
                     n = len(s)
@@ -150,10 +174,10 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
                         continue
                     first = n - needed(n, percent) + 1
                     top = min(LEVELS, needed(n, percent))
-                    above = np.maximum(0, counters[_cells(s)] - noise)
+                    rarity = codes[_cells(s)]
                     # Rarity in octaves above the noise: smaller differences mean nothing.
-                    order = np.lexsort((s, np.ceil(np.log2(1 + above / unit))))[: first + top - 1]
-                    reading = np.cumsum(above[order])[first - 1 :]
+                    order = np.lexsort((s, -(-rarity.astype(np.int16) // STEPS)))[: first + top - 1]
+                    reading = np.cumsum(unit * (np.exp2(rarity[order] / STEPS) - 1))[first - 1 :]
                     # Each further match asked for leaves about a quarter of the candidates.
                     cost = reading * (1 + VERIFY_COST * 0.25 ** np.arange(top))
                     level = int(np.argmin(cost)) + 1

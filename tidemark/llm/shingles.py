@@ -30,8 +30,8 @@ def byte_values(fold: bool) -> np.ndarray:
     return values
 
 
-# Bytes of text that powers are kept for; those for a longer text are made for it and dropped.
-KEPT_POWERS = 1 << 20
+# Bytes of text that powers are kept for, the first that suffice; those for a longer text are made for it and dropped.
+KEPT_POWERS = (1 << 18, 1 << 20)
 
 
 def _made(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,7 +47,8 @@ _kept_powers = cache(_made)
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    return _kept_powers(KEPT_POWERS) if n <= KEPT_POWERS else _made(n)
+    kept = next((k for k in KEPT_POWERS if n <= k), None)
+    return _made(n) if kept is None else _kept_powers(kept)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
