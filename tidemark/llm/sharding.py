@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import BROADCAST_ROWS
 from tidemark.operators.running import arrival_order, running_totals
 from tidemark.session import written
 
@@ -30,12 +31,31 @@ def _prefix(hashed: str, bits: Column | int) -> Column:
     return F.expr(f"shiftright({hashed}, cast({HASH_BITS} - ({bits}) as int))")
 
 
+def _lookup(table: DataFrame) -> DataFrame:
+    """The right side of a join with a written table: broadcast if it is short, by shuffle if not.
+
+    Left to itself, Spark goes by the size of the compressed files, and takes rows that an explode repeats for one row each.
+    """
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table.hint("merge")
+
+
+def _buckets(levels: DataFrame, limit: int) -> DataFrame:
+    """Of the prefixes in ``levels(depth, prefix, bytes, n)``, those that fit the limit or have all bits, below one that does not fit."""
+    right = F.col("prefix").bitwiseAND(1) == 1
+    sums = [F.coalesce(F.sum(F.when(side, F.col(c))), F.lit(0)).alias(f"{c}_{i}") for i, side in enumerate((~right, right)) for c in ("bytes", "n")]
+    # Both halves of a prefix meet in one row, so each is compared with their sum.
+    pairs = levels.groupBy("depth", F.shiftright("prefix", 1).alias("up")).agg(*sums).where((F.col("depth") == 0) | (F.col("bytes_0") + F.col("bytes_1") > limit))
+    halves = F.array(*[F.struct((F.col("up") * 2 + i).alias("prefix"), F.col(f"bytes_{i}").alias("shard_bytes"), F.col(f"n_{i}").alias("n")) for i in (0, 1)])
+    fit = (F.col("shard_bytes") <= limit) | (F.col("depth") == HASH_BITS)
+    return pairs.select("depth", F.explode(halves).alias("half")).select("depth", "half.*").where(fit & (F.col("n") > 0))
+
+
 def directory(sizes: DataFrame, limit: int) -> list[tuple[int, DataFrame]]:
     """The directory over ``sizes(hash, bytes)``: for some numbers of bits, a table from cells of that many bits to their buckets.
 
     A bucket is the shortest prefix whose rows fit the limit: its ``depth`` in bits, its ``prefix`` as a number, its ``shard_bytes`` and ``n`` rows.
-    Cells that are themselves over the limit are not in their table but, cut finer, in the next one. Rows of one hash cannot be
-    split; their bucket has all bits, whatever its size.
+    A table has as many bits as the deepest of its buckets. Cells without a bucket are not in their table but, cut finer, in the next
+    one. Rows of one hash cannot be split; their bucket has all bits, whatever its size.
     """
     total = sizes.agg(F.sum("bytes")).first()[0] or 0
     base, top = 0, min(HASH_BITS, max(1, -(-total // limit)).bit_length() + FINER)
@@ -43,14 +63,17 @@ def directory(sizes: DataFrame, limit: int) -> list[tuple[int, DataFrame]]:
     while True:
         cells = written(rest.groupBy(_prefix("hash", top).alias("cell")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")), "cells")
         levels = cells.select("*", F.explode(F.sequence(F.lit(base), F.lit(top))).alias("depth")).withColumn("prefix", F.expr(f"shiftright(cell, {top} - depth)"))
-        sums = levels.groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"), F.sum("n").alias("n"))
-        fit = sums.where((F.col("shard_bytes") <= limit) | (F.col("depth") == HASH_BITS))
-        found = levels.select("cell", "depth", "prefix").join(fit, ["depth", "prefix"]).groupBy("cell").agg(F.min(F.struct("depth", "prefix", "shard_bytes", "n")).alias("b"))
-        tables.append((top, written(found.select("cell", "b.*"), "directory")))
+        buckets = written(_buckets(levels, limit), "buckets")
+        least, most = buckets.agg(F.coalesce(F.min("depth"), F.lit(base)), F.coalesce(F.max("depth"), F.lit(base))).first()
+        # Buckets do not overlap: a cell lies in one of them, or in none.
+        coarse = cells.select(F.expr(f"shiftright(cell, {top - most})").alias("cell")).distinct()
+        above = coarse.select("cell", F.explode(F.sequence(F.lit(least), F.lit(most))).alias("depth")).withColumn("prefix", F.expr(f"shiftright(cell, {most} - depth)"))
+        found = above.join(_lookup(buckets), ["depth", "prefix"])
+        tables.append((most, written(found.select("cell", "depth", "prefix", "shard_bytes", "n"), "directory")))
         over = written(cells.where(F.col("bytes") > limit).select("cell"), "over")
         if top == HASH_BITS or over.isEmpty():
             return tables
-        rest = written(rest.withColumn("cell", _prefix("hash", top)).join(over, "cell", "left_semi").drop("cell"), "rest")
+        rest = written(rest.withColumn("cell", _prefix("hash", top)).join(_lookup(over), "cell", "left_semi").drop("cell"), "rest")
         base, top = top, min(HASH_BITS, top + STEP)
 
 
@@ -69,7 +92,7 @@ def shard(docs: DataFrame, limit: int, text: str = "text", key: str = "doc_id")
     fields = ("depth", "prefix", "shard_bytes", "n")
     for i, (top, table) in enumerate(tables):
         own = table.select(F.col("cell").alias(f"cell_{i}"), *[F.col(c).alias(f"{c}_{i}") for c in fields])
-        rows = rows.withColumn(f"cell_{i}", _prefix("hash", top)).join(own, f"cell_{i}", "left")
+        rows = rows.withColumn(f"cell_{i}", _prefix("hash", top)).join(_lookup(own), f"cell_{i}", "left")
     placed = rows.select("row", "hash", "bytes", *[F.coalesce(*[f"{c}_{i}" for i in range(len(tables))]).alias(c) for c in fields])
     bits = F.when(F.col("depth") > 0, F.expr("lpad(conv(prefix, 10, 2), depth, '0')")).otherwise("")
     crowded = (F.col("depth") == HASH_BITS) & (F.col("shard_bytes") > limit) & (F.col("n") > 1)
