@@ -8,6 +8,7 @@ batch was opened; and every ``tick`` a batch that holds messages and is that old
 from __future__ import annotations
 
 import sys
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from tidemark.operators.batching import BATCH_SECONDS, BATCH_SIZE
 
@@ -87,6 +89,34 @@ def cut(batch: OpenBatch, arrivals: np.ndarray, times: np.ndarray, horizon: int
         batch.pending += n - at
 
 
+class Beat(DataSource):
+    """A stream without rows whose offset is the time. After a restart, Spark looks at timers only once a source has moved on."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tidemark_beat"
+
+    def schema(self) -> str:
+        return "beat bigint"
+
+    def streamReader(self, schema) -> BeatReader:  # noqa: N802 (Spark's name)
+        return BeatReader()
+
+
+class BeatReader(DataSourceStreamReader):
+    def initialOffset(self) -> dict:  # noqa: N802 (Spark's name)
+        return {"ms": 0}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        return {"ms": time.time_ns() // 1_000_000}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [InputPartition(0)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        return iter(())
+
+
 CLOSED = [
     T.StructField("batch_no", T.LongType()),
     T.StructField("messages", T.LongType()),
@@ -107,6 +137,7 @@ def closed_batches(
     max_wait_seconds: float = BATCH_SECONDS,
     tick_seconds: float = TICK_SECONDS,
     late_by: str = "0 seconds",
+    beat: bool = True,
 ) -> DataFrame:
     """One row for each batch of a stream that closes: keys, ``batch_no``, ``messages``, its first and last arrival, when it was opened and closed, and what closed it.
 
@@ -117,6 +148,9 @@ def closed_batches(
     Batch numbers count from 0 per key. The first batch of a key opens with its first message. Open batches and their timers are kept in
     the state store, so a restarted query closes what the stopped one left open. Messages with a NULL key, arrival or clock raise an error.
 
+    On the wall clock, a second source without rows, the ``beat``, lets timers run from the start of a restarted query, and not only from its first
+    message. Checkpoints written without it are continued with ``beat=False``.
+
     Only keys, arrival and clock are shuffled. The messages of one key in one micro-batch meet in one task, so a micro-batch has to be
     bounded by the source; for a backlog of any size, cut it with ``batches_by_size_or_age``.
     """
@@ -128,6 +162,10 @@ def closed_batches(
     narrow = messages.select(*[F.coalesce(F.col(k), missing).alias(k) for k in keys], F.coalesce(F.col(arrival).cast("bigint"), missing.cast("bigint")).alias("_arrival"), *([F.coalesce(F.col(clock).cast("timestamp"), missing.cast("timestamp")).alias("_time")] if event_time else []))
     if event_time:
         narrow = narrow.withWatermark("_time", late_by)
+    elif beat:
+        messages.sparkSession.dataSource.register(Beat)
+        beats = messages.sparkSession.readStream.format(Beat.name()).load()
+        narrow = narrow.union(beats.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in narrow.schema]))
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         now = (state.getCurrentWatermarkMs() if event_time else state.getCurrentProcessingTimeMs()) * 1000
